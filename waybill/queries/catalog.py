@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from waybill.queries import orders
+from waybill.queries import delivery, orders
 
-MODULES = (orders,)
+MODULES = (orders, delivery)
 
 
 def _in_utc(query):

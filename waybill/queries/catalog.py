@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from waybill.queries import delivery, orders
+from waybill.queries import delivery, orders, telemetry
 
-MODULES = (orders, delivery)
+MODULES = (orders, delivery, telemetry)
 
 
 def _in_utc(query):

@@ -210,16 +210,19 @@ def stored_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def counter_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """A counter per event type that starts again after 500 events, and the event value as a gauge.
+    """A counter per event type that starts again after 500 events, and the event value as a gauge."""
+    return counter_samples_with_count(spark, folder).drop("n")
 
-    The count runs in the order of the event id, in slices of ids.
-    """
+
+def counter_samples_with_count(spark: SparkSession, folder: str) -> DataFrame:
+    """``counter_samples`` with the running count itself; it follows the event id, in slices of ids."""
     events = table(spark, folder, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value"
     )
     counted = slices.ranked(events, ["event_type"], ["event_id"], slices.id_slice(F.col("event_id"), 65_536), "n")
     return counted.select(
-        "event_id", "ts", "event_type", (F.col("n") % 500).cast("double").alias("counter"), F.col("value").alias("gauge")
+        "event_id", "ts", "event_type", "n", (F.col("n") % 500).cast("double").alias("counter"),
+        F.col("value").alias("gauge"),
     )
 
 
@@ -297,3 +300,81 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.array().cast(SPAN_ARRAY))
     )
     return table(spark, folder, "events").select(F.inline(F.concat(main, extra)))
+
+
+# Metric samples. Event times are compressed, so that 30 days become two and a half hours of scraping.
+METRICS_START_US = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
+METRICS_SPAN_US = 9_000_000_000
+COMPRESSION = 288
+
+# One series per event type; a label that is missing here is missing in the sample.
+SERIES_LABELS = {
+    "click": {
+        "area": "heap", "datname": "outbox", "exception": "none", "gc": "young", "job": "order-service",
+        "mode": "AccessShareLock", "name": "orders", "outcome": "SUCCESS", "quantile": "0.5", "result": "success",
+        "state": "active", "status": "201", "uri": "/api/v1/orders", "wait_event_type": "Client",
+    },
+    "view": {
+        "area": "nonheap", "datname": "outbox", "exception": "none", "gc": "old", "job": "order-service",
+        "mode": "RowExclusiveLock", "name": "orders", "outcome": "SUCCESS", "quantile": "0.95", "result": "success",
+        "state": "idle", "status": "200", "uri": "/actuator/health",
+    },
+    "error": {
+        "area": "heap", "datname": "outbox", "exception": "TimeoutException", "gc": "young", "job": "order-service",
+        "mode": "ExclusiveLock", "name": "orders", "outcome": "SERVER_ERROR", "quantile": "0.99", "result": "failure",
+        "state": "idle", "status": "500", "uri": "/api/v1/orders", "wait_event_type": "LWLock",
+    },
+    "purchase": {
+        "area": "heap", "datname": "postgres", "exception": "none", "gc": "young", "job": "notification-stub",
+        "mode": "AccessShareLock", "name": "orders", "outcome": "SUCCESS", "quantile": "0.95", "result": "success",
+        "state": "active", "status": "200", "uri": "/api/v1/orders", "wait_event_type": "Client",
+    },
+    "signup": {
+        "area": "heap", "datname": "outbox", "exception": "none", "gc": "old", "job": "notification-stub",
+        "mode": "AccessShareLock", "name": "audit", "outcome": "CLIENT_ERROR", "result": "failure",
+        "state": "idle in transaction", "status": "400", "uri": "/api/v1/orders", "wait_event_type": "",
+    },
+}
+# Share of the observations up to each bound of a histogram.
+BUCKET_SHARES = {"0.05": 0.2, "0.1": 0.5, "0.25": 0.8, "1": 0.95, "+Inf": 1.0}
+
+
+def metric_kind(metric: str) -> str:
+    if metric.endswith("_bucket"):
+        return "bucket"
+    if metric.endswith("_sum"):
+        return "sum"
+    if metric.endswith(("_total", "_count")) or metric.startswith("pg_stat_database_"):
+        return "counter"
+    return "flag" if metric in ("up", "pg_up") else "gauge"
+
+
+def metric_samples(spark: SparkSession, folder: str, metrics: set[str]) -> DataFrame:
+    """Samples ``(ts, metric, labels, value)`` of the named metrics: one per event, series and histogram bound."""
+    counted = counter_samples_with_count(spark, folder)
+    restarts = F.floor(F.col("n") / 500)
+    values = {
+        "counter": lambda: F.col("counter"),
+        "sum": lambda: F.col("counter") * (restarts + 1) * F.lit(0.5),
+        "gauge": lambda: F.col("gauge"),
+        "flag": lambda: F.when(F.col("gauge") < 100, 1.0).otherwise(0.0),
+    }
+    entries = []
+    for metric in sorted(metrics):
+        kind = metric_kind(metric)
+        if kind == "bucket":
+            for le, share in BUCKET_SHARES.items():
+                entries.append((metric, F.lit(le), F.floor(F.col("counter") * F.lit(share)).cast("double")))
+        else:
+            entries.append((metric, F.lit(None).cast("string"), values[kind]()))
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), le.alias("le"), v.alias("value")) for m, le, v in entries])
+    labels = None
+    for kind, pairs in SERIES_LABELS.items():
+        literal = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+        test = F.col("event_type") == kind
+        labels = F.when(test, literal) if labels is None else labels.when(test, literal)
+    ts_us = F.unix_micros("ts") - METRICS_START_US
+    compressed = F.timestamp_micros(F.lit(METRICS_START_US) + F.floor(ts_us / F.lit(COMPRESSION)))
+    exploded = counted.select(compressed.alias("ts"), labels.alias("labels"), F.inline(rows))
+    with_bound = F.when(F.col("le").isNull(), F.col("labels")).otherwise(F.map_concat("labels", F.create_map(F.lit("le"), "le")))
+    return exploded.select("ts", "metric", with_bound.alias("labels"), "value")

@@ -13,13 +13,18 @@ GRID = M.Grid(D.METRICS_START_US, D.METRICS_START_US + D.METRICS_SPAN_US)
 BOUNDS = (1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0)
 
 
+def six_digits(value):
+    """Cut to six digits off centre, as engines differ in how they round an exact half."""
+    return F.floor(value * F.lit(1e6) + F.lit(0.618034)) / F.lit(1e6)
+
+
 def panel_query(name):
     panel = P.PANELS[name]
 
     def run(spark, folder):
         samples = D.metric_samples(spark, folder, P.metrics_of(panel))
         result = P.evaluate(panel, samples, GRID)
-        return result.select("eval_us", "series", F.round("value", 8).alias("value"))
+        return result.select("eval_us", "series", six_digits(F.col("value")).alias("value"))
 
     run.__name__ = f"panel_{name}"
     run.__doc__ = f"Dashboard panel {name.replace('_', ' ')}."
@@ -74,7 +79,7 @@ def quantiles(q):
     def run(spark, folder):
         buckets = M.cumulative_buckets(durations(spark, folder), ["event_type"], "ms", BOUNDS)
         value = buckets.select("event_type", "le", F.col("count").cast("double").alias("value"))
-        return M.histogram_quantile(q, value, ["event_type"]).select("event_type", F.round("value", 8).alias("value"))
+        return M.histogram_quantile(q, value, ["event_type"]).select("event_type", six_digits(F.col("value")).alias("value"))
 
     return run
 
@@ -218,7 +223,7 @@ def panel_sql(panel):
 
 
 def panel_oracle(panel):
-    body = f"SELECT eval_us, series, round(value, 8) AS value FROM ({panel_sql(panel)})"
+    body = f"SELECT eval_us, series, floor(value * 1e6::DOUBLE + 0.618034::DOUBLE) / 1e6::DOUBLE AS value FROM ({panel_sql(panel)})"
     return with_tables("counted", samples_sql(P.metrics_of(panel)) + body)
 
 
@@ -244,7 +249,7 @@ ALL_BUCKETS = BUCKET_ROWS + " UNION ALL SELECT event_type, 'Infinity'::DOUBLE AS
 
 def quantile_oracle(q):
     inner = f"SELECT event_type, le, count::DOUBLE AS value FROM ({ALL_BUCKETS})"
-    return f"SELECT event_type, round(value, 6) AS value FROM ({quantile_sql(q, inner, 'event_type')})"
+    return f"SELECT event_type, floor(value * 1e6::DOUBLE + 0.618034::DOUBLE) / 1e6::DOUBLE AS value FROM ({quantile_sql(q, inner, 'event_type')})"
 
 
 ORACLE = {f"panel_{name}": panel_oracle(panel) for name, panel in P.PANELS.items()}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from waybill.queries import delivery, orders, telemetry
+from waybill.queries import admission, delivery, observability, orders, telemetry
 
-MODULES = (orders, delivery, telemetry)
+MODULES = (orders, delivery, telemetry, observability, admission)
 
 
 def _in_utc(query):

@@ -80,20 +80,9 @@ def response_body(order_id: Column, event_id: Column, created_at: Column) -> Col
     )
 
 
-def derived_id(customer_id: Column, idempotency_key: Column) -> Column:
-    """A 63-bit id made of the business key, the same on every run."""
-    return F.xxhash64(customer_id, idempotency_key).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-
-
 def with_ids(created: DataFrame) -> DataFrame:
-    order_id = derived_id(F.col("customer_id"), F.col("idempotency_key"))
-    return created.withColumn("order_id", order_id).withColumn("event_id", order_id)
-
-
-def id_collisions(created: DataFrame) -> DataFrame:
-    """Derived ids that stand for more than one business key."""
-    keys = created.select("order_id", "customer_id", "idempotency_key").distinct()
-    return keys.groupBy("order_id").agg(F.count(F.lit(1)).alias("keys")).filter("keys > 1")
+    """Order and event take the id of the request that created them: unique, and the same on every run."""
+    return created.withColumn("order_id", F.col("request_id")).withColumn("event_id", F.col("request_id"))
 
 
 def order_rows(created: DataFrame) -> DataFrame:
@@ -108,9 +97,10 @@ def order_rows(created: DataFrame) -> DataFrame:
 
 
 def created_item_rows(created: DataFrame) -> DataFrame:
+    """Item rows; ``id`` numbers the items of an order, so (order_id, id) is unique."""
     rows = item_rows(created.withColumn("request_id", F.col("order_id")))
-    item_id = F.xxhash64("order_id", "item_no").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    return rows.select(item_id.alias("id"), "order_id", "customer_id", "product_id", "quantity", "price", "created_at")
+    number = F.col("item_no").cast("bigint").alias("id")
+    return rows.select(number, "order_id", "customer_id", "product_id", "quantity", "price", "created_at")
 
 
 def key_rows(created: DataFrame) -> DataFrame:

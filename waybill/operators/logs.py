@@ -80,10 +80,14 @@ SEARCH_FIELDS = (
 )
 
 
-def search(logs: DataFrame, field: str, value: object) -> DataFrame:
+def matches(field: str, value: object) -> Column:
     if field not in SEARCH_FIELDS:
         raise ValueError(f"not a search field: {field}")
-    return logs.filter(F.col(field) == F.lit(value))
+    return F.col(field) == F.lit(value)
+
+
+def search(logs: DataFrame, field: str, value: object) -> DataFrame:
+    return logs.filter(matches(field, value))
 
 
 @dataclass(frozen=True)

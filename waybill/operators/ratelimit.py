@@ -115,8 +115,8 @@ def _summaries(capacity: int, rate: int):
                 else:
                     if key != current:
                         current, level, last_ts = key, int(start), int(start_ts)
-                    _, level = consume(level, (ts - last_ts) * rate, cost * MICRO, capacity)
-                    last_ts = ts
+                    _, level = consume(level, max(0, ts - last_ts) * rate, cost * MICRO, capacity)
+                    last_ts = max(last_ts, ts)
         if run is not None:
             yield pd.DataFrame(
                 {
@@ -157,7 +157,8 @@ def _entries(capacity: int, rate: int):
                 cuts = np.cumsum(s.sizes)[:-1]
                 lead = LevelFunction(capacity, list(zip(*[np.split(np.asarray(v), cuts) for v in (s.lo, s.slope, s.off)])))
                 only_key = s.last_key == s.first_key
-                level = lead(min(capacity, entry + (s.first_ts - entry_ts) * rate)) if only_key else s.exit_level
+                refilled = min(capacity, entry + max(0, s.first_ts - entry_ts) * rate)
+                level = lead(refilled) if only_key else s.exit_level
                 key, ts = s.last_key, s.last_ts
             yield pd.DataFrame(out, columns=["run", "entry_level", "entry_ts_us"])
 
@@ -181,8 +182,8 @@ def _decisions(capacity: int, rate: int):
                 if key != current:
                     level, last_ts = (entry, entry_ts) if current is None else (start, start_ts)
                     current = key
-                admitted[i], level = consume(level, (ts - last_ts) * rate, cost * MICRO, capacity)
-                levels[i], last_ts = level, ts
+                admitted[i], level = consume(level, max(0, ts - last_ts) * rate, cost * MICRO, capacity)
+                levels[i], last_ts = level, max(last_ts, ts)
             batch["admitted"], batch["level_after"] = admitted, levels
             yield batch[["id", "key", "ts_us", "admitted", "level_after"]]
 
@@ -205,7 +206,7 @@ def token_bucket(
     """Decision per request: ``id, key, ts_us, admitted, level_after`` (micro-tokens).
 
     ``levels`` (``key, level, ts_us``) holds what earlier requests left, one row per key; other keys start full.
-    The order inside a key is time, then id.
+    The order inside a key is time, then id. A request older than the kept level finds it as it is.
     """
     capacity, rate = limit.capacity * MICRO, limit.refill_per_second
     narrow = requests.select(
@@ -235,11 +236,22 @@ def token_bucket(
     return with_entry.mapInPandas(_decisions(capacity, rate), DECISIONS)
 
 
-def levels_after(decisions: DataFrame) -> DataFrame:
-    """The level each key is left with, in the form ``token_bucket`` takes as ``levels``."""
-    return decisions.groupBy("key").agg(
+def levels_after(decisions: DataFrame, limit: BucketLimit, earlier: DataFrame | None = None) -> DataFrame:
+    """The level each key is left with, in the form ``token_bucket`` takes as ``levels``.
+
+    Buckets that have filled up again by the newest request are left out, as an absent bucket is a full one. So the
+    table holds the keys of the last ``capacity / refill`` seconds, however many keys there ever were.
+    """
+    left = decisions.groupBy("key").agg(
         F.max_by("level_after", F.struct("ts_us", "id")).alias("level"), F.max("ts_us").alias("ts_us")
     )
+    if earlier is not None:
+        merged = left.unionByName(earlier.select("key", "level", "ts_us"))
+        left = merged.groupBy("key").agg(F.max_by("level", "ts_us").alias("level"), F.max("ts_us").alias("ts_us"))
+    newest = left.agg(F.max("ts_us").alias("newest"))  # one row
+    missing = F.lit(limit.capacity * MICRO) - F.col("level")
+    gained = (F.col("newest") - F.col("ts_us")) * F.lit(limit.refill_per_second)
+    return left.join(F.broadcast(newest)).filter(gained < missing).drop("newest")
 
 
 def pressure_as_of(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from waybill.queries import admission, delivery, observability, orders, telemetry
+from waybill.queries import admission, delivery, observability, orders, streams, telemetry
 
-MODULES = (orders, delivery, telemetry, observability, admission)
+MODULES = (orders, delivery, telemetry, observability, admission, streams)
 
 
 def _in_utc(query):

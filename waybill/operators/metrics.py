@@ -130,16 +130,16 @@ def rate_at_samples(samples: DataFrame, series: list[str], window_s: int, slice_
     slice_us = (slice_s or window_s) * MICRO
     own = F.floor(F.col("ts_us") / F.lit(slice_us))
     reach = F.floor((F.col("ts_us") + F.lit(window_us - 1)) / F.lit(slice_us))
-    copies = samples.withColumn("own", own).withColumn("slice", F.explode(F.sequence(own, reach)))
-    by_time = Window.partitionBy(*series, "slice").orderBy("ts_us")
+    copies = samples.withColumn("__own", own).withColumn("__slice", F.explode(F.sequence(own, reach)))
+    by_time = Window.partitionBy(*series, "__slice").orderBy("ts_us")
     in_range = by_time.rangeBetween(-(window_us - 1), 0)
     measured = (
-        copies.withColumn("inc", increase(F.col("value"), F.lag("value").over(by_time)))
-        .withColumn("total", F.sum("inc").over(in_range) - F.first("inc").over(in_range))
-        .withColumn("n", F.count(F.lit(1)).over(in_range))
+        copies.withColumn("__inc", increase(F.col("value"), F.lag("value").over(by_time)))
+        .withColumn("__total", F.sum("__inc").over(in_range) - F.first("__inc").over(in_range))
+        .withColumn("__n", F.count(F.lit(1)).over(in_range))
     )
-    return measured.filter((F.col("slice") == F.col("own")) & (F.col("n") >= 2)).select(
-        *series, "ts_us", (F.col("total") / F.lit(float(window_s))).alias("rate")
+    return measured.filter((F.col("__slice") == F.col("__own")) & (F.col("__n") >= 2)).select(
+        *series, "ts_us", (F.col("__total") / F.lit(float(window_s))).alias("rate")
     )
 
 

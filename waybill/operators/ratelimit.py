@@ -10,10 +10,11 @@ is then enough to walk through the runs in order and give each its entry level,
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from waybill.config import AdmissionConfig, BucketLimit
 from waybill.functions import scalars
 from waybill.plans import slices
 from waybill.plans.runs import RUN, sorted_runs
+from waybill.session import cut_lineage
 
 MICRO = 1_000_000
 
@@ -29,64 +31,64 @@ MICRO = 1_000_000
 class LevelFunction:
     """Level on entry -> level now, for a stretch of requests.
 
-    A stage is a list of pieces ``lo <= x`` with value ``slope * x + off``. Once all values lie in the lower half of
-    the stage's domain, as they do under constant overload, a new stage starts on that smaller domain. Stages are
-    applied one after the other; halving bounds their number by the bits of the capacity.
+    A stage is a list of pieces ``(lo, slope, off)``: from ``lo`` on, the value is ``slope * x + off``. Once all values
+    lie in the lower half of the stage's domain, as they do under constant overload, a new stage starts on that smaller
+    domain. Stages are applied one after the other; halving bounds their number by the bits of the capacity.
     """
 
-    def __init__(self, capacity: int, stages: list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None):
+    def __init__(self, capacity: int, stages: list[list[tuple[int, int, int]]] | None = None):
         self.capacity = capacity
         self.done = list(stages or [])
         self._start(capacity)
 
     def _start(self, top: int) -> None:
         self.top = top
-        self.lo = np.array([0], dtype=np.int64)
-        self.slope = np.array([1], dtype=np.int64)
-        self.off = np.array([0], dtype=np.int64)
-
-    def _ends(self) -> np.ndarray:
-        return np.append(self.lo[1:] - 1, self.top)
-
-    def _values(self, at: np.ndarray) -> np.ndarray:
-        return self.slope * at + self.off
-
-    def _split_at(self, level: int) -> None:
-        """Cut sloped pieces where their value reaches ``level``."""
-        cut = (self.slope == 1) & (self.lo + self.off < level) & (self._ends() + self.off >= level)
-        if cut.any():
-            at = np.flatnonzero(cut)
-            off = self.off[at]
-            self.lo = np.insert(self.lo, at + 1, level - off)
-            self.slope = np.insert(self.slope, at + 1, 1)
-            self.off = np.insert(self.off, at + 1, off)
+        self.pieces = [(0, 1, 0)]
 
     def request(self, refill: int, cost: int) -> None:
-        if len(self.lo) == 1 and self.slope[0] == 0:  # every entry level has led to the same level
-            self.off[0] = consume(int(self.off[0]), refill, cost, self.capacity)[1]
-            return
-        self.off = self.off + refill
-        self._split_at(self.capacity)
-        full = self._values(self.lo) >= self.capacity
-        self.slope[full], self.off[full] = 0, self.capacity
-        self._split_at(cost)
-        self.off = np.where(self._values(self.lo) >= cost, self.off - cost, self.off)
-        if len(self.lo) > 1:
-            keep = np.append(True, (np.diff(self.slope) != 0) | (np.diff(self.off) != 0))
-            self.lo, self.slope, self.off = self.lo[keep], self.slope[keep], self.off[keep]
-        if len(self.lo) > 8:
-            most = int(self._values(self._ends()).max())
-            if 2 * most <= self.top:
-                self.done.append((self.lo, self.slope, self.off))
-                self._start(most)
-
-    def stages(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        return [*self.done, (self.lo, self.slope, self.off)]
+        capacity, pieces, new = self.capacity, self.pieces, []
+        slope_now = off_now = None
+
+        def emit(lo: int, slope: int, off: int) -> None:
+            nonlocal slope_now, off_now
+            if slope != slope_now or off != off_now:  # equal neighbours are one piece
+                new.append((lo, slope, off))
+                slope_now, off_now = slope, off
+
+        most = 0
+        for k, (lo, slope, off) in enumerate(pieces):
+            if slope == 0:
+                value = consume(off, refill, cost, capacity)[1]
+                emit(lo, 0, value)
+                most = max(most, value)
+                continue
+            hi = pieces[k + 1][0] - 1 if k + 1 < len(pieces) else self.top
+            off += refill
+            full = capacity - off  # entry level from which the bucket is full
+            enough = cost - off if cost <= capacity else full  # entry level from which the request is admitted
+            left = capacity - cost if cost <= capacity else capacity
+            if lo < enough:
+                emit(lo, 1, off)
+                most = max(most, min(hi, enough - 1) + off)
+            if hi >= enough and max(lo, enough) < full:
+                emit(max(lo, enough), 1, off - cost)
+                most = max(most, min(hi, full - 1) + off - cost)
+            if hi >= full:
+                emit(max(lo, full), 0, left)
+                most = max(most, left)
+        self.pieces = new
+        if len(new) > 8 and 2 * most <= self.top:
+            self.done.append(new)
+            self._start(most)
+
+    def stages(self) -> list[list[tuple[int, int, int]]]:
+        return [*self.done, self.pieces]
 
     def __call__(self, level: int) -> int:
-        for lo, slope, off in self.stages():
-            k = int(np.searchsorted(lo, level, side="right")) - 1
-            level = int(slope[k] * level + off[k])
+        for pieces in self.stages():
+            k = bisect_right(pieces, level, key=lambda piece: piece[0]) - 1
+            _, slope, off = pieces[k]
+            level = slope * level + off
         return level
 
 
@@ -96,42 +98,37 @@ def consume(level: int, refill: int, cost: int, capacity: int) -> tuple[bool, in
     return (True, level - cost) if level >= cost else (False, level)
 
 
+def _rows(batch: pd.DataFrame, *columns: str):
+    return zip(*[batch[c].tolist() for c in columns])
+
+
 def _summaries(capacity: int, rate: int):
     """Per run one row: its first and last key, the function of the first key, and the level its last key ends on."""
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         run = first = current = None
         lead = LevelFunction(capacity)
-        first_ts = lead_ts = last_ts = level = 0
+        first_ts = lead_ts = last_ts = level = first_start = first_start_ts = 0
         for batch in batches:
-            rows = zip(batch["key"], batch["ts_us"], batch["cost"], batch["start_level"], batch["start_ts_us"])
-            for key, ts, cost, start, start_ts in rows:
+            for key, ts, cost, start, start_ts in _rows(batch, "__key", "__ts_us", "__cost", "__start", "__start_ts_us"):
                 if run is None:
                     run, first, current, first_ts, lead_ts = int(batch[RUN].iloc[0]), key, key, ts, ts
-                    start_of_first, start_ts_of_first = int(start), int(start_ts)
+                    first_start, first_start_ts = start, start_ts
                 if key == first:
                     lead.request((ts - lead_ts) * rate, cost * MICRO)
                     lead_ts = ts
-                else:
-                    if key != current:
-                        current, level, last_ts = key, int(start), int(start_ts)
-                    _, level = consume(level, max(0, ts - last_ts) * rate, cost * MICRO, capacity)
-                    last_ts = max(last_ts, ts)
+                    continue
+                if key != current:
+                    current, level, last_ts = key, start, start_ts
+                level = consume(level, max(0, ts - last_ts) * rate, cost * MICRO, capacity)[1]
+                last_ts = max(last_ts, ts)
         if run is not None:
             yield pd.DataFrame(
                 {
-                    "run": [run],
-                    "first_key": [first],
-                    "last_key": [current],
-                    "first_ts": [first_ts],
+                    "run": [run], "first_key": [first], "last_key": [current], "first_ts": [first_ts],
                     "last_ts": [lead_ts if current == first else last_ts],
-                    "start_level": [start_of_first],
-                    "start_ts": [start_ts_of_first],
-                    "exit_level": [level],
-                    "sizes": [[len(lo) for lo, _, _ in lead.stages()]],
-                    "lo": [np.concatenate([lo for lo, _, _ in lead.stages()])],
-                    "slope": [np.concatenate([slope for _, slope, _ in lead.stages()])],
-                    "off": [np.concatenate([off for _, _, off in lead.stages()])],
+                    "start_level": [first_start], "start_ts": [first_start_ts], "exit_level": [level],
+                    "stages": [json.dumps(lead.stages())],
                 }
             )
 
@@ -140,7 +137,7 @@ def _summaries(capacity: int, rate: int):
 
 SUMMARY = (
     "run int, first_key string, last_key string, first_ts long, last_ts long, start_level long, start_ts long, "
-    "exit_level long, sizes array<int>, lo array<long>, slope array<long>, off array<long>"
+    "exit_level long, stages string"
 )
 
 
@@ -154,38 +151,36 @@ def _entries(capacity: int, rate: int):
             for s in batch.sort_values("run").itertuples(index=False):
                 entry, entry_ts = (level, ts) if s.first_key == key else (s.start_level, s.start_ts)
                 out.append((s.run, entry, entry_ts))
-                cuts = np.cumsum(s.sizes)[:-1]
-                lead = LevelFunction(capacity, list(zip(*[np.split(np.asarray(v), cuts) for v in (s.lo, s.slope, s.off)])))
-                only_key = s.last_key == s.first_key
-                refilled = min(capacity, entry + max(0, s.first_ts - entry_ts) * rate)
-                level = lead(refilled) if only_key else s.exit_level
+                level = s.exit_level
+                if s.last_key == s.first_key:
+                    refilled = min(capacity, entry + max(0, s.first_ts - entry_ts) * rate)
+                    level = LevelFunction(capacity, json.loads(s.stages))(refilled)
                 key, ts = s.last_key, s.last_ts
             yield pd.DataFrame(out, columns=["run", "entry_level", "entry_ts_us"])
 
     return walk
 
 
-def _decisions(capacity: int, rate: int):
+def _decisions(capacity: int, rate: int, kept: list[str]):
     """Fold every run from its entry level."""
+    read = ("__key", "__ts_us", "__cost", "__start", "__start_ts_us", "entry_level", "entry_ts_us")
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current = None
         level = last_ts = 0
         for batch in batches:
-            admitted = np.empty(len(batch), dtype=bool)
-            levels = np.empty(len(batch), dtype=np.int64)
-            rows = zip(
-                batch["key"], batch["ts_us"], batch["cost"], batch["start_level"], batch["start_ts_us"],
-                batch["entry_level"], batch["entry_ts_us"],
-            )
-            for i, (key, ts, cost, start, start_ts, entry, entry_ts) in enumerate(rows):
+            admitted, levels = [], []
+            for key, ts, cost, start, start_ts, entry, entry_ts in _rows(batch, *read):
                 if key != current:
                     level, last_ts = (entry, entry_ts) if current is None else (start, start_ts)
                     current = key
-                admitted[i], level = consume(level, max(0, ts - last_ts) * rate, cost * MICRO, capacity)
-                levels[i], last_ts = level, max(last_ts, ts)
-            batch["admitted"], batch["level_after"] = admitted, levels
-            yield batch[["id", "key", "ts_us", "admitted", "level_after"]]
+                ok, level = consume(level, max(0, ts - last_ts) * rate, cost * MICRO, capacity)
+                last_ts = max(last_ts, ts)
+                admitted.append(ok)
+                levels.append(level)
+            yield batch[kept].assign(
+                id=batch["__id"], key=batch["__key"], ts_us=batch["__ts_us"], admitted=admitted, level_after=levels
+            )
 
     return fold
 
@@ -202,38 +197,43 @@ def token_bucket(
     cost: Column | None = None,
     levels: DataFrame | None = None,
     partitions: int | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Decision per request: ``id, key, ts_us, admitted, level_after`` (micro-tokens).
+    """Decision per request: the columns in ``keep``, then ``id, key, ts_us, admitted, level_after`` (micro-tokens).
 
     ``levels`` (``key, level, ts_us``) holds what earlier requests left, one row per key; other keys start full.
     The order inside a key is time, then id. A request older than the kept level finds it as it is.
     """
     capacity, rate = limit.capacity * MICRO, limit.refill_per_second
+    kept = list(keep or [])
     narrow = requests.select(
-        key.cast("string").alias("key"),
-        F.unix_micros(ts.cast("timestamp")).alias("ts_us"),
-        unique_id.cast("bigint").alias("id"),
-        (F.lit(1) if cost is None else cost).cast("bigint").alias("cost"),
+        *kept,
+        key.cast("string").alias("__key"),
+        F.unix_micros(ts.cast("timestamp")).alias("__ts_us"),
+        unique_id.cast("bigint").alias("__id"),
+        (F.lit(1) if cost is None else cost).cast("bigint").alias("__cost"),
     )
-    if levels is None:
-        start_level, start_ts = F.lit(capacity), F.col("ts_us")
-    else:
-        known = levels.select("key", F.col("level").alias("__level"), F.col("ts_us").alias("__level_ts"))
-        narrow = narrow.join(known, "key", "left")
-        start_level = F.coalesce("__level", F.lit(capacity))
-        start_ts = F.coalesce("__level_ts", "ts_us")
+    start_level, start_ts = F.lit(capacity), F.col("__ts_us")
+    if levels is not None:
+        known = levels.select(
+            F.col("key").alias("__key"), F.col("level").alias("__level"), F.col("ts_us").alias("__level_ts")
+        )
+        narrow = narrow.join(known, "__key", "left")
+        start_level, start_ts = F.coalesce("__level", start_level), F.coalesce("__level_ts", start_ts)
     narrow = narrow.select(
-        "key", "ts_us", "id", "cost",
-        start_level.cast("bigint").alias("start_level"), start_ts.cast("bigint").alias("start_ts_us"),
+        *kept, "__key", "__ts_us", "__id", "__cost",
+        start_level.cast("bigint").alias("__start"), start_ts.cast("bigint").alias("__start_ts_us"),
     )
-    runs = sorted_runs(narrow, "key", ["ts_us", "id"], partitions)
+    runs = sorted_runs(narrow, "__key", ["__ts_us", "__id"], partitions)
     # One small row per run: as many as there are partitions, whatever the data volume.
-    summaries = runs.mapInPandas(_summaries(capacity, rate), SUMMARY)
+    read = [RUN, "__key", "__ts_us", "__cost", "__start", "__start_ts_us"]
+    summaries = runs.select(*read).mapInPandas(_summaries(capacity, rate), SUMMARY)
     ordered = summaries.coalesce(1).sortWithinPartitions("run")
-    entries = ordered.mapInPandas(_entries(capacity, rate), "run int, entry_level long, entry_ts_us long")
+    entries = cut_lineage(ordered.mapInPandas(_entries(capacity, rate), "run int, entry_level long, entry_ts_us long"))
     # Bounded by the number of partitions as well.
-    with_entry = runs.join(F.broadcast(entries), runs[RUN] == entries["run"]).drop("run")
-    return with_entry.mapInPandas(_decisions(capacity, rate), DECISIONS)
+    with_entry = runs.join(F.broadcast(entries), runs[RUN] == entries["run"]).drop("run", RUN)
+    passengers = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in narrow.select(*kept).schema) if kept else ""
+    return with_entry.mapInPandas(_decisions(capacity, rate, kept), passengers + DECISIONS)
 
 
 def levels_after(decisions: DataFrame, limit: BucketLimit, earlier: DataFrame | None = None) -> DataFrame:
@@ -292,24 +292,24 @@ def admit_three_tiers(
     """Global, then client address, then customer. The first refusal ends it; tokens taken before are not given back.
 
     ``requests``: ``request_id, arrival_ts, client_ip, customer_id, cost``. Requests without customer skip the last
-    tier. Returns the requests with ``decision`` and ``tier`` (the refusing one), and per tier its decisions.
+    tier. Returns ``request_id, decision, tier`` (the refusing one) for every request, and per tier its decisions.
     """
     levels = levels or {}
     limits = {"global": config.overall, "ip": config.per_ip, "customer": config.per_customer}
     keys = {"global": F.lit("all"), "ip": F.col("client_ip"), "customer": F.col("customer_id")}
-    remaining, decisions, refused = requests, {}, []
+    columns = ["request_id", "arrival_ts", "client_ip", "customer_id", "cost"]
+    entering, decisions, decided = requests.select(*columns), {}, []
     for tier in TIERS:
-        entering = remaining.filter(keys[tier].isNotNull())
+        keyed = keys[tier].isNotNull()
+        decided.append(entering.filter(~keyed).select("request_id", F.lit(None).cast("string").alias("tier")))
         taken = token_bucket(
-            entering, keys[tier], F.col("arrival_ts"), F.col("request_id"), limits[tier],
-            F.col("cost"), levels.get(tier), partitions,
+            entering.filter(keyed), keys[tier], F.col("arrival_ts"), F.col("request_id"), limits[tier],
+            F.col("cost"), levels.get(tier), partitions, columns,
         )
         decisions[tier] = taken
-        rejected = taken.filter(~F.col("admitted")).select(F.col("id").alias("request_id"))
-        refused.append(rejected.withColumn("tier", F.lit(tier)))
-        remaining = remaining.join(rejected, "request_id", "left_anti")
-    all_refused = reduce(DataFrame.unionByName, refused)
-    outcome = requests.join(all_refused, "request_id", "left").withColumn(
-        "decision", F.when(F.col("tier").isNull(), "ADMITTED").otherwise("REJECTED")
-    )
+        decided.append(taken.filter(~F.col("admitted")).select("request_id", F.lit(tier).alias("tier")))
+        entering = taken.filter("admitted").select(*columns)
+    decided.append(entering.select("request_id", F.lit(None).cast("string").alias("tier")))
+    tiers = reduce(DataFrame.unionByName, decided)
+    outcome = tiers.withColumn("decision", F.when(F.col("tier").isNull(), "ADMITTED").otherwise("REJECTED"))
     return outcome, decisions

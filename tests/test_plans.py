@@ -73,3 +73,11 @@ def test_windows_without_partition_are_absent(spark, folder):
     for name in ("kafka_records", "publish_batches", "queue_admission", "rate_5m", "pressure_as_of", "panel_orders_http_p95"):
         plan = catalog.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
         assert "Window" in plan and "SinglePartition" not in plan.split("Window", 1)[1].split("\n")[0], name
+
+
+def test_attempts_are_cut_down_before_the_shuffle(spark, folder):
+    from waybill.operators import outbox
+    from waybill.sources import driver_tables
+
+    plan = outbox.replay_attempts(driver_tables.attempts(spark, folder), 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2

@@ -57,7 +57,7 @@ def outcome(is_stored: Column) -> Column:
     return F.when(is_stored, stored_case).otherwise(fresh_case)
 
 
-def classified(requests: DataFrame, stored: DataFrame | None = None, hot_rows: int = 1_000_000) -> DataFrame:
+def classified(requests: DataFrame, stored: DataFrame | None = None, hot_rows: int = 10_000_000) -> DataFrame:
     """Every request with ``outcome``, ``http_status`` and the request that owns its key (null for a stored key).
 
     ``stored`` has one row per key. Rows of keys without limit on their size are handled by ``join_per_key``.

@@ -49,6 +49,16 @@ def recovery_candidates(outbox: DataFrame, now: Column, limit: int) -> DataFrame
     return free_active(outbox, now).orderBy("id").limit(limit)
 
 
+def under_lease(rows: DataFrame, instance: str, now: Column, lease_seconds: int) -> DataFrame:
+    return rows.withColumns(
+        {
+            "status": F.lit(S.PROCESSING),
+            "locked_by": F.lit(instance),
+            "locked_until": scalars.lease_until(now, lease_seconds),
+        }
+    )
+
+
 def claim(outbox: DataFrame, ids: DataFrame, instance: str, now: Column, lease_seconds: int, max_ids: int | None = None) -> DataFrame:
     """Rows among ``ids`` that this instance gets, moved to PROCESSING under its lease.
 
@@ -57,13 +67,7 @@ def claim(outbox: DataFrame, ids: DataFrame, instance: str, now: Column, lease_s
     wanted = ids.select("id")
     if max_ids is not None and max_ids <= 10_000:
         wanted = F.broadcast(wanted)
-    return (
-        free_active(outbox, now)
-        .join(wanted, "id", "left_semi")
-        .withColumn("status", F.lit(S.PROCESSING))
-        .withColumn("locked_by", F.lit(instance))
-        .withColumn("locked_until", scalars.lease_until(now, lease_seconds))
-    )
+    return under_lease(free_active(outbox, now).join(wanted, "id", "left_semi"), instance, now, lease_seconds)
 
 
 def reofferable(outbox: DataFrame, ids: DataFrame, now: Column) -> DataFrame:

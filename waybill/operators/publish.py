@@ -10,14 +10,18 @@ from waybill.functions import scalars
 from waybill.plans import slices
 
 
+def payload_ok(payload: Column) -> Column:
+    """Whether a payload is a JSON object."""
+    return F.coalesce(F.ltrim(payload).startswith("{") & F.try_parse_json(payload).isNotNull(), F.lit(False))
+
+
 def envelopes(rows: DataFrame, now: Column) -> DataFrame:
-    """Envelope columns per outbox row. ``payload_ok`` tells whether the payload is a JSON object."""
-    is_object = F.ltrim("payload").startswith("{") & F.try_parse_json("payload").isNotNull()
+    """Envelope columns per outbox row. ``payload_ok`` tells whether the payload can be read."""
     return rows.select(
         F.col("id").alias("event_id"), "order_id", "customer_id", "event_type", "payload",
         scalars.json_text(F.col("payload"), "correlationId").alias("correlation_id"),
         now.alias("occurred_at"), "trace_parent",
-        F.coalesce(is_object, F.lit(False)).alias("payload_ok"),
+        payload_ok(F.col("payload")).alias("payload_ok"),
     )
 
 

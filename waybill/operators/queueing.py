@@ -16,7 +16,7 @@ def not_in_flight(ids: DataFrame, in_flight: DataFrame) -> DataFrame:
 
 def admission(
     offers: DataFrame, in_flight: DataFrame, capacity: int, in_queue: int = 0,
-    slice_rows: int = 65_536, hot_rows: int = 1_000_000,
+    slice_rows: int = 65_536, hot_rows: int = 10_000_000,
 ) -> DataFrame:
     """Every offer ``(instance_id, seq, id)`` with ``decision``: IN_FLIGHT, DUPLICATE, FULL or ACCEPTED.
 

@@ -248,10 +248,10 @@ def levels_after(decisions: DataFrame, limit: BucketLimit, earlier: DataFrame |
     if earlier is not None:
         merged = left.unionByName(earlier.select("key", "level", "ts_us"))
         left = merged.groupBy("key").agg(F.max_by("level", "ts_us").alias("level"), F.max("ts_us").alias("ts_us"))
-    newest = left.agg(F.max("ts_us").alias("newest"))  # one row
+    newest = left.agg(F.max("ts_us")).scalar()
     missing = F.lit(limit.capacity * MICRO) - F.col("level")
-    gained = (F.col("newest") - F.col("ts_us")) * F.lit(limit.refill_per_second)
-    return left.join(F.broadcast(newest)).filter(gained < missing).drop("newest")
+    gained = (newest - F.col("ts_us")) * F.lit(limit.refill_per_second)
+    return left.filter(gained < missing)
 
 
 def pressure_as_of(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def join_per_key(
-    rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, unique: str, hot_rows: int = 1_000_000
+    rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, unique: str, hot_rows: int = 10_000_000
 ) -> DataFrame:
     """Left join of ``rows`` with a table that has one row per key and the key's row number in ``count``.
 

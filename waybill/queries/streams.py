@@ -46,9 +46,18 @@ def posted_requests(spark, folder):
 
 def stream_intake(spark, folder):
     """Requests as JSON files through validation and deduplication into the tables; rows and sums per table."""
+    return intake_tables(spark, folder, lambda stream: stream)
+
+
+def stream_intake_by_state(spark, folder):
+    """The same with the owners of the keys in the stream's state."""
+    return intake_tables(spark, folder, intake_stream.with_outcomes)
+
+
+def intake_tables(spark, folder, prepare):
     posted, root = scratch_path(spark, "requests"), scratch_path(spark, "intake")
     posted_requests(spark, folder).write.json(posted)
-    stream = tables.read_requests(spark, posted, streaming=True, max_files=FILES_PER_TRIGGER)
+    stream = prepare(tables.read_requests(spark, posted, streaming=True, max_files=FILES_PER_TRIGGER))
     run.drain(stream, intake_stream.handle_requests(root), f"{root}/_checkpoint")
     read = lambda table, schema: batches.committed(spark, root, table, schema)
     none = F.lit(0.0)
@@ -175,7 +184,7 @@ def stream_log_store(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_intake, stream_publisher, recovery_tick, stream_consumer, stream_token_bucket, stream_first_requests,
+        stream_intake, stream_intake_by_state, stream_publisher, recovery_tick, stream_consumer, stream_token_bucket, stream_first_requests,
         stream_sliding_rates, stream_event_dedup, stream_log_store,
     )
 }
@@ -192,6 +201,7 @@ ORACLE = {
         UNION ALL SELECT 'REPLAYED', count(*), 0 FROM valid WHERE id % 10 = 0
         UNION ALL SELECT 'CONFLICT_HASH', count(*), 0 FROM valid WHERE id % 10 = 5
         UNION ALL SELECT 'INVALID', count(*), 0 FROM sent WHERE id NOT IN (SELECT id FROM valid)"""),
+    "stream_intake_by_state": None,
     "stream_publisher": with_tables("outbox", f"""SELECT id, CAST(CASE WHEN id % 9 = 0 THEN 1 ELSE 110 END AS BIGINT) AS status, id % 9 <> 0 AS unlocked,
         CASE WHEN id % 9 <> 0 THEN CAST(customer_id AS VARCHAR) END AS key FROM outbox WHERE {FREE}"""),
     "recovery_tick": with_tables("outbox transitions", f""", newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn
@@ -211,3 +221,4 @@ ORACLE = {
     "stream_log_store": with_tables("logs", """SELECT strftime(ts, '%Y-%m-%d') AS day, log_level, 'waybill' AS log_source, count(*) AS lines,
         CAST(sum(order_id) AS BIGINT) AS order_ids, count(customer_id) AS customers FROM logs GROUP BY ALL"""),
 }
+ORACLE["stream_intake_by_state"] = ORACLE["stream_intake"]

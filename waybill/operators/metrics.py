@@ -124,22 +124,39 @@ def rate_at_samples(samples: DataFrame, series: list[str], window_s: int, slice_
     """``rate`` at every sample ``(series..., ts_us, value)`` over the time range that ends with it.
 
     Series are cut into time slices. A sample also goes to the following slices that its range reaches into, where it
-    is only looked back at. So one task holds one slice plus one range of one series.
+    is only looked back at. So one task holds one slice plus one range of one series. A sliding frame would add up its
+    rows anew for each sample; here running totals are subtracted instead. The total to subtract is that of the first
+    sample after the range's start, found by a running ``last`` from the newest sample down.
     """
     window_us = window_s * MICRO
     slice_us = (slice_s or window_s) * MICRO
     own = F.floor(F.col("ts_us") / F.lit(slice_us))
     reach = F.floor((F.col("ts_us") + F.lit(window_us - 1)) / F.lit(slice_us))
+    group = [*series, "__slice"]
     copies = samples.withColumn("__own", own).withColumn("__slice", F.explode(F.sequence(own, reach)))
-    by_time = Window.partitionBy(*series, "__slice").orderBy("ts_us")
-    in_range = by_time.rangeBetween(-(window_us - 1), 0)
-    measured = (
-        copies.withColumn("__inc", increase(F.col("value"), F.lag("value").over(by_time)))
-        .withColumn("__total", F.sum("__inc").over(in_range) - F.first("__inc").over(in_range))
-        .withColumn("__n", F.count(F.lit(1)).over(in_range))
+    upwards = Window.partitionBy(*group).orderBy("ts_us")
+    so_far = upwards.rowsBetween(Window.unboundedPreceding, 0)
+    totals = (
+        copies.withColumn("__inc", increase(F.col("value"), F.lag("value").over(upwards)))
+        .withColumn("__total", F.sum("__inc").over(so_far))
+        .withColumn("__n", F.row_number().over(upwards))
     )
-    return measured.filter((F.col("__slice") == F.col("__own")) & (F.col("__n") >= 2)).select(
-        *series, "ts_us", (F.col("__total") / F.lit(float(window_s))).alias("rate")
+    sample = F.struct(
+        F.col("ts_us").alias("at"), F.lit(1).alias("kind"), F.col("__total").alias("first_total"), F.col("__n").alias("first_n")
+    )
+    # The start of a sample's range is excluded, so at equal times it is met before the sample there.
+    start = F.struct(
+        (F.col("ts_us") - window_us).alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("double").alias("first_total"),
+        F.lit(None).cast("int").alias("first_n"),
+    )
+    both = F.when(F.col("__slice") == F.col("__own"), F.array(sample, start)).otherwise(F.array(sample))
+    points = totals.select(*group, "ts_us", "__total", "__n", F.inline(both))
+    downwards = Window.partitionBy(*group).orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = points.withColumn("__from", F.last("first_total", ignorenulls=True).over(downwards)).withColumn(
+        "__from_n", F.last("first_n", ignorenulls=True).over(downwards)
+    )
+    return found.filter((F.col("kind") == 0) & (F.col("__n") > F.col("__from_n"))).select(
+        *series, "ts_us", ((F.col("__total") - F.col("__from")) / F.lit(float(window_s))).alias("rate")
     )
 
 

@@ -110,7 +110,12 @@ def _summaries(capacity: int, rate: int):
         lead = LevelFunction(capacity)
         first_ts = lead_ts = last_ts = level = first_start = first_start_ts = 0
         for batch in batches:
-            for key, ts, cost, start, start_ts in _rows(batch, "__key", "__ts_us", "__cost", "__start", "__start_ts_us"):
+            if batch.empty:
+                continue
+            # Keys between the first one and the last one of a batch begin and end here; nothing depends on them.
+            keys = batch["__key"]
+            needed = batch[(keys == (keys.iloc[0] if run is None else first)) | (keys == keys.iloc[-1])]
+            for key, ts, cost, start, start_ts in _rows(needed, "__key", "__ts_us", "__cost", "__start", "__start_ts_us"):
                 if run is None:
                     run, first, current, first_ts, lead_ts = int(batch[RUN].iloc[0]), key, key, ts, ts
                     first_start, first_start_ts = start, start_ts
@@ -228,7 +233,8 @@ def token_bucket(
     # One small row per run: as many as there are partitions, whatever the data volume.
     read = [RUN, "__key", "__ts_us", "__cost", "__start", "__start_ts_us"]
     summaries = runs.select(*read).mapInPandas(_summaries(capacity, rate), SUMMARY)
-    ordered = summaries.coalesce(1).sortWithinPartitions("run")
+    # A shuffle, not ``coalesce``: the summaries are made in parallel, and only their rows come together.
+    ordered = summaries.repartition(1).sortWithinPartitions("run")
     entries = cut_lineage(ordered.mapInPandas(_entries(capacity, rate), "run int, entry_level long, entry_ts_us long"))
     # Bounded by the number of partitions as well.
     with_entry = runs.join(F.broadcast(entries), runs[RUN] == entries["run"]).drop("run", RUN)

@@ -64,7 +64,7 @@ def claim(outbox: DataFrame, ids: DataFrame, instance: str, now: Column, lease_s
 
     Pass ``max_ids`` only where a limit on the id set exists; a set of at most 10,000 ids is then broadcast.
     """
-    wanted = ids.select("id")
+    wanted = ids.select("id").distinct()
     if max_ids is not None and max_ids <= 10_000:
         wanted = F.broadcast(wanted)
     return under_lease(free_active(outbox, now).join(wanted, "id", "left_semi"), instance, now, lease_seconds)
@@ -72,7 +72,7 @@ def claim(outbox: DataFrame, ids: DataFrame, instance: str, now: Column, lease_s
 
 def reofferable(outbox: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
     """Ids of a batch that could not be claimed but are free: they go back to the queue."""
-    return free_active(outbox, now).join(ids.select("id"), "id", "left_semi").select("id")
+    return free_active(outbox, now).join(ids.select("id").distinct(), "id", "left_semi").select("id")
 
 
 def recovery_lease(candidates: DataFrame, instance: str, now: Column, lease_seconds: int) -> DataFrame:

@@ -11,7 +11,8 @@ from waybill.plans.skew import join_per_key
 
 
 def not_in_flight(ids: DataFrame, in_flight: DataFrame) -> DataFrame:
-    return ids.join(in_flight.select("id"), "id", "left_anti").dropDuplicates(["id"])
+    # Both sides are reduced to one row per id before they meet.
+    return ids.select("id").distinct().join(in_flight.select("id").distinct(), "id", "left_anti")
 
 
 def admission(

@@ -128,11 +128,10 @@ def log_trace_correlation(spark, folder):
 
 
 def log_outbox_correlation(spark, folder):
-    """Log lines with the current status of the outbox row they name."""
-    rows = D.logs(spark, folder).join(
-        D.outbox(spark, folder).select(F.col("id").alias("outbox_id"), F.col("status").cast("bigint").alias("status")), "outbox_id", "left"
-    )
-    return rows.groupBy("event_action", "status").agg(F.count(F.lit(1)).alias("lines"))
+    """Log lines with the current status of the outbox row they name. Lines are counted per row before the join."""
+    lines = D.logs(spark, folder).groupBy("event_action", "outbox_id").agg(F.count(F.lit(1)).alias("lines"))
+    rows = D.outbox(spark, folder).select(F.col("id").alias("outbox_id"), F.col("status").cast("bigint").alias("status"))
+    return lines.join(rows, "outbox_id", "left").groupBy("event_action", "status").agg(F.sum("lines").alias("lines"))
 
 
 # Traces.

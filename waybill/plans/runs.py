@@ -15,7 +15,6 @@ RUN = "__run"
 
 
 def sorted_runs(df: DataFrame, key: str, order: list[str], partitions: int | None = None) -> DataFrame:
-    # An explicit number: runs are worked through in Python, so they must not be merged by their bytes.
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, key, *order)
+    # Without a number, adaptive execution merges small runs up to its partition size.
+    ranged = df.repartitionByRange(partitions, key, *order) if partitions else df.repartitionByRange(key, *order)
     return cut_lineage(ranged.sortWithinPartitions(key, *order).withColumn(RUN, F.spark_partition_id()))

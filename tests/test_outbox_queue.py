@@ -146,3 +146,13 @@ def test_health_limits(spark):
 def test_recovery_envelopes_read_items_of_candidates_only(spark, folder):
     plan = delivery.recovery_envelopes(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_live_counts_and_lookups(spark):
+    from pyspark.sql import Observation
+
+    df = rows(spark, (1, 110, 0, None), (2, 2, 1, None), (3, 0, 0, None))
+    seen = Observation("delivery")
+    assert outbox.live_counts(df, seen).count() == 3
+    assert seen.get == {"rows": 3, "published": 1, "failed": 1, "pending": 2}
+    assert [r.id for r in outbox.by_id(df, 2).collect()] == [2]

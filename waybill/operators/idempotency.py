@@ -33,6 +33,10 @@ def first_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def by_key(stored: DataFrame, customer_id: int, key: str) -> DataFrame:
+    return stored.filter((F.col("customer_id") == customer_id) & (F.col("idempotency_key") == key))
+
+
 def insert_if_absent(requests: DataFrame, stored: DataFrame) -> DataFrame:
     """Winners whose key is not stored yet."""
     return first_requests(requests).join(stored.select(*KEY), KEY, "left_anti")

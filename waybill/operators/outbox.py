@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from waybill import schemas as S
@@ -44,6 +44,10 @@ def free_active(outbox: DataFrame, now: Column) -> DataFrame:
     return claimable.filter("part = 'active'") if "part" in outbox.columns else claimable
 
 
+def by_id(outbox: DataFrame, id_: int) -> DataFrame:
+    return outbox.filter(F.col("id") == id_)
+
+
 def recovery_candidates(outbox: DataFrame, now: Column, limit: int) -> DataFrame:
     """The lowest free active ids."""
     return free_active(outbox, now).orderBy("id").limit(limit)
@@ -119,6 +123,27 @@ def batch_outcome(attempts: DataFrame, batch: str) -> DataFrame:
     return attempts.withColumn("batch_failed", F.max("failed").over(Window.partitionBy(batch)))
 
 
+def delivery_counters(attempts: DataFrame, batch: str, period: Column) -> DataFrame:
+    """Published events, failed batches and retries per period: failures count per batch, retries per row."""
+    per_batch = attempts.groupBy(batch).agg(
+        F.min("ts").alias("ts"), F.count(F.lit(1)).alias("rows"), F.max("failed").alias("failed")
+    )
+    rows_if = lambda test: F.sum(F.when(test, F.col("rows")).otherwise(0))
+    return per_batch.groupBy(period.alias("period")).agg(
+        rows_if(~F.col("failed")).alias("published"), F.count_if("failed").alias("failures"),
+        rows_if(F.col("failed")).alias("retries"),
+    )
+
+
+def live_counts(rows: DataFrame, observed: Observation | str) -> DataFrame:
+    """The rows as they are. Their number and state counts go to ``observed`` as they pass, without another job."""
+    status = F.col("status")
+    return rows.observe(
+        observed, F.count(F.lit(1)).alias("rows"), F.count_if(status == S.SENT).alias("published"),
+        F.count_if(status.isin(S.FAILED, S.DEAD)).alias("failed"), F.count_if(scalars.is_active(status)).alias("pending"),
+    )
+
+
 def replay_attempts(attempts: DataFrame, max_retries: int) -> DataFrame:
     """Final state per id from its send attempts: sent at the first success, dead at the last allowed failure.
 

@@ -72,7 +72,7 @@ def records(envelopes_: DataFrame, topic: str, partitions: int) -> DataFrame:
     )
 
 
-def with_offsets(records_: DataFrame, slice_rows: int = 65_536) -> DataFrame:
+def with_offsets(records_: DataFrame, slice_rows: int = 1_000_000) -> DataFrame:
     """Offset per partition, from zero, in the order of the event id."""
     by_id = slices.id_slice(F.col("event_id"), slice_rows)
     numbered = slices.ranked(records_, ["partition"], ["event_id"], by_id, "__n")
@@ -84,7 +84,7 @@ def in_key_order(batch: DataFrame) -> DataFrame:
     return batch.repartition("customer_id").sortWithinPartitions("customer_id", "event_id")
 
 
-def order_violations(published: DataFrame, slice_rows: int = 65_536) -> DataFrame:
+def order_violations(published: DataFrame, slice_rows: int = 1_000_000) -> DataFrame:
     """Records whose event id is lower than the one before them, per partition and key in offset order."""
     by_offset = slices.id_slice(F.col("offset"), slice_rows)
     seen = slices.previous(published, ["partition", "key"], "offset", by_offset, "event_id", "previous_event_id")

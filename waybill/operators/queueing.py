@@ -17,7 +17,7 @@ def not_in_flight(ids: DataFrame, in_flight: DataFrame) -> DataFrame:
 
 def admission(
     offers: DataFrame, in_flight: DataFrame, capacity: int, in_queue: int = 0,
-    slice_rows: int = 65_536, hot_rows: int = 10_000_000,
+    slice_rows: int = 1_000_000, hot_rows: int = 10_000_000,
 ) -> DataFrame:
     """Every offer ``(instance_id, seq, id)`` with ``decision``: IN_FLIGHT, DUPLICATE, FULL or ACCEPTED.
 
@@ -40,14 +40,14 @@ def admission(
     return decided.withColumn("decision", decision).select("instance_id", "seq", "id", "decision", "place")
 
 
-def batches(queued: DataFrame, size: int, slice_rows: int = 65_536) -> DataFrame:
+def batches(queued: DataFrame, size: int, slice_rows: int = 1_000_000) -> DataFrame:
     """Batch number per instance: ``size`` ids each, in the order of ``seq``."""
     by_arrival = slices.id_slice(F.col("seq"), slice_rows)
     placed = slices.ranked(queued, ["instance_id"], ["seq"], by_arrival, "place")
     return placed.withColumn("batch_no", F.floor((F.col("place") - 1) / F.lit(size)).cast("bigint"))
 
 
-def pipeline_ids(fast: DataFrame, recovered: DataFrame) -> DataFrame:
+def next_ids(fast: DataFrame, recovered: DataFrame) -> DataFrame:
     """Ids of the fast path and of recovery, each once."""
     return fast.select("id").union(recovered.select("id")).dropDuplicates(["id"])
 

@@ -170,12 +170,6 @@ def active_archive_routing(spark, folder):
     return rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
 
 
-def batched_attempts(spark, folder):
-    return D.attempts(spark, folder).withColumn(
-        "batch_no", F.floor(F.col("attempt_id") / F.lit(DEFAULTS.queue.batch_size)).cast("bigint")
-    )
-
-
 def batch_outcome(spark, folder):
     """Batches of five attempts: one failure fails them all."""
     rows = D.attempts(spark, folder).withColumn("batch_no", F.floor(F.col("attempt_id") / F.lit(5)).cast("bigint"))
@@ -183,18 +177,21 @@ def batch_outcome(spark, folder):
 
 
 def delivery_counters(spark, folder):
-    """Published events, failed batches, retries and rejects, per day."""
-    rows = outbox.batch_outcome(
-        D.attempts(spark, folder).withColumn("batch_no", F.floor(F.col("attempt_id") / F.lit(5)).cast("bigint")), "batch_no"
-    )
-    per_batch = rows.groupBy("batch_no").agg(
-        F.to_date(F.min("ts")).alias("day"), F.count(F.lit(1)).alias("rows"), F.max("batch_failed").alias("batch_failed")
+    """Published events, failed batches and retries, per day, for batches of five attempts."""
+    rows = D.attempts(spark, folder).withColumn("batch_no", F.floor(F.col("attempt_id") / F.lit(5)).cast("bigint"))
+    counted = outbox.delivery_counters(rows, "batch_no", F.date_format("ts", "yyyy-MM-dd"))
+    return counted.withColumnRenamed("period", "day")
+
+
+def point_lookups(spark, folder):
+    """One outbox row by id, and one stored key by customer and key."""
+    row = outbox.by_id(D.outbox(spark, folder), 7).select(
+        F.lit("outbox").alias("kind"), F.col("customer_id"), F.col("event_type").alias("text")
     )
-    return per_batch.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(
-        F.sum(F.when(F.col("batch_failed"), 0).otherwise(F.col("rows"))).alias("published"),
-        F.count_if("batch_failed").alias("failures"),
-        F.sum(F.when(F.col("batch_failed"), F.col("rows")).otherwise(0)).alias("retries"),
+    key = idempotency.by_key(D.stored_keys(spark, folder), 42, "7").select(
+        F.lit("key"), "customer_id", F.col("request_hash")
     )
+    return row.union(key)
 
 
 def first_trace_parent(spark, folder):
@@ -240,7 +237,7 @@ def publish_batches(spark, folder):
 def fast_and_recovery_union(spark, folder):
     fast = D.outbox(spark, folder).filter(F.col("status") == S.NEW)
     recovered = outbox.recovery_candidates(D.outbox(spark, folder), D.now(), DEFAULTS.recovery.batch_size)
-    return queueing.pipeline_ids(fast, recovered)
+    return queueing.next_ids(fast, recovered)
 
 
 def queue_pressure(spark, folder):
@@ -353,7 +350,7 @@ QUERIES = {
         idempotency_first_wins, idempotency_outcomes, idempotency_outcome_counts, idempotency_against_store,
         idempotency_insert_if_absent, idempotency_completed_keys, active_pending, recovery_candidates, recovery_envelopes,
         recovery_lease, claim_by_ids, reenqueueable_ids, retry_transition, sent_transition, attempt_replay, latest_state,
-        state_after_log, active_archive_routing, batch_outcome, delivery_counters, first_trace_parent, queue_admission,
+        state_after_log, active_archive_routing, batch_outcome, delivery_counters, point_lookups, first_trace_parent, queue_admission,
         not_in_flight, publish_batches, fast_and_recovery_union, queue_pressure, health_status, kafka_records,
         publish_order_check, consumer_notifications, unreadable_records, consumer_batch_metrics, consumer_totals,
         consumer_dedup, trace_continuity,
@@ -444,6 +441,8 @@ ORACLE = {
         count(*) FILTER (WHERE bad) AS failures, CAST(sum(CASE WHEN bad THEN n ELSE 0 END) AS BIGINT) AS retries
         FROM (SELECT batch_no, strftime(min(ts), '%Y-%m-%d') AS day, count(*) AS n, bool_or(batch_failed) AS bad FROM batched GROUP BY batch_no)
         GROUP BY day"""),
+    "point_lookups": with_tables("outbox stored", """SELECT 'outbox' AS kind, customer_id, event_type AS text FROM outbox WHERE id = 7
+        UNION ALL SELECT 'key', customer_id, request_hash FROM stored WHERE customer_id = 42 AND idempotency_key = '7'"""),
     "first_trace_parent": with_tables("outbox", """SELECT id // 3 AS batch_no,
         min_by(t, id) FILTER (WHERE trim(t) <> '') AS trace_parent, count(*) AS rows
         FROM (SELECT id, CASE WHEN id % 4 = 0 THEN '  ' ELSE trace_parent END AS t FROM outbox) GROUP BY ALL"""),

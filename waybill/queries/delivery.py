@@ -188,7 +188,7 @@ def point_lookups(spark, folder):
     row = outbox.by_id(D.outbox(spark, folder), 7).select(
         F.lit("outbox").alias("kind"), F.col("customer_id"), F.col("event_type").alias("text")
     )
-    key = idempotency.by_key(D.stored_keys(spark, folder), 42, "7").select(
+    key = idempotency.by_key(D.stored_keys(spark, folder), 0, "1").select(
         F.lit("key"), "customer_id", F.col("request_hash")
     )
     return row.union(key)
@@ -442,7 +442,7 @@ ORACLE = {
         FROM (SELECT batch_no, strftime(min(ts), '%Y-%m-%d') AS day, count(*) AS n, bool_or(batch_failed) AS bad FROM batched GROUP BY batch_no)
         GROUP BY day"""),
     "point_lookups": with_tables("outbox stored", """SELECT 'outbox' AS kind, customer_id, event_type AS text FROM outbox WHERE id = 7
-        UNION ALL SELECT 'key', customer_id, request_hash FROM stored WHERE customer_id = 42 AND idempotency_key = '7'"""),
+        UNION ALL SELECT 'key', customer_id, request_hash FROM stored WHERE customer_id = 0 AND idempotency_key = '1'"""),
     "first_trace_parent": with_tables("outbox", """SELECT id // 3 AS batch_no,
         min_by(t, id) FILTER (WHERE trim(t) <> '') AS trace_parent, count(*) AS rows
         FROM (SELECT id, CASE WHEN id % 4 = 0 THEN '  ' ELSE trace_parent END AS t FROM outbox) GROUP BY ALL"""),

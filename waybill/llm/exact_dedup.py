@@ -15,17 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.columns import ascii_lower
+from waybill.llm.sizes import if_small
 from waybill.session import cut_lineage
 
 #: Bits of the table of survivors; 64 of them are one row, so it has 2^20 rows at most, whatever the input.
 SURVIVOR_BITS = 2**26
+#: Rows of the table of lengths that may be broadcast. L different lengths take L^2 / 2 bytes of text at least.
+BROADCAST_SIZES = 1_000_000
 
 
 def heads(docs: DataFrame, text: Column, head_chars: int) -> DataFrame:
     """(length, head hash) that occur more than once. Lengths that occur once are dropped before heads are hashed."""
     rows = docs.select(F.octet_length(text).alias("size"), F.substring(text, 1, head_chars).alias("start"))
     sizes = rows.groupBy("size").agg(F.count("*").alias("n")).where("n > 1").select("size")
-    keyed = rows.join(sizes, "size", "left_semi").select("size", F.xxhash64(ascii_lower(F.col("start"))).alias("head"))
+    keyed = rows.join(if_small(sizes, BROADCAST_SIZES), "size", "left_semi").select("size", F.xxhash64(ascii_lower(F.col("start"))).alias("head"))
     return keyed.groupBy("size", "head").agg(F.count("*").alias("n")).where("n > 1").select("size", "head")
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waybill.llm import exact_dedup, mixing, sharding
+from waybill.llm import exact_dedup, html, language, mixing, quality, sharding, toxicity
+from waybill.llm.columns import fold
 from waybill.llm.sql import ORACLE  # noqa: F401
 
 SOURCE_WEIGHTS = {"src0": 2.0, "src1": 0.5}
@@ -20,14 +22,44 @@ def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(documents(spark, folder), SOURCE_WEIGHTS, epochs=1.0, seed=17)
 
 
+def op3_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document by compression with dictionaries of good and bad text."""
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.fit(docs, labels, fold("doc_id", 4) != 2)
+    return quality.scored(docs, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal texts; the row with the largest id stays."""
     return exact_dedup.equal_texts(documents(spark, folder), digest_all=True)
 
 
+def op6_toxic_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by the clause grammar."""
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.fit(docs, labels, fold("doc_id", 5) != 0)
+    return toxicity.measured(docs, model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "clauses"
+    )
+
+
 def op7_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards, and where they would be with one more."""
     return sharding.shard_sheet(documents(spark, folder), SHARDS, SHARDS + [1.0])
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op5_exact_dedup, op7_rendezvous_shards)}
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, family first."""
+    docs = documents(spark, folder)
+    model = language.fit(docs, fold("doc_id", 4) != 2)
+    return language.detected(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extracted(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op3_compression_quality, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text)}

@@ -4,8 +4,9 @@ A text is cut into blocks; each block is compressed with either dictionary. Bloc
 good dictionary. The difference of the compressed sizes over the raw size, of all blocks of the whole text, goes through
 a logistic curve that is fitted to labelled documents outside the dictionaries' halves.
 
+The curve has the shortness of the text, 1 / (1 + bytes / 100), as a second input: short texts are weaker evidence.
 Learning takes at most ``windows`` windows and ``calibration`` documents of each class, in hash order of the ids. A null
-text counts as empty; empty texts have difference 0 and get the curve's value there. Nothing but the text is scored.
+text counts as empty; empty texts have difference 0 and shortness 1. Nothing but the text is scored.
 Without labels of both classes the curve is fixed and the score of every text is 0.5.
 """
 
@@ -23,14 +24,15 @@ from pyspark.sql import functions as F
 
 from waybill.llm.samples import labelled, logistic, sigmoid
 
-WINDOW_CHARS, BLOCK_BYTES, LEVEL = 2048, 4096, 3
+WINDOW_CHARS, BLOCK_BYTES, LEVEL = 2048, 2048, 3
 
 
 @dataclass(frozen=True)
 class Model:
     good: bytes
     bad: bytes
-    slope: float
+    #: Of the curve: for the difference and for the shortness.
+    weights: tuple[float, float]
     intercept: float
 
 
@@ -58,6 +60,14 @@ def differences(column: pa.Array, good: zstandard.ZstdCompressor, bad: zstandard
     return out
 
 
+def curve(difference: np.ndarray, n_bytes: np.ndarray, model: Model) -> np.ndarray:
+    return sigmoid(model.weights[0] * difference + model.weights[1] * shortness(n_bytes) + model.intercept)
+
+
+def shortness(n_bytes: np.ndarray) -> np.ndarray:
+    return 1 / (1 + n_bytes / 100)
+
+
 def dictionary(windows: list[str], size: int) -> bytes:
     """A trained dictionary; too few samples to train from are taken as the content themselves."""
     raw = [w.encode() for w in windows if w]
@@ -80,17 +90,16 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, windows: int = 1500
         found = cut.where(F.col("label") == label).orderBy("order").limit(windows).select("window").collect()
         content[label] = dictionary([r.window for r in found], size)
     if not content[0] or not content[1]:
-        return Model(content[1], content[0], 0.0, 0.0)
-    draft = Model(content[1], content[0], 1.0, 0.0)
-    points = scored(rows.where("half = 1").select("doc_id", "text", "label"), draft, "label int").select("difference", "label").collect()
-    x, y = np.array([p.difference for p in points]), np.array([p.label for p in points], float)
-    # Both classes weigh the same, so that the threshold does not hang on how many of either are labelled.
-    slope, intercept = logistic(x, y) if len(points) else (0.0, 0.0)
-    return Model(draft.good, draft.bad, slope, intercept)
+        return Model(content[1], content[0], (0.0, 0.0), 0.0)
+    draft = Model(content[1], content[0], (1.0, 0.0), 0.0)
+    points = scored(rows.where("half = 1").select("doc_id", "text", "label"), draft, "label int").select("difference", "n_bytes", "label").collect()
+    difference, n_bytes, y = (np.array([p[k] for p in points], float) for k in range(3))
+    weights, intercept = logistic(np.stack([difference, shortness(n_bytes)], 1), y)
+    return Model(draft.good, draft.bad, (float(weights[0]), float(weights[1])), intercept)
 
 
 def scored(docs: DataFrame, model: Model, more: str = "") -> DataFrame:
-    """doc_id, difference, score of each row, and the columns named in ``more`` (as schema text)."""
+    """doc_id, difference, n_bytes, score of each row, and the columns named in ``more`` (as schema text)."""
     extra = [part.split()[0] for part in more.split(",") if part.strip()]
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of fixed size
@@ -100,11 +109,12 @@ def scored(docs: DataFrame, model: Model, more: str = "") -> DataFrame:
         good, bad = _compressor(m.good), _compressor(m.bad)
         for batch in batches:
             difference = differences(batch.column("text"), good, bad)
-            value = sigmoid(m.slope * difference + m.intercept)
+            n_bytes = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
+            value = curve(difference, n_bytes.to_numpy(zero_copy_only=False), m)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(difference), pa.array(value), *[batch.column(c) for c in extra]],
-                names=["doc_id", "difference", "score", *extra],
+                [batch.column("doc_id"), pa.array(difference), n_bytes, pa.array(value), *[batch.column(c) for c in extra]],
+                names=["doc_id", "difference", "n_bytes", "score", *extra],
             )
 
-    schema = f"doc_id {kind}, difference double, score double" + (f", {more}" if more else "")
+    schema = f"doc_id {kind}, difference double, n_bytes long, score double" + (f", {more}" if more else "")
     return docs.select("doc_id", "text", *extra).mapInArrow(score, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import exact_dedup, html, language, mixing, quality, sharding, toxicity
+from waybill.llm import decontamination, exact_dedup, html, language, mixing, quality, sharding, toxicity
 from waybill.llm.columns import fold
 from waybill.llm.sql import ORACLE  # noqa: F401
 
@@ -22,6 +22,11 @@ def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(documents(spark, folder), SOURCE_WEIGHTS, epochs=1.0, seed=17)
 
 
+def op2_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the items."""
+    return decontamination.report(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op3_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document by compression with dictionaries of good and bad text."""
     docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
@@ -62,4 +67,4 @@ def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extracted(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op3_compression_quality, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_benchmark_leaks, op3_compression_quality, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text)}

@@ -17,22 +17,25 @@ def labelled(labels: DataFrame, column: str, allowed, per_class: dict[int, int],
     return picked.dropDuplicates([id_col])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve through (x, y), classes weighted as they are. Newton's steps."""
-    if len(x) == 0 or y.min() == y.max():
-        return 1.0, 0.0
-    centre, scale = float(x.mean()), float(x.std()) or 1.0
-    design = np.stack([(x - centre) / scale, np.ones(len(x))], 1)
-    w = np.zeros(2)
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic curve through rows of x. Newton's steps; all zero if y has one value only."""
+    x = np.asarray(x, float).reshape(len(y), -1)
+    if len(y) == 0 or y.min() == y.max():
+        return np.zeros(x.shape[1]), 0.0
+    centre, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
+    design = np.hstack([(x - centre) / scale, np.ones((len(x), 1))])
+    penalty = np.diag([ridge] * x.shape[1] + [1e-9])
+    w = np.zeros(design.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (p - y) / len(x) + ridge * np.array([w[0], 0])
-        hessian = design.T @ (design * (p * (1 - p))[:, None]) / len(x) + ridge * np.eye(2)
+        gradient = design.T @ (p - y) / len(x) + penalty @ w
+        hessian = design.T @ (design * (p * (1 - p))[:, None]) / len(x) + penalty + 1e-9 * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-6:
             break
-    return float(w[0] / scale), float(w[1] - w[0] * centre / scale)
+    weights = w[:-1] / scale
+    return weights, float(w[-1] - weights @ centre)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

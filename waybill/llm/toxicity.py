@@ -339,4 +339,5 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, toxic: int = 4000,
     x, y = np.array([p.evidence for p in points]), np.array([p.label for p in points], float)
     if not len(points) or not table:
         return Model(table, per_word, 1.0, -2.0)
-    return Model(table, per_word, *logistic(np.sign(x) * np.log1p(np.abs(x)), y))
+    weights, intercept = logistic(np.sign(x) * np.log1p(np.abs(x)), y)
+    return Model(table, per_word, float(weights[0]), intercept)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontamination, exact_dedup, html, language, mixing, quality, sharding, toxicity
+from waybill.llm import decontamination, exact_dedup, html, language, mixing, ngram_join, quality, sharding, toxicity
 from waybill.llm.columns import fold
 from waybill.llm.sql import ORACLE  # noqa: F401
 
@@ -36,6 +36,11 @@ def op3_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates by five-word shingles at three quarters, and their components."""
+    return ngram_join.near_duplicates(documents(spark, folder), width=5, percent=75)
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal texts; the row with the largest id stays."""
     return exact_dedup.equal_texts(documents(spark, folder), digest_all=True)
@@ -67,4 +72,4 @@ def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extracted(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_benchmark_leaks, op3_compression_quality, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_benchmark_leaks, op3_compression_quality, op4_ngram_join, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text)}

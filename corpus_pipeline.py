@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import mixing, queries, sharding
+from waybill.llm import decontamination, mixing, ngram_join, queries, sharding, toxicity
+from waybill.llm.columns import fold
 from waybill.session import scratch_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar, learned from the labels, does not reject."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold("doc_id", 5) != 0)
+    return toxicity.accepted(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group that links hold together."""
+    return ngram_join.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target mix, in shuffled order."""
     return mixing.mixed(docs, queries.SOURCE_WEIGHTS, epochs=1.0, seed=17).select(*docs.columns)
@@ -18,7 +35,13 @@ def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_sheet(docs, queries.SHARDS, queries.SHARDS + [1.0])
 
 
-STAGES = [("mixing", mix_sources), ("sharding", deal_shards)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+    ("sharding", deal_shards),
+]
 
 #: Classifiers learn from the tables, which SQL can't express; tests hold the stages against brute force.
 ORACLE_SQL = None

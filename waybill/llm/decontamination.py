@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waybill.llm.sizes import if_small
 from waybill.llm.tokens import pieces, splitmix, word_hashes
 from waybill.session import cut_lineage
 
@@ -36,6 +37,9 @@ SUBSTITUTION = 3.0
 #: Equal words that a leaked run needs: this share of the item, or this many words.
 SHARE, WORDS = 0.6, 24
 
+#: Rows of id tables that may be broadcast.
+BROADCAST_IDS = 2_000_000
+
 NO_WORD = np.ones(256, dtype=bool)
 NO_WORD[48:58] = NO_WORD[65:91] = NO_WORD[97:123] = NO_WORD[128:] = False
 FACTORS = splitmix(np.arange(11, 11 + len(MASKS) * 8, dtype=np.uint64)) | np.uint64(1)
@@ -182,3 +186,9 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("equal_words").alias("equal_words"))
         .select("doc_id", "item_ids", F.size("item_ids").alias("n_items"), "equal_words")
     )
+
+
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents without a leak; all columns. If one without an id leaks, all without an id go."""
+    found = cut_lineage(leaks(docs, items).select(F.col("doc_id").alias("_leak")).distinct())
+    return docs.join(if_small(found, BROADCAST_IDS), F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")

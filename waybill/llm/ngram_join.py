@@ -285,3 +285,20 @@ class Join:
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id, class_size of every document."""
     return Join(docs, width, percent, id_col).documents()
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """The documents without those that link to one with a smaller id; all columns.
+
+    Documents without words stay. Texts under one id share its fate; rows with no id, or that repeat one, stay once for each text.
+    """
+    found = near_duplicates(docs, width, percent).select("doc_id", "component_id")
+    found = cut_lineage(found)
+    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
+    out = docs.join(if_small(dropped, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+    again = cut_lineage(found.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_again")))
+    if again.isEmpty():
+        return out
+    same = F.col("doc_id").eqNullSafe(F.col("_again"))
+    again = if_small(again, BROADCAST_IDS)
+    return out.join(again, same, "left_anti").union(out.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontamination, exact_dedup, html, language, mixing, ngram_join, quality, sharding, toxicity
+from waybill.llm import decontamination, exact_dedup, html, language, language_model, mixing, ngram_join, quality, sharding, toxicity
 from waybill.llm.columns import fold
 from waybill.llm.sql import ORACLE  # noqa: F401
 
@@ -72,4 +72,11 @@ def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extracted(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_benchmark_leaks, op3_compression_quality, op4_ngram_join, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text)}
+def op10_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document under a trigram model of six sevenths of them."""
+    found = language_model.trained_and_scored(documents(spark, folder), fold("doc_id", 7) != 2)
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), *columns)
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_benchmark_leaks, op3_compression_quality, op4_ngram_join, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text, op10_ngram_trie)}

@@ -201,6 +201,14 @@ def evidence(data: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.nd
     return total, clauses
 
 
+def curve(values: np.ndarray, model: Model) -> np.ndarray:
+    return sigmoid(model.slope * damped(values) + model.intercept)
+
+
+def damped(values: np.ndarray) -> np.ndarray:
+    return np.sign(values) * np.log1p(np.abs(values))
+
+
 def measured(docs: DataFrame, model: Model, more: str = "") -> DataFrame:
     """doc_id, evidence, clauses, score, and the columns named in ``more``."""
     extra = [part.split()[0] for part in more.split(",") if part.strip()]
@@ -212,7 +220,7 @@ def measured(docs: DataFrame, model: Model, more: str = "") -> DataFrame:
             values, counts = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             for low, high, data, offsets in pieces(batch.column("text"), lower=True):
                 values[low:high], counts[low:high] = evidence(data, offsets, m)
-            score = sigmoid(m.slope * np.sign(values) * np.log1p(np.abs(values)) + m.intercept)
+            score = curve(values, m)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(values), pa.array(counts), pa.array(score), *[batch.column(c) for c in extra]],
                 names=["doc_id", "evidence", "clauses", "score", *extra],
@@ -222,6 +230,21 @@ def measured(docs: DataFrame, model: Model, more: str = "") -> DataFrame:
     return docs.select("doc_id", "text", *extra).mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The documents scored below the threshold, with all their columns, in one pass over the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            values = np.zeros(batch.num_rows)
+            for low, high, data, offsets in pieces(batch.column("text"), lower=True):
+                values[low:high] = evidence(data, offsets, m)[0]
+            yield batch.filter(pa.array(curve(values, m) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The least word hash of each text: near copies mostly share it."""
     for batch in batches:
@@ -339,5 +362,5 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, toxic: int = 4000,
     x, y = np.array([p.evidence for p in points]), np.array([p.label for p in points], float)
     if not len(points) or not table:
         return Model(table, per_word, 1.0, -2.0)
-    weights, intercept = logistic(np.sign(x) * np.log1p(np.abs(x)), y)
+    weights, intercept = logistic(damped(x), y)
     return Model(table, per_word, float(weights[0]), intercept)

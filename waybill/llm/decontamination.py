@@ -30,8 +30,9 @@ from waybill.session import cut_lineage
 # Positions that each mask looks at. Each has weight 5; the spans are 5 to 9 words.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 2, 3, 5, 8), (0, 1, 4, 6, 7))
 LEAST_ITEM = 5
-#: Bits of the table of test windows: 2 MB, whatever the number of items.
-TABLE_BITS = 1 << 24
+#: Bits of the table of test windows: 2 MB, whatever the number of items. Each window sets a bit for each shift. It rules
+#: out nearly all other windows up to about a million test windows; more of them only let more rows into the join.
+TABLE_BITS, SHIFTS = 1 << 24, (0, 20, 40)
 #: Cost of a substitution against a gain of 1 for an equal word: runs keep three quarters equal words at least.
 SUBSTITUTION = 3.0
 #: Equal words that a leaked run needs: this share of the item, or this many words.
@@ -83,11 +84,18 @@ def test_windows(items: DataFrame) -> DataFrame:
     return items.select("item_id", "text").mapInArrow(_items, f"item_id {kind}, mask int, seed long, item_at int, item_words int, body binary")
 
 
+def bits_of(seed, shift: int):
+    """One of the numbers below TABLE_BITS that stand for a seed: works on a column and on an array."""
+    if isinstance(seed, np.ndarray):
+        return (seed >> np.uint64(shift)) & np.uint64(TABLE_BITS - 1)
+    return F.shiftrightunsigned(seed, shift).bitwiseAND(F.lit(TABLE_BITS - 1))
+
+
 def bit_table(windows: DataFrame) -> np.ndarray:
-    """Which of the ``TABLE_BITS`` numbers occur among the seeds: at most TABLE_BITS / 64 rows come to the driver."""
-    bit = F.pmod("seed", F.lit(TABLE_BITS))
+    """The bits of all seeds: at most TABLE_BITS / 64 rows come to the driver."""
+    bits = windows.select(F.explode(F.array(*[bits_of(F.col("seed"), shift) for shift in SHIFTS])).alias("bit"))
     words = (
-        windows.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("word"))
+        bits.groupBy(F.floor(F.col("bit") / 64).alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("mask")).collect()
     )
     table = np.zeros(TABLE_BITS // 64, np.int64)
@@ -96,6 +104,15 @@ def bit_table(windows: DataFrame) -> np.ndarray:
     return table.view(np.uint64)
 
 
+def in_table(seeds_here: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Places of the seeds of which all bits are set."""
+    at = np.arange(len(seeds_here))
+    for shift in SHIFTS:
+        bit = bits_of(seeds_here[at], shift)
+        at = at[((table[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)]
+    return at
+
+
 def document_hits(spark: SparkSession, docs: DataFrame, table: np.ndarray, id_col: str = "doc_id") -> DataFrame:
     """doc_id, text_key, words, hits (mask, seed, doc_at) of the documents that have a window in the table."""
     shared = spark.sparkContext.broadcast(table)
@@ -109,8 +126,7 @@ def document_hits(spark: SparkSession, docs: DataFrame, table: np.ndarray, id_co
                 found: dict[int, list] = {}
                 for mask in range(len(MASKS)):
                     values = seeds(words, mask)
-                    bit = values & np.uint64(TABLE_BITS - 1)
-                    at = np.flatnonzero((known[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1))
+                    at = in_table(values, known)
                     owner = np.searchsorted(bounds, at, side="right") - 1
                     inside = at + MASKS[mask][-1] < bounds[owner + 1]
                     for k, row in zip(at[inside].tolist(), owner[inside].tolist()):

@@ -70,18 +70,21 @@ def class_of(own: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFrame:
-    """doc_id, n, cls, grp, first (the first shingles by hash), often (those of them that this task has seen very often)."""
+    """doc_id, n, cls, grp, first (the first shingles by hash), often (those of them that this task has seen very often),
+    brief (the upper halves of enough of the first hashes to rule out most pairs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.num_rows
             n, cls, grp = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
             first: list = [None] * rows
+            brief: list = [None] * rows
             for row, own in shingle_sets(batch.column("text"), width):
                 p = prefix_size(len(own), percent)
                 n[row], cls[row], grp[row] = len(own), class_of(own), class_of(own[:p]) ^ len(own)
                 # A quarter more than the prefix, to make up for frequent ones.
                 first[row] = own[: p + p // 4 + 4].copy()
+                brief[row] = (own[: p * 4 // 5 + 8] >> 32).astype(np.int32).tobytes()
             filled = [k for k in range(rows) if first[k] is not None]
             often: list = [None] * rows
             if filled:
@@ -96,12 +99,12 @@ def signatures(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFr
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(n), pa.array(cls, mask=n == 0), pa.array(grp, mask=n == 0),
-                    pa.array(first, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64())),
+                    pa.array(first, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64())), pa.array(brief, pa.binary()),
                 ],
-                names=["doc_id", "n", "cls", "grp", "first", "often"],
+                names=["doc_id", "n", "cls", "grp", "first", "often", "brief"],
             )
 
-    schema = f"doc_id {dict(docs.dtypes)[id_col]}, n long, cls long, grp long, first array<long>, often array<long>"
+    schema = f"doc_id {dict(docs.dtypes)[id_col]}, n long, cls long, grp long, first array<long>, often array<long>, brief binary"
     return docs.select(F.col(id_col).alias("doc_id"), "text").mapInArrow(run, schema)
 
 
@@ -125,25 +128,31 @@ def size_fits(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many numbers of one sorted array the other holds."""
+    if not len(a) or not len(b):
+        return 0
+    at = np.minimum(b.searchsorted(a), len(b) - 1)
+    return int((b[at] == a).sum())
+
+
 def _bounded(percent: int):
-    """Keeps pairs that their first shingles don't rule out: what both have up to the same hash is compared."""
+    """Keeps pairs that their first shingles don't rule out: what both have up to the same hash is compared.
+
+    Half hashes that agree by chance let a pair through to the exact check; they rule none out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            ns = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-            parts = []
-            for name in ("first_a", "first_b"):
-                column = batch.column(name)
-                parts.append((column.offsets.to_numpy(), column.values.to_numpy()))
-            for k in range(batch.num_rows):
-                a, b = (values[offsets[k] : offsets[k + 1]] for offsets, values in parts)
-                na, nb = int(ns[0][k]), int(ns[1][k])
-                # A complete list says all there is to know; an incomplete one is known up to its last hash.
-                limit = min(int(a[-1]) if len(a) < na else 2**63 - 1, int(b[-1]) if len(b) < nb else 2**63 - 1)
-                ka, kb = np.searchsorted(a, limit, side="right"), np.searchsorted(b, limit, side="right")
-                both = len(np.intersect1d(a[:ka], b[:kb], assume_unique=True))
-                most = both + min(na - ka, nb - kb)
+            columns = [batch.column(f"{c}_{x}").to_pylist() for c in ("n", "brief") for x in "ab"]
+            for k, (na, nb, brief_a, brief_b) in enumerate(zip(*columns)):
+                a, b = np.frombuffer(brief_a, np.int32), np.frombuffer(brief_b, np.int32)
+                # A complete list says all there is to know; an incomplete one is known below its last half hash.
+                limit = min(int(a[-1]) if len(a) < na else 2**31, int(b[-1]) if len(b) < nb else 2**31)
+                ka, kb = np.searchsorted(a, limit), np.searchsorted(b, limit)
+                both = common(a[:ka], b[:kb])
+                most = min(both + min(na - ka, nb - kb), na, nb)
                 keep[k] = 100 * most >= percent * (na + nb - most)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
@@ -160,7 +169,7 @@ def _linked(percent: int):
                 parts.append((column.offsets.to_numpy(), column.values.to_numpy()))
             for k in range(batch.num_rows):
                 a, b = (values[offsets[k] : offsets[k + 1]] for offsets, values in parts)
-                both = len(np.intersect1d(a, b, assume_unique=True))
+                both = common(a, b)
                 keep[k] = 100 * both >= percent * (len(a) + len(b) - both)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
@@ -176,31 +185,37 @@ class Join:
         filled = self.base.where("n > 0")
         #: cls, n, grp, doc_id (a document that has this set; its text can be read again).
         self.classes = cut_lineage(filled.groupBy("cls", "n", "grp").agg(F.min("doc_id").alias("doc_id")))
-        self.lists = filled.select("cls", "n", "first")
+        self.lists = filled.select("cls", "n", "brief")
 
     def entries(self) -> DataFrame:
-        """tok, grp, n of the groups that share prefix shingles with others, frequent ones moved to the end of the order."""
+        """tok, grp, n: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
+
+        Shingles with the same groups are one bucket, which stands for all of them: a family of near copies shares
+        hundreds of shingles and has a few buckets.
+        """
         filled = self.base.where("n > 0")
         rest = F.when(F.col("often").isNull(), F.col("first")).otherwise(F.array_except("first", "often"))
         rows = filled.select("grp", "n", F.explode(rest).alias("tok"))
-        # One exchange: copies fall out and shingles are counted where they meet. Often seen ones have not been sent.
+        # One exchange: copies fall out, and shingles are counted where they meet. Often seen ones have not been sent.
         met = rows.repartition("tok").distinct()
-        counted = met.withColumn("c", F.count("*").over(Window.partitionBy("tok"))).where("c > 1")
-        shared = cut_lineage(counted)
-        often = filled.where("often is not null").select(F.explode("often").alias("tok")).distinct()
-        frequent = cut_lineage(shared.where(F.col("c") > FREQUENT).select("tok").distinct().union(often).distinct())
+        here = Window.partitionBy("tok")
+        counted = met.withColumn("c", F.count("*").over(here)).withColumn("alike", F.expr("bit_xor(xxhash64(grp))").over(here)).where("c > 1")
+        # The groups of a bucket decide its number; frequent shingles stay by themselves.
+        frequent_here = F.col("c") > FREQUENT
+        shared = counted.select(F.when(frequent_here, F.col("tok")).alias("often"), F.when(~frequent_here, F.col("alike")).alias("tok"), "grp", "n")
+        shared = cut_lineage(shared.distinct())
+        sent = shared.where("often is not null").select("grp", F.col("often").alias("tok"))
+        kept_back = filled.where("often is not null").select("grp", F.explode("often").alias("tok"))
+        lost_rows = cut_lineage(sent.union(kept_back).distinct())
+        frequent = lost_rows.select("tok").distinct()
+        buckets = shared.where("often is null").select("tok", "grp", "n")
         # Groups whose first shingles don't hold a whole prefix without the frequent ones.
-        lost = (
-            shared.where(F.col("c") > FREQUENT).select("grp", "tok")
-            .union(filled.where("often is not null").select("grp", F.explode("often").alias("tok"))).distinct()
-            .groupBy("grp").agg(F.count("*").alias("lost"))
-        )
+        lost = lost_rows.groupBy("grp").agg(F.count("*").alias("lost"))
         need = F.col("n") - F.ceil(F.lit(self.percent) * F.col("n") / 100) + 1
         sizes = filled.select("grp", "n", F.size("first").alias("size")).distinct()
         short = cut_lineage(sizes.join(lost, "grp").where(F.col("size") - F.col("lost") < need).select("grp", "n"))
-        usable = shared.where(F.col("c") <= FREQUENT).select("tok", "grp", "n")
         if short.isEmpty():
-            return usable
+            return buckets
         # Their exact prefixes, from whole sets: shingles that are not frequent first, by hash.
         members = self.classes.join(short.select("grp"), "grp")
         sets = whole_sets(self.docs, members, self.width, self.id_col).join(members.select("cls", "grp", "n"), "cls")
@@ -208,18 +223,18 @@ class Join:
         flagged = tokens.join(if_small(frequent.withColumn("late", F.lit(1)), BROADCAST_IDS), "tok", "left")
         place = F.row_number().over(Window.partitionBy("grp", "n").orderBy(F.coalesce("late", F.lit(0)), "tok"))
         exact = cut_lineage(flagged.withColumn("place", place).where(F.col("place") <= need).select("tok", "grp", "n"))
-        # A shingle of theirs may have been unshared, and so dropped, among the others: those are fetched again.
+        # The other groups that have one of these shingles, unless it is frequent and so behind their own prefixes.
         again = rows.join(if_small(exact.select("tok").distinct(), BROADCAST_IDS), "tok", "left_semi")
         again = again.join(if_small(frequent, BROADCAST_IDS), "tok", "left_anti").select("tok", "grp", "n")
-        return usable.union(exact).union(again).distinct()
+        return buckets.union(exact.union(again).distinct())
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links among pairs of classes: bounded by their first shingles, then on whole sets."""
         pairs = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
         lists = self.lists.join(if_small(asked, BROADCAST_IDS), "cls", "left_semi").dropDuplicates(["cls"])
-        a = lists.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("first").alias("first_a"))
-        b = lists.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("first").alias("first_b"))
+        a = lists.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("brief").alias("brief_a"))
+        b = lists.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("brief").alias("brief_b"))
         listed = pairs.join(a, "a").join(b, "b").where(size_fits(F.col("n_a"), F.col("n_b"), self.percent))
         left = cut_lineage(listed.mapInArrow(_bounded(self.percent), "a long, b long"))
         needed = left.select(F.col("a").alias("cls")).union(left.select(F.col("b").alias("cls"))).distinct()

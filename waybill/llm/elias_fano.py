@@ -33,8 +33,9 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
 class EliasFano:
     """``find`` gives the place of a number or -1, ``get`` the number at a place."""
 
-    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray, ones: np.ndarray):
-        self.n, self.width, self.low, self.high, self.zeros, self.ones = n, width, low, high, zeros, ones
+    def __init__(self, n: int, width: int, buckets: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray, ones: np.ndarray):
+        self.n, self.width, self.buckets = n, width, buckets
+        self.low, self.high, self.zeros, self.ones = low, high, zeros, ones
 
     @staticmethod
     def arrays(values: np.ndarray, universe: int) -> tuple[list[int], list[np.ndarray]]:
@@ -50,7 +51,7 @@ class EliasFano:
         kind = np.uint32 if len(bits) < 2**32 else U
         zeros = np.flatnonzero(bits[: n + buckets + 1] == 0)[::SAMPLE].astype(kind)
         high = np.packbits(bits, bitorder="little").view(U)
-        return [n, width], [low, high, zeros, place[::SAMPLE].astype(kind)]
+        return [n, width, int(buckets)], [low, high, zeros, place[::SAMPLE].astype(kind)]
 
     @staticmethod
     def _select(high: np.ndarray, samples: np.ndarray, k: np.ndarray, invert: bool) -> np.ndarray:
@@ -84,32 +85,36 @@ class EliasFano:
         return (top << U(self.width)) | low
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """The first place that holds the number, found among the few with the same high part; -1 if there is none."""
+        """The place of each number; -1 if it is not there. Among numbers with one high part, by halving."""
         out = np.full(len(values), -1, np.int64)
         if not self.n or not len(values):
             return out
         values = values.astype(U)
         bucket = values >> U(self.width)
-        start = np.zeros(len(values), U)
+        # A bucket's numbers lie between the zero before it and its own; buckets beyond the last number have none.
+        at = np.flatnonzero(bucket < U(self.buckets))
+        bucket = bucket[at]
+        low = np.zeros(len(at), U)
         later = bucket > 0
-        inside = bucket <= U(len(self.high) * 64)
-        known = later & inside
-        # The zero before a bucket; buckets beyond the last number hold nothing.
-        most = U(max(0, len(self.zeros) * SAMPLE - 1))
-        known &= bucket - U(1) <= most
-        start[known] = self._select(self.high, self.zeros, bucket[known] - U(1), True) + U(1)
-        active = np.flatnonzero(known | ~later)
-        at, place = start[active], start[active] - bucket[active]
-        want = values[active] & U((1 << self.width) - 1)
-        while len(active):
-            # One more number of the bucket, if a set bit follows.
-            more = ((_read(self.high, at) & U(1)) == 1) & (place < U(self.n))
-            active, at, place, want = active[more], at[more], place[more], want[more]
-            if not len(active):
-                break
-            low = _read(self.low, place * U(self.width)) & U((1 << self.width) - 1) if self.width else np.zeros(len(place), U)
-            hit = low == want
-            out[active[hit]] = place[hit].astype(np.int64)
-            on = low < want
-            active, at, place, want = active[on], at[on] + U(1), place[on] + U(1), want[on]
+        low[later] = self._select(self.high, self.zeros, bucket[later] - U(1), True) + U(1) - bucket[later]
+        # Most buckets hold one number or none: the two bits behind the first zero tell.
+        end = low + bucket
+        following = _read(self.high, end)
+        short = (following & U(3)) != U(3)
+        high = low + (following & U(1))
+        if not short.all():
+            long = ~short
+            high[long] = self._select(self.high, self.zeros, bucket[long], True) - bucket[long]
+        want = values[at] & U((1 << self.width) - 1)
+        some = high > low
+        at, low, high, want = at[some], low[some], high[some], want[some]
+        while len(at):
+            middle = (low + high) >> U(1)
+            found = _read(self.low, middle * U(self.width)) & U((1 << self.width) - 1) if self.width else np.zeros(len(at), U)
+            hit = found == want
+            out[at[hit]] = middle[hit].astype(np.int64)
+            less = found < want
+            low, high = np.where(less, middle + U(1), low), np.where(less, high, middle)
+            on = ~hit & (low < high)
+            at, low, high, want = at[on], low[on], high[on], want[on]
         return out

@@ -46,7 +46,7 @@ END = U(0x656E64206F662074)
 PRIOR_2, PRIOR_3 = 4.0, 4.0
 #: Words of a vocabulary file and distinct n-grams of a trie file, on average.
 FILE_WORDS, FILE_NGRAMS = 1_000_000, 2_000_000
-PIECE = 6 << 20
+PIECE = 3 << 20
 
 
 @dataclass(frozen=True)

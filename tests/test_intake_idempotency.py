@@ -106,3 +106,8 @@ def test_insert_if_absent(spark):
     df = spark.createDataFrame([(1, T0, 5, "K", "h"), (2, T0, 5, "L", "h"), (3, T0, 5, "L", "x")], REQUESTS)
     stored = spark.createDataFrame([(5, "K")], "customer_id long, idempotency_key string")
     assert [r.owner_request_id for r in idempotency.insert_if_absent(df, stored).collect()] == [2]
+
+
+def test_requests_without_key_are_invalid(spark):
+    rows = [(1, T0, 5, None, "a"), (2, T0, 5, None, "b"), (3, T0, 5, "K", "a")]
+    assert classify(spark, rows) == {1: ("INVALID", 400, None), 2: ("INVALID", 400, None), 3: ("CREATED", 201, 3)}

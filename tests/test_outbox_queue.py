@@ -37,7 +37,7 @@ def test_recovery_takes_lowest_free_active_ids(spark):
 def test_claim_and_reoffer(spark):
     df = rows(spark, (1, 0, 0, None), (2, 0, 0, later(5)), (3, 110, 0, None), (4, 0, 0, None))
     ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
-    claimed = outbox.claim(df, ids, "pod-1", F.lit(NOW), 30, max_ids=3).collect()
+    claimed = outbox.claim(df, ids, "pod-1", F.lit(NOW), 30).collect()
     assert [(r.id, r.status, r.locked_by, r.locked_until) for r in claimed] == [(1, S.PROCESSING, "pod-1", later(30))]
     assert [r.id for r in outbox.reofferable(df, ids, F.lit(NOW)).collect()] == [1]
 

@@ -58,7 +58,7 @@ def test_join_per_key_keeps_every_row_once(spark):
 
 
 def library():
-    return [(p, p.read_text()) for p in (ROOT / "waybill").rglob("*.py")]
+    return [(p, p.read_text()) for p in (ROOT / "waybill").rglob("*.py") if "llm" not in p.parts]
 
 
 def test_library_stays_on_the_executors():
@@ -81,3 +81,24 @@ def test_attempts_are_cut_down_before_the_shuffle(spark, folder):
 
     plan = outbox.replay_attempts(driver_tables.attempts(spark, folder), 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_slices_keep_rows_without_group_or_order(spark):
+    rows = [(None, 1), (None, None), ("a", 2), ("a", None), ("a", 5), (None, 9)]
+    df = spark.createDataFrame(rows, "g string, seq long")
+    slice_ = slices.id_slice(F.col("seq"), 2)
+    ranked = sorted((str(r.g), r.n) for r in slices.ranked(df, ["g"], ["seq"], slice_, "n").collect())
+    assert ranked == [("None", 1), ("None", 2), ("None", 3), ("a", 1), ("a", 2), ("a", 3)]
+    assert slices.previous(df, ["g"], "seq", slice_, "seq", "before").count() == 6
+    assert slices.last_seen(df, ["g"], ["seq"], slice_, "seq", "seen").count() == 6
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+    from waybill.session import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None)))

@@ -10,8 +10,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as entry
 from check_queries import TABLES, normal
+from waybill.queries import catalog
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -85,7 +85,18 @@ def test_request_hash_covers_order_scale_and_correlation(spark):
     df = spark.createDataFrame(bodies, f"customer_id long, items {S.ITEMS}, c string")
     hashes = [r[0] for r in df.select(scalars.request_hash(F.col("customer_id"), F.col("items"), F.col("c"))).collect()]
     assert len(set(hashes)) == 6
-    assert hashes[0] == hashlib.sha256(b"correlationId=c|customerId=42|items=sku-1:2:5.00").hexdigest()
+    text = b'{"correlationId":"c","customerId":42,"items":[{"price":5.00,"productId":"sku-1","quantity":2}]}'
+    assert hashes[0] == hashlib.sha256(text).hexdigest()
+
+
+def test_request_hash_tells_separators_from_text(spark):
+    from decimal import Decimal as D
+
+    one_item = [{"productId": 'a":1,"b', "quantity": 2, "price": D("2.00")}]
+    odd = [{"productId": "a:1:2.00;b", "quantity": 1, "price": D("2.00")}]
+    two = [{"productId": "a", "quantity": 1, "price": D("2.00")}, {"productId": "b", "quantity": 1, "price": D("2.00")}]
+    df = spark.createDataFrame([(1, one_item, None), (1, odd, None), (1, two, None), (1, None, None), (None, two, None)], f"customer_id long, items {S.ITEMS}, c string")
+    assert df.select(scalars.request_hash(F.col("customer_id"), F.col("items"), F.col("c"))).distinct().count() == 5
 
 
 def test_log_time_and_iso(spark):

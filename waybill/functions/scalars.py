@@ -29,21 +29,13 @@ def utf8(text: Column) -> Column:
     return F.encode(text, "UTF-8")
 
 
-def items_text(items: Column) -> Column:
-    """Items in their order, each as product, quantity and price with its two digits. Missing parts are left out."""
-    one = lambda i: F.concat_ws(":", i["productId"], i["quantity"].cast("string"), i["price"].cast("string"))
-    return F.array_join(F.transform(items, one), ";")
-
-
 def request_hash(customer_id: Column, items: Column, correlation_id: Column) -> Column:
-    """Lower-case hex SHA-256 over the whole request: customer, items in order, correlation id if there is one."""
-    parts = F.concat_ws(
-        "|",
-        F.concat(F.lit("correlationId="), correlation_id),
-        F.concat(F.lit("customerId="), customer_id.cast("string")),
-        F.concat(F.lit("items="), items_text(items)),
+    """Lower-case hex SHA-256 of the request as JSON: fields in alphabetical order, items in theirs, nulls left out."""
+    one = lambda i: F.struct(i["price"].alias("price"), i["productId"].alias("productId"), i["quantity"].alias("quantity"))
+    whole = F.struct(
+        correlation_id.alias("correlationId"), customer_id.alias("customerId"), F.transform(items, one).alias("items")
     )
-    return F.sha2(parts, 256)
+    return F.sha2(F.to_json(whole), 256)
 
 
 def items_total(items: Column) -> Column:

@@ -12,6 +12,7 @@ KEY = ["customer_id", "idempotency_key"]
 
 # Outcome -> response code.
 HTTP_STATUS = {
+    "INVALID": 400,
     "CREATED": 201,
     "REPLAYED": 200,
     "CONFLICT_HASH": 409,
@@ -22,9 +23,9 @@ HTTP_STATUS = {
 
 
 def first_requests(requests: DataFrame) -> DataFrame:
-    """The winner of each key: earliest arrival, then lowest id. Combined before the shuffle, so hot keys are cheap."""
+    """The winner of each key: earliest arrival, then lowest id. Requests without key own nothing. Combined before the shuffle, so hot keys are cheap."""
     first = F.min(F.struct("arrival_ts", "request_id", "request_hash")).alias("first")
-    return requests.groupBy(*KEY).agg(first, F.count(F.lit(1)).alias("requests")).select(
+    return requests.dropna(subset=KEY).groupBy(*KEY).agg(first, F.count(F.lit(1)).alias("requests")).select(
         *KEY,
         F.col("first.request_id").alias("owner_request_id"),
         F.col("first.request_hash").alias("owner_hash"),
@@ -43,7 +44,7 @@ def insert_if_absent(requests: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def outcome(is_stored: Column) -> Column:
-    """The request hash is compared before any status is looked at."""
+    """A request without key is invalid. The request hash is compared before any status is looked at."""
     other_hash = F.col("request_hash") != F.col("owner_hash")
     has_body = F.col("stored_body").isNotNull()
     stored_case = (
@@ -56,9 +57,11 @@ def outcome(is_stored: Column) -> Column:
     fresh_case = (
         F.when(F.col("request_id") == F.col("owner_request_id"), "CREATED")
         .when(other_hash, "CONFLICT_HASH")
-        .otherwise("REPLAYED")
+        .when(F.col("owner_request_id").isNotNull(), "REPLAYED")
+        .otherwise(F.raise_error(F.lit("a request whose key has no owner")))
     )
-    return F.when(is_stored, stored_case).otherwise(fresh_case)
+    no_key = F.col("customer_id").isNull() | F.col("idempotency_key").isNull()
+    return F.when(no_key, "INVALID").when(is_stored, stored_case).otherwise(fresh_case)
 
 
 def classified(requests: DataFrame, stored: DataFrame | None = None, hot_rows: int = 10_000_000) -> DataFrame:

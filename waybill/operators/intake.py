@@ -9,13 +9,14 @@ from waybill import schemas as S
 from waybill.functions import scalars
 
 # The field each rule is about, as reported to the client.
-RULES = ("customerId", "items", "items.productId", "items.quantity", "items.price")
+RULES = ("idempotencyKey", "customerId", "items", "items.productId", "items.quantity", "items.price")
 
 
-def violations(customer_id: Column, items: Column) -> Column:
-    """The fields of a request that break a rule, in the order of ``RULES``; an empty array for a valid request."""
+def violations(customer_id: Column, items: Column, idempotency_key: Column | None = None) -> Column:
+    """The key is a required header, looked at where it is given. The fields of a request that break a rule, in the order of ``RULES``; an empty array for a valid request."""
     some = F.coalesce(F.size(items), F.lit(0)) > 0
     broken = {
+        "idempotencyKey": F.lit(False) if idempotency_key is None else idempotency_key.isNull(),
         "customerId": customer_id.isNull() | (customer_id <= 0),
         "items": ~some,
         "items.productId": some & F.exists(items, lambda i: scalars.is_blank(i["productId"])),
@@ -26,7 +27,8 @@ def violations(customer_id: Column, items: Column) -> Column:
 
 
 def validated(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("errors", violations(F.col("customer_id"), F.col("items")))
+    key = F.col("idempotency_key") if "idempotency_key" in requests.columns else None
+    return requests.withColumn("errors", violations(F.col("customer_id"), F.col("items"), key))
 
 
 def split_valid(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -63,14 +63,9 @@ def under_lease(rows: DataFrame, instance: str, now: Column, lease_seconds: int)
     )
 
 
-def claim(outbox: DataFrame, ids: DataFrame, instance: str, now: Column, lease_seconds: int, max_ids: int | None = None) -> DataFrame:
-    """Rows among ``ids`` that this instance gets, moved to PROCESSING under its lease.
-
-    Pass ``max_ids`` only where a limit on the id set exists; a set of at most 10,000 ids is then broadcast.
-    """
+def claim(outbox: DataFrame, ids: DataFrame, instance: str, now: Column, lease_seconds: int) -> DataFrame:
+    """Rows among ``ids`` that this instance gets, moved to PROCESSING under its lease."""
     wanted = ids.select("id").distinct()
-    if max_ids is not None and max_ids <= 10_000:
-        wanted = F.broadcast(wanted)
     return under_lease(free_active(outbox, now).join(wanted, "id", "left_semi"), instance, now, lease_seconds)
 
 

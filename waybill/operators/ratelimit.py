@@ -26,6 +26,8 @@ from waybill.plans.runs import RUN, sorted_runs
 from waybill.session import cut_lineage
 
 MICRO = 1_000_000
+#: Stands for a null key inside the operator; the result has null again.
+NULL_KEY = "\0null"
 
 
 class LevelFunction:
@@ -213,7 +215,7 @@ def token_bucket(
     kept = list(keep or [])
     narrow = requests.select(
         *kept,
-        key.cast("string").alias("__key"),
+        F.coalesce(key.cast("string"), F.lit(NULL_KEY)).alias("__key"),
         F.unix_micros(ts.cast("timestamp")).alias("__ts_us"),
         unique_id.cast("bigint").alias("__id"),
         (F.lit(1) if cost is None else cost).cast("bigint").alias("__cost"),
@@ -221,7 +223,7 @@ def token_bucket(
     start_level, start_ts = F.lit(capacity), F.col("__ts_us")
     if levels is not None:
         known = levels.select(
-            F.col("key").alias("__key"), F.col("level").alias("__level"), F.col("ts_us").alias("__level_ts")
+            F.coalesce("key", F.lit(NULL_KEY)).alias("__key"), F.col("level").alias("__level"), F.col("ts_us").alias("__level_ts")
         )
         narrow = narrow.join(known, "__key", "left")
         start_level, start_ts = F.coalesce("__level", start_level), F.coalesce("__level_ts", start_ts)
@@ -237,9 +239,12 @@ def token_bucket(
     ordered = summaries.repartition(1).sortWithinPartitions("run")
     entries = cut_lineage(ordered.mapInPandas(_entries(capacity, rate), "run int, entry_level long, entry_ts_us long"))
     # Bounded by the number of partitions as well.
-    with_entry = runs.join(F.broadcast(entries), runs[RUN] == entries["run"]).drop("run", RUN)
+    with_entry = runs.join(F.broadcast(entries), runs[RUN] == entries["run"], "left").drop("run", RUN)
+    missing = F.raise_error(F.lit("a run without an entry level")).cast("bigint")
+    with_entry = with_entry.withColumn("entry_level", F.coalesce("entry_level", missing))
     passengers = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in narrow.select(*kept).schema) if kept else ""
-    return with_entry.mapInPandas(_decisions(capacity, rate, kept), passengers + DECISIONS)
+    decided = with_entry.mapInPandas(_decisions(capacity, rate, kept), passengers + DECISIONS)
+    return decided.withColumn("key", F.when(F.col("key") != NULL_KEY, F.col("key")))
 
 
 def levels_after(decisions: DataFrame, limit: BucketLimit, earlier: DataFrame | None = None) -> DataFrame:
@@ -297,8 +302,8 @@ def admit_three_tiers(
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Global, then client address, then customer. The first refusal ends it; tokens taken before are not given back.
 
-    ``requests``: ``request_id, arrival_ts, client_ip, customer_id, cost``. Requests without customer skip the last
-    tier. Returns ``request_id, decision, tier`` (the refusing one) for every request, and per tier its decisions.
+    ``requests``: ``request_id, arrival_ts, client_ip, customer_id, cost``. A request without address or
+    without customer passes that tier and goes on to the next. Returns ``request_id, decision, tier`` (the refusing one) for every request, and per tier its decisions.
     """
     levels = levels or {}
     limits = {"global": config.overall, "ip": config.per_ip, "customer": config.per_customer}
@@ -307,14 +312,14 @@ def admit_three_tiers(
     entering, decisions, decided = requests.select(*columns), {}, []
     for tier in TIERS:
         keyed = keys[tier].isNotNull()
-        decided.append(entering.filter(~keyed).select("request_id", F.lit(None).cast("string").alias("tier")))
+        passing = entering.filter(~keyed)
         taken = token_bucket(
             entering.filter(keyed), keys[tier], F.col("arrival_ts"), F.col("request_id"), limits[tier],
             F.col("cost"), levels.get(tier), partitions, columns,
         )
         decisions[tier] = taken
         decided.append(taken.filter(~F.col("admitted")).select("request_id", F.lit(tier).alias("tier")))
-        entering = taken.filter("admitted").select(*columns)
+        entering = taken.filter("admitted").select(*columns).unionByName(passing)
     decided.append(entering.select("request_id", F.lit(None).cast("string").alias("tier")))
     tiers = reduce(DataFrame.unionByName, decided)
     outcome = tiers.withColumn("decision", F.when(F.col("tier").isNull(), "ADMITTED").otherwise("REJECTED"))

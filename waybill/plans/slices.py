@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 SLICE = "__slice"
 
 
+def with_cells(sliced: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row with what its cell carries. A null group and a null slice are groups and slices like others."""
+    named = cells.select(*[F.col(k).alias(f"__cell_{k}") for k in keys], *[c for c in cells.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__cell_{k}")) for k in keys]
+    return sliced.join(named, same).drop(*[f"__cell_{k}" for k in keys])
+
+
 def id_slice(id_column: Column, rows: int) -> Column:
     """Slices of a unique id: as ids are unique, no slice holds more than ``rows`` rows."""
     return F.floor(id_column / F.lit(rows)).cast("bigint")
@@ -30,7 +37,7 @@ def ranked(df: DataFrame, group: list[str], order: list[str], slice_: Column, na
     offsets = cells.select(*group, SLICE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     inside = Window.partitionBy(*group, SLICE).orderBy(*order)
     return (
-        sliced.join(offsets, [*group, SLICE])
+        with_cells(sliced, offsets, [*group, SLICE])
         .withColumn(name, F.col("__before") + F.row_number().over(inside))
         .drop(SLICE, "__before")
     )
@@ -39,12 +46,13 @@ def ranked(df: DataFrame, group: list[str], order: list[str], slice_: Column, na
 def previous(df: DataFrame, group: list[str], order: str, slice_: Column, value: str, name: str) -> DataFrame:
     """``lag(value)`` per group in ``order``, which must be unique inside the group."""
     sliced = df.withColumn(SLICE, slice_)
-    cells = sliced.groupBy(*group, SLICE).agg(F.max_by(value, order).alias("__last"))
+    # Of a slice of rows without an order, which come first, any row is its last one.
+    cells = sliced.groupBy(*group, SLICE).agg(F.max_by(value, F.struct(order)).alias("__last"))
     along = Window.partitionBy(*group).orderBy(SLICE)
     carried = cells.select(*group, SLICE, F.lag("__last").over(along).alias("__carry"))
     inside = Window.partitionBy(*group, SLICE).orderBy(order)
     return (
-        sliced.join(carried, [*group, SLICE])
+        with_cells(sliced, carried, [*group, SLICE])
         .withColumn("__rn", F.row_number().over(inside))
         .withColumn(name, F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.lag(value).over(inside)))
         .drop(SLICE, "__carry", "__rn")
@@ -61,7 +69,7 @@ def last_seen(df: DataFrame, group: list[str], order: list[str], slice_: Column,
     carried = cells.select(*group, SLICE, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
     inside = Window.partitionBy(*group, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        sliced.join(carried, [*group, SLICE])
+        with_cells(sliced, carried, [*group, SLICE])
         .withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("__carry")))
         .drop(SLICE, "__carry")
     )

@@ -52,12 +52,12 @@ def token_bucket_global(spark, folder):
 
 
 def pressure_as_of(spark, folder):
-    rows = R.pressure_as_of(D.arrivals(spark, folder), D.pressure_samples(spark, folder), slice_seconds=3600)
+    rows = R.pressure_as_of(D.arrivals(spark, folder), D.pressure_samples(spark, folder))
     return rows.select("request_id", "instance_id", "pressure")
 
 
 def costed(spark, folder):
-    seen = R.pressure_as_of(arrivals(spark, folder), pressures(spark, folder), slice_seconds=10)
+    seen = R.pressure_as_of(arrivals(spark, folder), pressures(spark, folder))
     cost = R.adaptive_cost(F.col("pressure"), 0.8, 0.5)
     return seen.withColumn("cost", cost)
 
@@ -81,6 +81,24 @@ def three_tier_admission(spark, folder):
     return outcome.select("request_id", "decision", "tier")
 
 
+def without_address(rows):
+    """Every fifth request comes without an address."""
+    return rows.withColumn("client_ip", F.when(F.col("request_id") % 5 != 0, F.col("client_ip")))
+
+
+def bucket_null_keys(spark, folder):
+    """Buckets per address; requests without one share a bucket."""
+    rows = without_address(arrivals(spark, folder))
+    return decisions(R.token_bucket(rows, F.col("client_ip"), F.col("arrival_ts"), F.col("request_id"), LIMITS.per_ip))
+
+
+def admission_null_address(spark, folder):
+    """A request without address passes the tier of addresses, and its customer's bucket decides."""
+    rows = without_address(arrivals(spark, folder)).withColumn("cost", F.lit(1))
+    outcome, _ = R.admit_three_tiers(rows, LIMITS)
+    return outcome.select("request_id", "decision", "tier")
+
+
 def admission_rejects(spark, folder):
     """Rejected requests per tier."""
     rows = arrivals(spark, folder).withColumn("cost", F.lit(1))
@@ -92,7 +110,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         token_bucket_customer, token_bucket_ip, token_bucket_global, pressure_as_of, adaptive_cost, token_bucket_adaptive,
-        three_tier_admission, admission_rejects,
+        three_tier_admission, admission_rejects, bucket_null_keys, admission_null_address,
     )
 }
 
@@ -117,8 +135,8 @@ def walk(name, source, key, limit, cost="1"):
     FROM {name} s JOIN {name}_in i ON i.key = s.key AND i.n = s.n + 1)"""
 
 
-def bucket_sql(key, limit, cost="1", source="arrived", extra=""):
-    body = f", {SHIFTED}{extra}, {walk('steps', source, key, limit, cost)}\nSELECT request_id, key, admitted, level AS level_after FROM steps"
+def bucket_sql(key, limit, cost="1", source="arrived", extra="", shown="key"):
+    body = f", {SHIFTED}{extra}, {walk('steps', source, key, limit, cost)}\nSELECT request_id, {shown} AS key, admitted, level AS level_after FROM steps"
     return with_tables("arrivals pressures", body, recursive=True)
 
 
@@ -134,7 +152,20 @@ refused AS (SELECT request_id, 'global' AS tier FROM t1 WHERE NOT admitted UNION
     UNION ALL SELECT request_id, 'customer' FROM t3 WHERE NOT admitted)
 """
 
+SOME_ADDRESS = "CASE WHEN request_id % 5 <> 0 THEN client_ip ELSE 'none' END"
+SKIPPING = f""", {SHIFTED}, {walk('t1', 'arrived', "'all'", LIMITS.overall)},
+a2 AS (SELECT * FROM arrived WHERE request_id IN (SELECT request_id FROM t1 WHERE admitted)),
+b2 AS (SELECT * FROM a2 WHERE request_id % 5 <> 0), {walk('t2', 'b2', 'client_ip', LIMITS.per_ip)},
+a3 AS (SELECT * FROM a2 WHERE request_id % 5 = 0 OR request_id IN (SELECT request_id FROM t2 WHERE admitted)),
+{walk('t3', 'a3', 'customer_id', LIMITS.per_customer)},
+refused AS (SELECT request_id, 'global' AS tier FROM t1 WHERE NOT admitted UNION ALL SELECT request_id, 'ip' FROM t2 WHERE NOT admitted
+    UNION ALL SELECT request_id, 'customer' FROM t3 WHERE NOT admitted)
+SELECT request_id, CASE WHEN tier IS NULL THEN 'ADMITTED' ELSE 'REJECTED' END AS decision, tier
+FROM arrived LEFT JOIN refused USING (request_id)"""
+
 ORACLE = {
+    "bucket_null_keys": bucket_sql(SOME_ADDRESS, LIMITS.per_ip, shown="nullif(key, 'none')"),
+    "admission_null_address": with_tables("arrivals pressures", SKIPPING, recursive=True),
     "token_bucket_customer": bucket_sql("customer_id", LIMITS.per_customer),
     "token_bucket_ip": bucket_sql("client_ip", LIMITS.per_ip),
     "token_bucket_global": bucket_sql("'all'", LIMITS.overall),

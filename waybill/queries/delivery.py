@@ -10,6 +10,7 @@ from waybill.functions import scalars
 from waybill.operators import consume, idempotency, intake, outbox, publish, queueing
 from waybill.queries.orders import outbox_with_payload
 from waybill.queries.sql import NOW, with_tables
+from waybill.plans import slices
 from waybill.sources import driver_tables as D
 
 LATER = "2024-01-10"
@@ -28,8 +29,7 @@ def idempotency_first_wins(spark, folder):
 
 
 def idempotency_outcomes(spark, folder):
-    # A low limit for hot keys, so that both join paths take part.
-    rows = idempotency.classified(D.arrivals(spark, folder), hot_rows=4)
+    rows = idempotency.classified(D.arrivals(spark, folder))
     return rows.select(
         "request_id", "outcome", F.col("http_status").cast("bigint").alias("http_status"), "owner_request_id"
     )
@@ -40,12 +40,29 @@ def idempotency_outcome_counts(spark, folder):
     return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("requests"))
 
 
+def idempotency_missing_key(spark, folder):
+    """Every seventh request comes without a key: invalid, and no owner of anything."""
+    keyed = F.when(F.col("request_id") % 7 != 0, F.col("idempotency_key"))
+    rows = idempotency.classified(D.arrivals(spark, folder).withColumn("idempotency_key", keyed))
+    return rows.select(
+        "request_id", "outcome", F.col("http_status").cast("bigint").alias("http_status"), "owner_request_id"
+    )
+
+
+def ranked_null_group(spark, folder):
+    """Numbers of the events of each type, those without a type being a group as well."""
+    kind = F.when(F.col("event_type") != "view", F.col("event_type"))
+    rows = D.table(spark, folder, "events").select("event_id", kind.alias("kind"))
+    numbered = slices.ranked(rows, ["kind"], ["event_id"], slices.id_slice(F.col("event_id"), 1_000_000), "n")
+    return numbered.select("event_id", "kind", F.col("n").cast("bigint").alias("n"))
+
+
 def later_arrivals(spark, folder):
     return D.arrivals(spark, folder).filter(F.col("arrival_ts") >= F.lit(LATER).cast("timestamp"))
 
 
 def idempotency_against_store(spark, folder):
-    rows = idempotency.classified(later_arrivals(spark, folder), D.stored_keys(spark, folder), hot_rows=4)
+    rows = idempotency.classified(later_arrivals(spark, folder), D.stored_keys(spark, folder))
     return rows.select("request_id", "outcome", F.col("http_status").cast("bigint").alias("http_status"))
 
 
@@ -217,7 +234,7 @@ def in_flight(spark, folder):
 
 def queue_admission(spark, folder):
     rows = queueing.admission(
-        offers(spark, folder), in_flight(spark, folder), capacity=900, in_queue=100, slice_rows=512, hot_rows=2
+        offers(spark, folder), in_flight(spark, folder), capacity=900, in_queue=100
     )
     return rows.select("instance_id", "seq", "id", "decision")
 
@@ -228,7 +245,7 @@ def not_in_flight(spark, folder):
 
 
 def publish_batches(spark, folder):
-    rows = queueing.batches(offers(spark, folder), DEFAULTS.queue.batch_size, slice_rows=512)
+    rows = queueing.batches(offers(spark, folder), DEFAULTS.queue.batch_size)
     return rows.groupBy("instance_id", "batch_no").agg(
         F.count(F.lit(1)).alias("ids"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
     )
@@ -271,7 +288,7 @@ def topic_records(spark, folder):
     rows = D.outbox(spark, folder).join(requests, "id").withColumn("payload", payload)
     good, _ = publish.split_envelopes(rows, D.now())
     made = publish.records(good, DEFAULTS.publisher.topic, DEFAULTS.publisher.topic_partitions)
-    return publish.with_offsets(made, slice_rows=4096)
+    return publish.with_offsets(made)
 
 
 def kafka_records(spark, folder):
@@ -292,7 +309,7 @@ def publish_order_check(spark, folder):
     rows = topic_records(spark, folder).select("partition", "key", "event_id", "offset")
     swapped = F.when(F.col("offset") % 50 == 0, F.col("offset") + 40).when(F.col("offset") % 50 == 40, F.col("offset") - 40)
     moved = rows.withColumn("offset", F.coalesce(swapped, F.col("offset")))
-    bad = publish.order_violations(moved, slice_rows=64)
+    bad = publish.order_violations(moved)
     return bad.select(F.col("partition").cast("bigint").alias("part"), "key", "event_id", "previous_event_id")
 
 
@@ -347,7 +364,7 @@ def trace_continuity(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        idempotency_first_wins, idempotency_outcomes, idempotency_outcome_counts, idempotency_against_store,
+        idempotency_first_wins, idempotency_missing_key, ranked_null_group, idempotency_outcomes, idempotency_outcome_counts, idempotency_against_store,
         idempotency_insert_if_absent, idempotency_completed_keys, active_pending, recovery_candidates, recovery_envelopes,
         recovery_lease, claim_by_ids, reenqueueable_ids, retry_transition, sent_transition, attempt_replay, latest_state,
         state_after_log, active_archive_routing, batch_outcome, delivery_counters, point_lookups, first_trace_parent, queue_admission,
@@ -384,6 +401,17 @@ ORACLE = {
         FROM arrivals GROUP BY ALL) USING (customer_id, idempotency_key)"""),
     "idempotency_outcomes": with_tables("firsts", OUTCOMES + f"""SELECT request_id, outcome, CAST({CODES} AS BIGINT) AS http_status,
         owner_request_id FROM outcomes"""),
+    "idempotency_missing_key": with_tables("arrivals", """, keyed AS (SELECT request_id, arrival_ts, customer_id, request_hash,
+        CASE WHEN request_id % 7 <> 0 THEN idempotency_key END AS k FROM arrivals),
+        owners AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, k ORDER BY arrival_ts, request_id) AS rn
+          FROM keyed WHERE k IS NOT NULL) WHERE rn = 1),
+        named AS (SELECT a.request_id, o.request_id AS owner_request_id, CASE WHEN a.k IS NULL THEN 'INVALID'
+          WHEN a.request_id = o.request_id THEN 'CREATED' WHEN a.request_hash <> o.request_hash THEN 'CONFLICT_HASH'
+          ELSE 'REPLAYED' END AS outcome FROM keyed a LEFT JOIN owners o ON a.customer_id = o.customer_id AND a.k = o.k)
+        SELECT request_id, outcome, CAST(CASE outcome WHEN 'INVALID' THEN 400 WHEN 'CREATED' THEN 201 WHEN 'REPLAYED' THEN 200
+          ELSE 409 END AS BIGINT) AS http_status, owner_request_id FROM named"""),
+    "ranked_null_group": """SELECT event_id, nullif(event_type, 'view') AS kind,
+        row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events""",
     "idempotency_outcome_counts": with_tables("firsts", OUTCOMES + "SELECT outcome, count(*) AS requests FROM outcomes GROUP BY outcome"),
     "idempotency_against_store": with_tables("stored", LATE + f"""SELECT request_id, outcome, CAST({CODES} AS BIGINT) AS http_status
         FROM (SELECT a.request_id, CASE

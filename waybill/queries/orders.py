@@ -236,11 +236,11 @@ ORACLE = {
         FROM items i JOIN orders ON o_orderkey = i.order_id"""),
     "orphan_items": with_tables("items", """SELECT order_id, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS quantity FROM items
         WHERE order_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01') GROUP BY order_id"""),
-    "request_hash": with_tables("items correlated", """SELECT o_orderkey AS request_id, sha256(concat_ws('|',
-        'correlationId=' || correlation_id, 'customerId=' || o_custkey, 'items=' || coalesce(t.txt, ''))) AS request_hash
-        FROM orders JOIN correlated ON request_id = o_orderkey LEFT JOIN (SELECT order_id, string_agg(product_id || ':' || quantity
-        || ':' || CAST(price AS VARCHAR), ';' ORDER BY product_id, quantity, price) AS txt FROM items GROUP BY order_id) t
-        ON t.order_id = o_orderkey"""),
+    "request_hash": with_tables("items correlated", """SELECT o_orderkey AS request_id, sha256('{' || concat_ws(',',
+        '"correlationId":' || CAST(to_json(correlation_id) AS VARCHAR), '"customerId":' || o_custkey, '"items":[' || coalesce(t.txt, '') || ']') || '}')
+        AS request_hash FROM orders JOIN correlated ON request_id = o_orderkey LEFT JOIN (SELECT order_id,
+        string_agg('{"price":' || CAST(price AS VARCHAR) || ',"productId":' || CAST(to_json(product_id) AS VARCHAR) || ',"quantity":'
+        || quantity || '}', ',' ORDER BY product_id, quantity, price) AS txt FROM items GROUP BY order_id) t ON t.order_id = o_orderkey"""),
     "outbox_payload": with_tables("items correlated", """SELECT o_orderkey AS request_id, o_orderkey AS order_id, o_custkey AS customer_id,
         correlation_id, item_count, first_product, first_price, correlation_id IS NOT NULL AS has_correlation
         FROM orders JOIN correlated ON request_id = o_orderkey JOIN (SELECT order_id, count(*) AS item_count,

@@ -108,7 +108,7 @@ QUERIES |= {
 }
 QUERIES["histogram_quantile_p50"] = quantiles(0.5)
 QUERIES["histogram_quantile_p95"] = quantiles(0.95)
-QUERIES["histogram_quantile_p99"] = quantiles(0.9999)
+QUERIES["histogram_quantile_p99"] = quantiles(0.99)
 
 # SQL of the panels. It compares every sample with every grid point it can matter for.
 
@@ -270,5 +270,5 @@ ORACLE |= {
         {disc(0.95, 'value')} AS p95_ms FROM events GROUP BY ALL)""",
     "histogram_quantile_p50": quantile_oracle(0.5),
     "histogram_quantile_p95": quantile_oracle(0.95),
-    "histogram_quantile_p99": quantile_oracle(0.9999),
+    "histogram_quantile_p99": quantile_oracle(0.99),
 }

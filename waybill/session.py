@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Fixed value: the state store that keeps keys on disk.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app: str = "waybill", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -25,9 +32,12 @@ def build_session(app: str = "waybill", master: str | None = None, shuffle_parti
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (local tests)."""
+    """The cluster's shared folder. Only a local master may do without: there a temporary one is made."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         folder = tempfile.mkdtemp(prefix="waybill-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -219,7 +219,7 @@ def counter_samples_with_count(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value"
     )
-    counted = slices.ranked(events, ["event_type"], ["event_id"], slices.id_slice(F.col("event_id"), 65_536), "n")
+    counted = slices.ranked(events, ["event_type"], ["event_id"], slices.id_slice(F.col("event_id"), 1_000_000), "n")
     return counted.select(
         "event_id", "ts", "event_type", "n", (F.col("n") % 500).cast("double").alias("counter"),
         F.col("value").alias("gauge"),

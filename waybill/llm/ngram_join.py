@@ -29,14 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.graphs import components
-from waybill.llm.sizes import if_small
+from waybill.llm.sizes import batch_rows, if_small
 from waybill.llm.tokens import WHITE, pieces, splitmix, word_hashes
 from waybill.session import cut_lineage
 
 #: Groups that may share a shingle before it counts as frequent.
-FREQUENT = 48
+FREQUENT = 32
 #: Rows of id tables that may be broadcast.
 BROADCAST_IDS = 2_000_000
+#: Rows of an Arrow batch: texts, or pairs of sets.
+BATCH_ROWS = 1000
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -188,10 +190,11 @@ class Join:
         self.lists = filled.select("cls", "n", "brief")
 
     def entries(self) -> DataFrame:
-        """tok, grp, n: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
+        """tok, grp, n, w: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
 
-        Shingles with the same groups are one bucket, which stands for all of them: a family of near copies shares
-        hundreds of shingles and has a few buckets.
+        Shingles with the same groups are one bucket, which stands for all ``w`` of them: a family of near copies shares
+        hundreds of shingles and has a few buckets. ``room``, ``lost`` and ``short`` tell of a group how many shingles
+        its list leaves out, how many of the list are frequent, and whether it has been given its exact prefix.
         """
         filled = self.base.where("n > 0")
         rest = F.when(F.col("often").isNull(), F.col("first")).otherwise(F.array_except("first", "often"))
@@ -203,19 +206,22 @@ class Join:
         # The groups of a bucket decide its number; frequent shingles stay by themselves.
         frequent_here = F.col("c") > FREQUENT
         shared = counted.select(F.when(frequent_here, F.col("tok")).alias("often"), F.when(~frequent_here, F.col("alike")).alias("tok"), "grp", "n")
-        shared = cut_lineage(shared.distinct())
+        shared = cut_lineage(shared.groupBy("often", "tok", "grp", "n").agg(F.count("*").alias("w")))
         sent = shared.where("often is not null").select("grp", F.col("often").alias("tok"))
         kept_back = filled.where("often is not null").select("grp", F.explode("often").alias("tok"))
         lost_rows = cut_lineage(sent.union(kept_back).distinct())
         frequent = lost_rows.select("tok").distinct()
-        buckets = shared.where("often is null").select("tok", "grp", "n")
+        buckets = shared.where("often is null").select("tok", "grp", "n", "w")
         # Groups whose first shingles don't hold a whole prefix without the frequent ones.
         lost = lost_rows.groupBy("grp").agg(F.count("*").alias("lost"))
         need = F.col("n") - F.ceil(F.lit(self.percent) * F.col("n") / 100) + 1
         sizes = filled.select("grp", "n", F.size("first").alias("size")).distinct()
-        short = cut_lineage(sizes.join(lost, "grp").where(F.col("size") - F.col("lost") < need).select("grp", "n"))
+        lost_too_many = F.col("size") - F.col("lost") < need
+        facts = sizes.join(lost, "grp", "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
+        facts = cut_lineage(facts.select("grp", "n", (F.col("n") - F.col("size")).alias("room"), "lost", lost_too_many.alias("short")))
+        short, facts = facts.where("short").select("grp", "n"), facts.drop("n")
         if short.isEmpty():
-            return buckets
+            return buckets.join(facts, "grp")
         # Their exact prefixes, from whole sets: shingles that are not frequent first, by hash.
         members = self.classes.join(short.select("grp"), "grp")
         sets = whole_sets(self.docs, members, self.width, self.id_col).join(members.select("cls", "grp", "n"), "cls")
@@ -226,7 +232,7 @@ class Join:
         # The other groups that have one of these shingles, unless it is frequent and so behind their own prefixes.
         again = rows.join(if_small(exact.select("tok").distinct(), BROADCAST_IDS), "tok", "left_semi")
         again = again.join(if_small(frequent, BROADCAST_IDS), "tok", "left_anti").select("tok", "grp", "n")
-        return buckets.union(exact.union(again).distinct())
+        return buckets.union(exact.union(again).distinct().withColumn("w", F.lit(0).cast("long"))).join(facts, "grp")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links among pairs of classes: bounded by their first shingles, then on whole sets."""
@@ -269,13 +275,23 @@ class Join:
         weights = open_rows.groupBy("tok", "comp").agg(F.count("*").alias("w"))
         largest = weights.groupBy("tok").agg(F.max(F.struct("w", "comp")).alias("top")).select("tok", F.col("top.comp").alias("main"))
         split = open_rows.join(largest, "tok")
-        others = split.where("comp <> main").select("tok", F.col("grp").alias("g"), F.col("n").alias("n_g"), F.col("comp").alias("comp_g"))
-        mains = split.where("comp = main").select("tok", F.col("grp").alias("h"), F.col("n").alias("n_h"), F.col("comp").alias("comp_h"))
-        rest = others.select("tok", F.col("g").alias("h"), F.col("n_g").alias("n_h"), F.col("comp_g").alias("comp_h"))
-        fits = size_fits(F.col("n_g"), F.col("n_h"), self.percent)
-        across = others.join(mains, "tok").where(fits).select("g", "comp_g", "h", "comp_h")
-        among = others.join(rest, "tok").where(fits & (F.col("comp_g") < F.col("comp_h"))).select("g", "comp_g", "h", "comp_h")
-        pairs = across.union(among).distinct()
+        side = F.struct("comp", "grp", "n", "room", "lost", "short")
+        others = split.where("comp <> main").select("tok", "w", side.alias("x"))
+        mains = split.where("comp = main").select("tok", side.alias("y"))
+        rest = others.select("tok", F.col("x").alias("y"))
+        fits = size_fits(F.col("x.n"), F.col("y.n"), self.percent)
+        across = others.join(mains, "tok").where(fits)
+        among = others.join(rest, "tok").where(fits & (F.col("x.comp") < F.col("y.comp")))
+        met = across.union(among).select("w", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        # All shared shingles of two lists are counted, but frequent ones. What both can have beyond is what the lists
+        # leave out of the set whose list ends first.
+        met = met.groupBy("x", "y").agg(F.sum("w").alias("both"))
+        most = F.col("both") + F.least("x.lost", "y.lost") + F.greatest("x.room", "y.room")
+        most = F.least(most, F.col("x.n"), F.col("y.n"))
+        enough = (100 * most) >= (self.percent * (F.col("x.n") + F.col("y.n") - most))
+        pairs = met.where(enough | F.col("x.short") | F.col("y.short")).select(
+            F.col("x.grp").alias("g"), F.col("x.comp").alias("comp_g"), F.col("y.grp").alias("h"), F.col("y.comp").alias("comp_h")
+        )
         one = placed.select(F.col("grp").alias("g"), F.col("comp").alias("comp_g"), F.col("cls").alias("a"))
         two = placed.select(F.col("grp").alias("h"), F.col("comp").alias("comp_h"), F.col("cls").alias("b"))
         expanded = pairs.join(one, ["g", "comp_g"]).join(two, ["h", "comp_h"]).select("a", "b")
@@ -299,7 +315,8 @@ class Join:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id, class_size of every document."""
-    return Join(docs, width, percent, id_col).documents()
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return Join(docs, width, percent, id_col).documents()
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.session import cut_lineage
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows, for jobs that run inside: their rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def if_small(side: DataFrame, rows: int) -> DataFrame:
     """The side, saved, marked for broadcast if it has at most ``rows`` rows; else for a join by shuffle."""
     side = cut_lineage(side)

@@ -42,7 +42,7 @@ KEPT_WORDS = re.compile(r"(?:^|[^a-z])(?:article\w*|blog|body|content|entry|main
 
 #: Weights of the classifier; positive speaks for main text.
 WEIGHTS = {
-    "boilerplate element": -9.0, "header": -7.0, "boilerplate name": -7.0, "hidden": -9.0, "article": 5.0, "main name": 2.5, "heading": 0.6,
+    "boilerplate element": -14.0, "header": -9.0, "boilerplate name": -13.0, "hidden": -14.0, "article": 5.0, "main name": 2.5, "heading": 0.6,
     "long": 0.9, "bias": -0.2, "links": -4.5, "sentence": 0.8, "mark": -3.0,
 }
 #: Capacities of smoothness edges: neighbours in the page under one parent, under one grandparent, across a border.

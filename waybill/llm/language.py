@@ -20,9 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.samples import sigmoid
+from waybill.llm.sizes import if_small
 from waybill.llm.tokens import NO_LETTER, pieces
+from waybill.session import cut_lineage
 
 DIMENSIONS = 2048
+#: Rows of the table of languages that may be broadcast.
+BROADCAST_LANGUAGES = 100_000
 
 # Families of common language codes; a code that is not here is a family of its own.
 FAMILIES = {
@@ -107,11 +111,16 @@ def machines(x: np.ndarray, names: np.ndarray) -> list[Machine]:
 def fit(docs: DataFrame, allowed: Column, per_language: int = 600, total: int = 12_000) -> Model:
     """At most ``per_language`` documents of each language, and ``total`` altogether (at least one of each)."""
     known = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = known.select("lang").distinct().count()
-    most = max(1, min(per_language, total // max(languages, 1)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.col("doc_id"))
-    # The rank limit is applied inside each task before the shuffle. Ids only; texts follow by a broadcast of the bounded sample.
-    picked = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("doc_id", "lang")
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "_lang")
+    sizes = cut_lineage(sizes)
+    most = max(1, min(per_language, total // max(sizes.count(), 1)))
+    # In hash order, the first of a language lie below a bound that its size tells; so ranks are given to few rows,
+    # however many there are. Ids only; texts follow by a broadcast of the bounded sample.
+    place = (F.xxhash64("doc_id").cast("double") + 2.0**63) / 2.0**64
+    near = known.select("doc_id", "lang", place.alias("place")).join(if_small(sizes, BROADCAST_LANGUAGES), F.col("lang") == F.col("_lang"))
+    near = near.where(F.col("place") < F.greatest(F.lit(100.0), F.lit(3.0 * most)) / F.col("n"))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    picked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("doc_id", "lang")
     rows = docs.select("doc_id", "text").join(F.broadcast(picked.dropDuplicates(["doc_id"])), "doc_id")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

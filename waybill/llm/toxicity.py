@@ -48,10 +48,14 @@ CLAUSE_ENDS[[ord(c) for c in ".!?;\n"]] = 1
 
 
 class Transducer:
-    """Weighted arcs over tags. ``arcs[state][tag]`` is a list of (next state, weight, tag written); state 0 starts."""
+    """Weighted arcs over tags. ``arcs[state][tag]`` is a list of (next state, weight, tag written); state 0 starts.
+
+    A path ends in any state but the ``unfinished`` ones.
+    """
 
     def __init__(self) -> None:
         self.arcs: dict = defaultdict(lambda: defaultdict(list))
+        self.unfinished: set = set()
 
     def arc(self, state, tags: Iterable[str], to, weight: float = 0.0, out: str | None = None) -> Transducer:
         for tag in tags:
@@ -64,6 +68,8 @@ class Transducer:
         name = lambda pair: 0 if pair == (0, 0) else pair
         while todo:
             a, b = todo.pop()
+            if a in self.unfinished or b in other.unfinished:
+                out.unfinished.add(name((a, b)))
             for tag, steps in list(self.arcs[a].items()):
                 for to_a, weight_a, written in steps:
                     for to_b, weight_b, last in other.arcs[b].get(written, ()):
@@ -85,7 +91,7 @@ class Transducer:
                     if value > after.get(to, -1e18):
                         after[to] = value
             front = after
-        return max(front.values(), default=0.0)
+        return max((total for state, total in front.items() if state not in self.unfinished), default=0.0)
 
 
 def negation() -> Transducer:
@@ -110,9 +116,10 @@ def target() -> Transducer:
     for left in range(1, TARGET_REACH + 1):
         t.arc(left, "NRO", left - 1).arc(left, "Y", TARGET_REACH, 0.0, "O")
         t.arc(left, "I", left - 1, AIMED, "A").arc(left, "J", left - 1, AIMED, "B").arc(left, "T", left - 1, 0.0, "D").arc(left, "U", left - 1, 0.0, "D")
-    # The guess that a target follows a threat is only let through if it does.
+    # The guess that a target follows a threat ends well only if it does.
     t.arc(0, "TU", ("wait", TARGET_REACH), 0.0, "D")
     for left in range(1, TARGET_REACH + 1):
+        t.unfinished |= {("wait", left), ("wait", left - 1)}
         t.arc(("wait", left), "NROIJTU", ("wait", left - 1), 0.0, "O").arc(("wait", left), "Y", TARGET_REACH, 0.0, "O")
     return t
 
@@ -246,17 +253,18 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame
 
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The least word hash of each text: near copies mostly share it."""
+    """The least hash of two neighbouring words of each text: near copies mostly share it."""
     for batch in batches:
         least = np.zeros(batch.num_rows, np.int64)
         for low, _, data, offsets in pieces(batch.column("text"), lower=True):
             hashes, bounds = word_hashes(data, offsets, NO_LETTER)
+            pairs = splitmix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
             for k in range(len(bounds) - 1):
-                if bounds[k + 1] > bounds[k]:
-                    own = splitmix(np.unique(hashes[bounds[k] : bounds[k + 1]]))
-                    # Two minima: one common word alone must not join unlike texts.
-                    two = np.partition(own, 1)[:2] if len(own) > 1 else own
-                    least[low + k] = two.sum(dtype=np.uint64).astype(np.int64)
+                own = pairs[bounds[k] : max(bounds[k], bounds[k + 1] - 1)]
+                if len(own):
+                    least[low + k] = own.min().astype(np.int64)
+                elif bounds[k + 1] > bounds[k]:
+                    least[low + k] = hashes[bounds[k]].astype(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(least)], names=["doc_id", "label", "family"])
 
 

@@ -54,6 +54,8 @@ class HealthConfig:
 class ConsumerConfig:
     starting_offsets: str = "earliest"
     max_poll_records: int = 100
+    #: Of the whole topic, for a micro-batch; the bound of a poll is one of a single consumer.
+    max_offsets_per_trigger: int = 5_000_000
 
 
 @dataclass(frozen=True)

@@ -21,6 +21,7 @@ def envelopes(rows: DataFrame, now: Column) -> DataFrame:
         F.col("id").alias("event_id"), "order_id", "customer_id", "event_type", "payload",
         scalars.json_text(F.col("payload"), "correlationId").alias("correlation_id"),
         now.alias("occurred_at"), "trace_parent",
+        (F.col("trace_state") if "trace_state" in rows.columns else F.lit(None).cast("string")).alias("trace_state"),
         payload_ok(F.col("payload")).alias("payload_ok"),
     )
 
@@ -44,13 +45,14 @@ def envelope_json() -> Column:
 
 
 def record_headers() -> Column:
-    """Ids as decimal text, then correlation id and trace parent where present; all values as UTF-8 bytes."""
+    """Ids as decimal text, then correlation id, trace parent and, with a trace parent, trace state where present; all values as UTF-8 bytes."""
     texts = {
         "eventId": scalars.decimal_text(F.col("event_id")),
         "orderId": scalars.decimal_text(F.col("order_id")),
         "customerId": scalars.decimal_text(F.col("customer_id")),
         "correlationId": F.col("correlation_id"),
         "traceparent": scalars.blank_to_null(F.col("trace_parent")),
+        "tracestate": F.when(~scalars.is_blank(F.col("trace_parent")), scalars.blank_to_null(F.col("trace_state"))),
     }
     entries = [
         F.when(text.isNotNull(), F.struct(F.lit(name).alias("key"), scalars.utf8(text).alias("value")))
@@ -61,6 +63,8 @@ def record_headers() -> Column:
 
 def records(envelopes_: DataFrame, topic: str, partitions: int) -> DataFrame:
     """Topic records. The partition follows from the customer, so one customer's records keep their order."""
+    if "trace_state" not in envelopes_.columns:
+        envelopes_ = envelopes_.withColumn("trace_state", F.lit(None).cast("string"))
     return envelopes_.select(
         scalars.decimal_text(F.col("customer_id")).alias("key"),
         envelope_json().alias("value"),

@@ -104,6 +104,30 @@ def stream_publisher(spark, folder):
     )
 
 
+def stream_publisher_failures(spark, folder):
+    """The sink refuses batches with ids of one lane: their rows are FAILED or DEAD, those of other batches are sent."""
+    stored, root, topic = (scratch_path(spark, n) for n in ("outbox", "publisher", "topic"))
+    rows = outbox_with_payload(spark, folder).withColumn("lane", (F.col("id") % 4).cast("int"))
+    rows.repartition("lane").write.partitionBy("lane").parquet(stored)
+    # A file holds rows of one lane.
+    stream = spark.readStream.schema(f"{S.OUTBOX_EVENTS}, lane INT").option("maxFilesPerTrigger", 1).parquet(stored)
+
+    def refusing(records, number):
+        if not records.filter("event_id % 4 = 1").isEmpty():
+            raise ConnectionError("the broker is away")
+        batches.write(records.drop("customer_id"), topic, "records", number)
+        batches.commit(records.sparkSession, topic, number)
+
+    handler = delivery_streams.publish_batch(root, DEFAULTS, "pod-9", D.now(), topic, send=refusing)
+    run.drain(stream, handler, f"{root}/_checkpoint")
+    moved = outbox.latest_state(batches.committed(spark, root, "outbox_transitions", S.OUTBOX_TRANSITIONS).drop("batch_id"))
+    records = batches.committed(spark, topic, "records", delivery_streams.PUBLISHED).select(F.col("event_id").alias("id"), "key")
+    return moved.join(records, "id", "left").select(
+        "id", F.col("status").cast("bigint").alias("status"), F.col("retry_count").cast("bigint").alias("retry_count"),
+        F.col("locked_by").isNull().alias("unlocked"), "key",
+    )
+
+
 def recovery_tick(spark, folder):
     """Snapshot plus transition log: ids of the direct path and of recovery. Only the active directory is read."""
     rows = stored_outbox(spark, folder, scratch_path(spark, "outbox")).filter("part = 'active'")
@@ -184,7 +208,7 @@ def stream_log_store(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_intake, stream_intake_by_state, stream_publisher, recovery_tick, stream_consumer, stream_token_bucket, stream_first_requests,
+        stream_intake, stream_intake_by_state, stream_publisher, stream_publisher_failures, recovery_tick, stream_consumer, stream_token_bucket, stream_first_requests,
         stream_sliding_rates, stream_event_dedup, stream_log_store,
     )
 }
@@ -204,6 +228,11 @@ ORACLE = {
     "stream_intake_by_state": None,
     "stream_publisher": with_tables("outbox", f"""SELECT id, CAST(CASE WHEN id % 9 = 0 THEN 1 ELSE 110 END AS BIGINT) AS status, id % 9 <> 0 AS unlocked,
         CASE WHEN id % 9 <> 0 THEN CAST(customer_id AS VARCHAR) END AS key FROM outbox WHERE {FREE}"""),
+    "stream_publisher_failures": with_tables("outbox", f"""SELECT id, CAST(CASE WHEN id % 9 = 0 THEN 1 WHEN id % 4 <> 1 THEN 110
+          WHEN retry_count + 1 >= 5 THEN 101 ELSE 2 END AS BIGINT) AS status,
+        CAST(CASE WHEN id % 4 = 1 AND id % 9 <> 0 THEN retry_count + 1 ELSE retry_count END AS BIGINT) AS retry_count,
+        id % 9 <> 0 AS unlocked, CASE WHEN id % 9 <> 0 AND id % 4 <> 1 THEN CAST(customer_id AS VARCHAR) END AS key
+        FROM outbox WHERE {FREE}"""),
     "recovery_tick": with_tables("outbox transitions", f""", newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn
           FROM transitions) WHERE rn = 1),
         current AS (SELECT o.id, CASE WHEN n.id IS NULL THEN o.status ELSE n.status END AS status,

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.graphs import components
-from waybill.llm.sizes import batch_rows, if_small
+from waybill.llm.sizes import batch_rows, if_light, if_small
 from waybill.llm.tokens import WHITE, pieces, splitmix, word_hashes
 from waybill.session import cut_lineage
 
@@ -37,6 +37,8 @@ from waybill.session import cut_lineage
 FREQUENT = 32
 #: Rows of id tables that may be broadcast.
 BROADCAST_IDS = 2_000_000
+#: Bytes of lists or sets that may be broadcast to the pairs that need them.
+BROADCAST_BYTES = 48 << 20
 #: Rows of an Arrow batch: texts, or pairs of sets.
 BATCH_ROWS = 1000
 
@@ -190,11 +192,12 @@ class Join:
         self.lists = filled.select("cls", "n", "brief")
 
     def entries(self) -> DataFrame:
-        """tok, grp, n, w: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
+        """tok, grp, n, w, place: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
 
         Shingles with the same groups are one bucket, which stands for all ``w`` of them: a family of near copies shares
         hundreds of shingles and has a few buckets. ``room``, ``lost`` and ``short`` tell of a group how many shingles
-        its list leaves out, how many of the list are frequent, and whether it has been given its exact prefix.
+        its list leaves out, how many of the list are frequent, and whether it has been given its exact prefix, in which
+        ``place`` is the shingle's number.
         """
         filled = self.base.where("n > 0")
         rest = F.when(F.col("often").isNull(), F.col("first")).otherwise(F.array_except("first", "often"))
@@ -211,7 +214,7 @@ class Join:
         kept_back = filled.where("often is not null").select("grp", F.explode("often").alias("tok"))
         lost_rows = cut_lineage(sent.union(kept_back).distinct())
         frequent = lost_rows.select("tok").distinct()
-        buckets = shared.where("often is null").select("tok", "grp", "n", "w")
+        buckets = shared.where("often is null").select("tok", "grp", "n", "w", F.lit(None).cast("int").alias("place"))
         # Groups whose first shingles don't hold a whole prefix without the frequent ones.
         lost = lost_rows.groupBy("grp").agg(F.count("*").alias("lost"))
         need = F.col("n") - F.ceil(F.lit(self.percent) * F.col("n") / 100) + 1
@@ -219,32 +222,37 @@ class Join:
         lost_too_many = F.col("size") - F.col("lost") < need
         facts = sizes.join(lost, "grp", "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
         facts = cut_lineage(facts.select("grp", "n", (F.col("n") - F.col("size")).alias("room"), "lost", lost_too_many.alias("short")))
-        short, facts = facts.where("short").select("grp", "n"), facts.drop("n")
+        self.facts, short = facts, facts.where("short").select("grp", "n")
         if short.isEmpty():
-            return buckets.join(facts, "grp")
+            return buckets
         # Their exact prefixes, from whole sets: shingles that are not frequent first, by hash.
         members = self.classes.join(short.select("grp"), "grp")
         sets = whole_sets(self.docs, members, self.width, self.id_col).join(members.select("cls", "grp", "n"), "cls")
-        tokens = sets.groupBy("grp", "n").agg(F.first("shingles").alias("shingles")).select("grp", "n", F.explode("shingles").alias("tok"))
+        tokens = sets.select("cls", "grp", "n", F.explode("shingles").alias("tok"))
         flagged = tokens.join(if_small(frequent.withColumn("late", F.lit(1)), BROADCAST_IDS), "tok", "left")
-        place = F.row_number().over(Window.partitionBy("grp", "n").orderBy(F.coalesce("late", F.lit(0)), "tok"))
-        exact = cut_lineage(flagged.withColumn("place", place).where(F.col("place") <= need).select("tok", "grp", "n"))
+        # Of each class, as the new order may part the classes of a group; the group stands for all of them.
+        place = F.row_number().over(Window.partitionBy("cls").orderBy(F.coalesce("late", F.lit(0)), "tok"))
+        ranked = flagged.withColumn("place", place).where(F.col("place") <= need)
+        exact = cut_lineage(ranked.groupBy("tok", "grp", "n").agg(F.min("place").alias("place")))
         # The other groups that have one of these shingles, unless it is frequent and so behind their own prefixes.
         again = rows.join(if_small(exact.select("tok").distinct(), BROADCAST_IDS), "tok", "left_semi")
-        again = again.join(if_small(frequent, BROADCAST_IDS), "tok", "left_anti").select("tok", "grp", "n")
-        return buckets.union(exact.union(again).distinct().withColumn("w", F.lit(0).cast("long"))).join(facts, "grp")
+        again = again.join(if_small(frequent, BROADCAST_IDS), "tok", "left_anti").join(short.select("grp"), "grp", "left_anti")
+        more = exact.union(again.select("tok", "grp", "n", F.lit(None).cast("int")).distinct())
+        return buckets.union(more.select("tok", "grp", "n", F.lit(0).cast("long"), "place"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links among pairs of classes: bounded by their first shingles, then on whole sets."""
         pairs = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
         lists = self.lists.join(if_small(asked, BROADCAST_IDS), "cls", "left_semi").dropDuplicates(["cls"])
+        lists = if_light(lists, "brief", BROADCAST_BYTES)
         a = lists.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("brief").alias("brief_a"))
         b = lists.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("brief").alias("brief_b"))
         listed = pairs.join(a, "a").join(b, "b").where(size_fits(F.col("n_a"), F.col("n_b"), self.percent))
         left = cut_lineage(listed.mapInArrow(_bounded(self.percent), "a long, b long"))
         needed = left.select(F.col("a").alias("cls")).union(left.select(F.col("b").alias("cls"))).distinct()
         sets = whole_sets(self.docs, self.classes.join(needed, "cls"), self.width, self.id_col)
+        sets = if_light(sets.join(if_small(needed, BROADCAST_IDS), "cls", "left_semi"), "shingles", BROADCAST_BYTES)
         one = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a"))
         two = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b"))
         return cut_lineage(left.join(one, "a").join(two, "b").mapInArrow(_linked(self.percent), "a long, b long"))
@@ -275,23 +283,31 @@ class Join:
         weights = open_rows.groupBy("tok", "comp").agg(F.count("*").alias("w"))
         largest = weights.groupBy("tok").agg(F.max(F.struct("w", "comp")).alias("top")).select("tok", F.col("top.comp").alias("main"))
         split = open_rows.join(largest, "tok")
-        side = F.struct("comp", "grp", "n", "room", "lost", "short")
+        side = F.struct("comp", "grp", "n", "place")
         others = split.where("comp <> main").select("tok", "w", side.alias("x"))
         mains = split.where("comp = main").select("tok", side.alias("y"))
         rest = others.select("tok", F.col("x").alias("y"))
         fits = size_fits(F.col("x.n"), F.col("y.n"), self.percent)
+        # Two linked sets share this many shingles, so one of the first n + 1 - overlap of either: where both places in
+        # exact prefixes are known, the rest of the prefixes is for partners of other sizes.
+        overlap = F.ceil(F.lit(self.percent) * (F.col("x.n") + F.col("y.n")) / (100 + self.percent))
+        near = (F.col("x.place") <= F.col("x.n") + 1 - overlap) & (F.col("y.place") <= F.col("y.n") + 1 - overlap)
+        fits &= F.coalesce(near, F.lit(True))
         across = others.join(mains, "tok").where(fits)
         among = others.join(rest, "tok").where(fits & (F.col("x.comp") < F.col("y.comp")))
-        met = across.union(among).select("w", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        ordered = F.struct("x.comp", "x.grp") < F.struct("y.comp", "y.grp")
+        one_way = [F.when(ordered, F.col(f"{a}.{c}")).otherwise(F.col(f"{b}.{c}")) for a, b in ("xy", "yx") for c in ("comp", "grp")]
+        met = across.union(among).select("w", *[c.alias(n) for c, n in zip(one_way, ("comp_g", "g", "comp_h", "h"))])
         # All shared shingles of two lists are counted, but frequent ones. What both can have beyond is what the lists
         # leave out of the set whose list ends first.
-        met = met.groupBy("x", "y").agg(F.sum("w").alias("both"))
+        met = met.groupBy("g", "comp_g", "h", "comp_h").agg(F.sum("w").alias("both"))
+        known = if_small(self.facts, BROADCAST_IDS)
+        met = met.join(known.select(F.col("grp").alias("g"), F.struct("n", "room", "lost", "short").alias("x")), "g")
+        met = met.join(known.select(F.col("grp").alias("h"), F.struct("n", "room", "lost", "short").alias("y")), "h")
         most = F.col("both") + F.least("x.lost", "y.lost") + F.greatest("x.room", "y.room")
         most = F.least(most, F.col("x.n"), F.col("y.n"))
         enough = (100 * most) >= (self.percent * (F.col("x.n") + F.col("y.n") - most))
-        pairs = met.where(enough | F.col("x.short") | F.col("y.short")).select(
-            F.col("x.grp").alias("g"), F.col("x.comp").alias("comp_g"), F.col("y.grp").alias("h"), F.col("y.comp").alias("comp_h")
-        )
+        pairs = met.where(enough | F.col("x.short") | F.col("y.short")).select("g", "comp_g", "h", "comp_h")
         one = placed.select(F.col("grp").alias("g"), F.col("comp").alias("comp_g"), F.col("cls").alias("a"))
         two = placed.select(F.col("grp").alias("h"), F.col("comp").alias("comp_h"), F.col("cls").alias("b"))
         expanded = pairs.join(one, ["g", "comp_g"]).join(two, ["h", "comp_h"]).select("a", "b")

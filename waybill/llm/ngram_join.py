@@ -35,6 +35,8 @@ from waybill.session import cut_lineage
 
 #: Groups that may share a shingle before it counts as frequent.
 FREQUENT = 32
+#: Members of a large family that all others meet.
+HUBS = 8
 #: Rows of id tables that may be broadcast.
 BROADCAST_IDS = 2_000_000
 #: Bytes of lists or sets that may be broadcast to the pairs that need them.
@@ -271,14 +273,18 @@ class Join:
         inside = self.classes.join(heads, "grp").select(F.col("cls").alias("a"), F.col("head").alias("b")).where("a <> b")
         to_head = met.join(heads.withColumnRenamed("grp", "h"), "h").join(self.classes.select(F.col("grp").alias("g"), "cls"), "g")
         first = self.verified(inside.union(to_head.select(F.col("cls").alias("a"), F.col("head").alias("b"))))
-        found = components(first).select(F.col("node").alias("cls"), "component")
-        # Groups by component: a group with classes in several components counts in each of them.
-        placed = self.classes.join(found, "cls", "left").select("cls", "grp", "n", F.coalesce("component", "cls").alias("comp"))
-        placed = cut_lineage(placed)
-        by_group = placed.select("grp", "comp").distinct()
-        mixed = entries.join(by_group, "grp")
-        several = mixed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("tok")
-        open_rows = cut_lineage(mixed.join(several, "tok"))
+        placed, open_rows = self.between(first, entries)
+        # Large families that one pivot did not hold together meet a few more members, the same in all their buckets.
+        hubs = [F.min(F.struct(F.xxhash64(F.lit(k), "grp").alias("order"), "grp", "n")).alias(f"hub{k}") for k in range(HUBS)]
+        large = open_rows.groupBy("tok").agg(F.count("*").alias("c"), *hubs).where(F.col("c") > FREQUENT)
+        large = large.select("tok", F.explode(F.array_distinct(F.array(*[f"hub{k}" for k in range(HUBS)]))).alias("hub"))
+        met = open_rows.join(large, "tok").where(size_fits(F.col("n"), F.col("hub.n"), self.percent))
+        met = met.select(F.col("grp").alias("g"), F.col("hub.grp").alias("h")).where("g <> h").distinct()
+        to_hub = met.join(heads.withColumnRenamed("grp", "h"), "h").join(self.classes.select(F.col("grp").alias("g"), "cls"), "g")
+        to_hub = cut_lineage(to_hub.select(F.col("cls").alias("a"), F.col("head").alias("b")))
+        if not to_hub.isEmpty():
+            first = cut_lineage(first.union(self.verified(to_hub)))
+            placed, open_rows = self.between(first, entries)
         # Of each bucket the largest component is met by the others; its own pairs are never made.
         weights = open_rows.groupBy("tok", "comp").agg(F.count("*").alias("w"))
         largest = weights.groupBy("tok").agg(F.max(F.struct("w", "comp")).alias("top")).select("tok", F.col("top.comp").alias("main"))
@@ -317,6 +323,17 @@ class Join:
         second = self.verified(expanded.union(within.where("comp_a < comp_b").select("a", "b")))
         return first.union(second)
 
+    def between(self, links: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The component of each class, and the rows of the buckets in which components meet.
+
+        A group with classes in several components counts in each of them.
+        """
+        found = components(links).select(F.col("node").alias("cls"), "component")
+        placed = cut_lineage(self.classes.join(found, "cls", "left").select("cls", "grp", "n", F.coalesce("component", "cls").alias("comp")))
+        mixed = entries.join(placed.select("grp", "comp").distinct(), "grp")
+        several = mixed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("tok")
+        return placed, cut_lineage(mixed.join(several, "tok"))
+
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row, and class_size, the number of documents with the same set."""
         found = components(self.links()).select(F.col("node").alias("cls"), "component")

@@ -43,7 +43,7 @@ def test_elias_fano_finds_what_it_holds(n, universe):
 
 def test_level_files_round_trip(tmp_path):
     values = np.arange(0, 5000, 7, dtype=np.uint64)
-    levels.write(f"file://{tmp_path}/a/b", {"s": (values, 5000)}, {"c": np.arange(9, dtype=np.uint8)}, {"k": 2.5})
+    levels.write(f"file://{tmp_path}/a/b", {"s": (values, 5000, "find")}, {"c": np.arange(9, dtype=np.uint8)}, {"k": 2.5})
     level = levels.Level(f"file://{tmp_path}/a/b")
     assert level.k == 2.5 and level.c.tolist() == list(range(9)) and (level.s.find(values) == np.arange(len(values))).all()
 

@@ -38,8 +38,8 @@ class EliasFano:
         self.low, self.high, self.zeros, self.ones = low, high, zeros, ones
 
     @staticmethod
-    def arrays(values: np.ndarray, universe: int) -> tuple[list[int], list[np.ndarray]]:
-        """Header numbers and word arrays of a sorted sequence of numbers below ``universe``."""
+    def arrays(values: np.ndarray, universe: int, use: str = "find get") -> tuple[list[int], list[np.ndarray]]:
+        """Header numbers and word arrays of a sorted sequence of numbers below ``universe``, with samples for its use."""
         n = len(values)
         width = max(0, int(universe // max(n, 1)).bit_length() - 1)
         values = values.astype(U)
@@ -49,9 +49,11 @@ class EliasFano:
         bits = np.zeros(((n + buckets + 1) // 64 + 3) * 64, np.uint8)
         bits[place.astype(np.int64)] = 1
         kind = np.uint32 if len(bits) < 2**32 else U
-        zeros = np.flatnonzero(bits[: n + buckets + 1] == 0)[::SAMPLE].astype(kind)
+        none = np.zeros(0, kind)
+        zeros = np.flatnonzero(bits[: n + buckets + 1] == 0)[::SAMPLE].astype(kind) if "find" in use else none
+        ones = place[::SAMPLE].astype(kind) if "get" in use else none
         high = np.packbits(bits, bitorder="little").view(U)
-        return [n, width, int(buckets)], [low, high, zeros, place[::SAMPLE].astype(kind)]
+        return [n, width, int(buckets)], [low, high, zeros, ones]
 
     @staticmethod
     def _select(high: np.ndarray, samples: np.ndarray, k: np.ndarray, invert: bool) -> np.ndarray:

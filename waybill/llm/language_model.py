@@ -26,12 +26,12 @@ tokens are unknown and have probability 1.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,12 +131,12 @@ def packed_rows(one: np.ndarray, word: np.ndarray, two: np.ndarray, n: np.ndarra
     if len(word):
         columns[2][0] = word[0]
     planes = [columns[0].tobytes()] + [c.view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns[1:]]
-    return len(word).to_bytes(8, "little") + zlib.compress(b"".join(planes), 1)
+    return len(word).to_bytes(8, "little") + zstandard.compress(b"".join(planes), 3)
 
 
 def unpacked_rows(blob: bytes) -> tuple[np.ndarray, ...]:
     n = int.from_bytes(blob[:8], "little")
-    raw = np.frombuffer(zlib.decompress(blob[8:]), np.uint8)
+    raw = np.frombuffer(zstandard.decompress(blob[8:]), np.uint8)
     first = raw[:8].view(np.uint64)
     step, word, two, times = (np.ascontiguousarray(p.reshape(4, n).T).view(np.uint32).reshape(n).astype(np.int64) for p in raw[8:].reshape(4, 4 * n))
     one = np.cumsum(step) + int(first[0])
@@ -222,12 +222,12 @@ def build_trie(model: Model, file: int, blobs: list[bytes]) -> int:
     levels.write(
         f"{model.folder}/ngrams-{file}",
         {
-            "head": (heads, model.words + 2),
-            "start": (start.astype(U), len(pairs) + 1),
-            "next": (node.astype(U) * width + c, len(heads) * (model.words + 2) + 1),
-            "context": (contexts_here, len(heads) * (model.words + 2) + 1),
-            "base": (base.astype(U), int(sizes.sum()) + 1),
-            "last": (base[context].astype(U) + place.astype(U), int(sizes.sum()) + 1),
+            "head": (heads, model.words + 2, "find"),
+            "start": (start.astype(U), len(pairs) + 1, "get"),
+            "next": (node.astype(U) * width + c, len(heads) * (model.words + 2) + 1, "find"),
+            "context": (contexts_here, len(heads) * (model.words + 2) + 1, "find"),
+            "base": (base.astype(U), int(sizes.sum()) + 1, "get"),
+            "last": (base[context].astype(U) + place.astype(U), int(sizes.sum()) + 1, "find"),
         },
         {"next_codes": next_codes, "next_book": next_book, "weight_codes": weight_codes, "weight_book": weight_book, "last_codes": last_codes, "last_book": last_book},
         {},
@@ -273,7 +273,7 @@ def train(docs: DataFrame) -> Model:
         counts = table.column("n").to_numpy()
         order = np.argsort(hashes)
         low = U(file) << U(64 - bits) if bits else U(0)
-        levels.write(f"{folder}/words-{file}", {"words": (hashes[order] - low, 1 << (64 - bits))}, {"counts": counts[order]}, {})
+        levels.write(f"{folder}/words-{file}", {"words": (hashes[order] - low, 1 << (64 - bits), "find")}, {"counts": counts[order]}, {})
         return pa.table({"part": pa.array([file], pa.int32()), "n": pa.array([len(order)], pa.int64())})
 
     sizes = {r.part: r.n for r in vocabulary.withColumn("part", part).groupBy("part").applyInArrow(write_words, "part int, n long").collect()}
@@ -316,31 +316,46 @@ class Tries:
         # Of the pair (one, token), as the context of what follows: log10 of m / (n + m).
         weight = np.zeros(len(tokens))
         trigram = np.full(len(tokens), np.nan)
-        file = file_of(one, tokens, m.files)
-        order = np.argsort(file, kind="stable")
-        edges = np.searchsorted(file[order], np.arange(m.files + 1))
+        # Distinct pairs (one, token), by file and in order, so that look-ups run through the levels from front to back.
+        pairs, back = np.unique(one << U(32) | tokens, return_inverse=True)
+        b, c = pairs >> U(32), pairs & U(0xFFFFFFFF)
+        file = file_of(b, c, m.files)
+        by_file = np.argsort(file, kind="stable")
+        b, c, file = b[by_file], c[by_file], file[by_file]
+        rank = np.empty(len(pairs), np.int64)
+        rank[by_file] = np.arange(len(pairs))
+        rank = rank[back]
+        rows = np.argsort(rank, kind="stable")
+        edges = np.searchsorted(file, np.arange(m.files + 1))
+        row_edges = np.searchsorted(rank[rows], edges)
         width = U(m.words + 2)
         for f in np.flatnonzero(np.diff(edges)):
-            rows = order[edges[f] : edges[f + 1]]
             level = self.level(int(f))
-            heads, back = np.unique(one[rows], return_inverse=True)
+            low, high = edges[f], edges[f + 1]
+            heads, again = np.unique(b[low:high], return_inverse=True)
             node = level.head.find(heads)
-            first = np.where(node >= 0, level.start.get(np.maximum(node, 0)).astype(np.int64), 0) if level.start.n else node
-            node, first = node[back], first[back]
-            seen = np.flatnonzero(node >= 0)
-            place = level.next.find(node[seen].astype(U) * width + tokens[rows[seen]])
-            hit = place >= 0
-            seen, place = seen[hit], place[hit]
-            bigram[rows[seen]] = level.next_book[level.next_codes[place]]
-            weight[rows[seen]] = level.weight_book[level.weight_codes[place]]
-            context = level.context.find(node[seen].astype(U) * width + two[rows[seen]])
+            first = np.zeros(len(heads), np.int64)
+            first[node >= 0] = level.start.get(node[node >= 0]).astype(np.int64)
+            node, first = node[again], first[again]
+            place = np.full(high - low, -1, np.int64)
+            seen = node >= 0
+            place[seen] = level.next.find(node[seen].astype(U) * width + c[low:high][seen])
+            # From here on by token: those whose pair is in the file.
+            own = rows[row_edges[f] : row_edges[f + 1]]
+            pair = rank[own] - low
+            hit = place[pair] >= 0
+            own, pair = own[hit], pair[hit]
+            at = place[pair]
+            bigram[own] = level.next_book[level.next_codes[at]]
+            weight[own] = level.weight_book[level.weight_codes[at]]
+            context = level.context.find(node[pair].astype(U) * width + two[own])
             known = context >= 0
-            seen, place, context = seen[known], place[known], context[known]
-            if len(seen):
+            own, pair, at, context = own[known], pair[known], at[known], context[known]
+            if len(own):
                 # The place of the word among the followers of its forerunner, looked up in the context's range.
-                successor = level.last.find(level.base.get(context) + (place - first[seen]).astype(U))
+                successor = level.last.find(level.base.get(context) + (at - first[pair]).astype(U))
                 there = successor >= 0
-                trigram[rows[seen[there]]] = level.last_book[level.last_codes[successor[there]]]
+                trigram[own[there]] = level.last_book[level.last_codes[successor[there]]]
         before = np.full(len(tokens), np.log10(PRIOR_3 / (m.documents + PRIOR_3)))
         before[1:] = weight[:-1]
         before[bounds[:-1]] = np.log10(PRIOR_3 / (m.documents + PRIOR_3))

@@ -17,8 +17,8 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
 
 
-def write(uri: str, sequences: dict[str, tuple[np.ndarray, int]], plain: dict[str, np.ndarray], numbers: dict[str, float]) -> None:
-    """Sorted sequences with their universes, plain arrays, single numbers. A file appears whole or not at all."""
+def write(uri: str, sequences: dict[str, tuple[np.ndarray, int, str]], plain: dict[str, np.ndarray], numbers: dict[str, float]) -> None:
+    """Sorted sequences with their universes and uses, plain arrays, single numbers. A file appears whole or not at all."""
     head, parts, at = {"sequences": {}, "plain": {}, "numbers": numbers}, [], 0
 
     def put(array: np.ndarray) -> list:
@@ -30,8 +30,8 @@ def write(uri: str, sequences: dict[str, tuple[np.ndarray, int]], plain: dict[st
         at += len(raw)
         return place
 
-    for name, (values, universe) in sequences.items():
-        header, arrays = EliasFano.arrays(values, universe)
+    for name, (values, universe, use) in sequences.items():
+        header, arrays = EliasFano.arrays(values, universe, use)
         head["sequences"][name] = [header, [put(a) for a in arrays]]
     for name, array in plain.items():
         head["plain"][name] = put(array)

@@ -29,6 +29,15 @@ def event_stream(spark, folder):
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+RATES = "event_type STRING, window_end TIMESTAMP, n LONG, events_per_s DOUBLE, value_per_s DOUBLE"
+
+
+def event_span(spark, folder):
+    """First and last event time in microseconds: one row."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    return D.table(spark, folder, "events").agg(F.coalesce(F.min(us), F.lit(0)), F.coalesce(F.max(us), F.lit(0))).first()
+
+
 def posted_requests(spark, folder):
     """Requests of all orders, some sent again, and some sent again with another correlation id."""
     requests = D.requests(spark, folder).withColumns(
@@ -170,10 +179,25 @@ def stream_first_requests(spark, folder):
 
 
 def stream_sliding_rates(spark, folder):
-    """Sliding windows of five hours every hour, closed ones only."""
+    """Sliding windows of five hours every hour, closed ones only.
+
+    Files may come in any order, so the watermark waits for the whole span of the table, and windows are written as they
+    change; the last writing of a window holds all its events.
+    """
+    first, last = event_span(spark, folder)
     stream = event_stream(spark, folder).select("ts", "event_type", "value")
-    rates = state.sliding_rates(stream, ["event_type"], "value", 5 * 3600, 3600, "1 minute")
-    rows = run.drain_to_table(spark, rates, "stream-rates")
+    rates = state.sliding_rates(stream, ["event_type"], "value", 5 * 3600, 3600, f"{(last - first) // 1_000_000 + 1} seconds")
+    root = scratch_path(spark, "stream-rates")
+
+    def changed(batch, number):
+        batches.write(batch, root, "rates", number)
+        batches.commit(spark, root, number)
+
+    run.drain(rates, changed, f"{root}/_checkpoint", "update")
+    written = batches.committed(spark, root, "rates", RATES)
+    newest = F.max_by(F.struct("n", "events_per_s", "value_per_s"), "batch_id").alias("newest")
+    rows = written.groupBy("event_type", "window_end").agg(newest).select("event_type", "window_end", "newest.*")
+    rows = rows.filter(F.unix_micros("window_end") <= last - 60_000_000)
     return rows.select(
         "event_type", F.unix_micros("window_end").alias("window_end_us"), "n",
         F.round("events_per_s", 9).alias("events_per_s"), F.round("value_per_s", 6).alias("value_per_s"),

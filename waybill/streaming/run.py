@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from waybill.session import scratch_path
 
 
-def drain(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def drain(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Run a ``foreachBatch`` stream over everything that is available now."""
-    stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(handler).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def start(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str, every_ms: int):

@@ -38,9 +38,9 @@ FREQUENT = 32
 #: Members of a large family that all others meet.
 HUBS = 8
 #: Rows of id tables that may be broadcast.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 500_000
 #: Bytes of lists or sets that may be broadcast to the pairs that need them.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 8 << 20
 #: Rows of an Arrow batch: texts, or pairs of sets.
 BATCH_ROWS = 1000
 

@@ -39,6 +39,8 @@ FREQUENT = 32
 HUBS = 8
 #: Rows of id tables that may be broadcast.
 BROADCAST_IDS = 500_000
+#: Rows of the table of classes and their groups that may be broadcast.
+BROADCAST_MEMBERS = 100_000
 #: Bytes of lists or sets that may be broadcast to the pairs that need them.
 BROADCAST_BYTES = 8 << 20
 #: Rows of an Arrow batch: texts, or pairs of sets.
@@ -314,8 +316,9 @@ class Join:
         most = F.least(most, F.col("x.n"), F.col("y.n"))
         enough = (100 * most) >= (self.percent * (F.col("x.n") + F.col("y.n") - most))
         pairs = met.where(enough | F.col("x.short") | F.col("y.short")).select("g", "comp_g", "h", "comp_h")
-        one = placed.select(F.col("grp").alias("g"), F.col("comp").alias("comp_g"), F.col("cls").alias("a"))
-        two = placed.select(F.col("grp").alias("h"), F.col("comp").alias("comp_h"), F.col("cls").alias("b"))
+        members = if_small(placed.select("grp", "comp", "cls"), BROADCAST_MEMBERS)
+        one = members.select(F.col("grp").alias("g"), F.col("comp").alias("comp_g"), F.col("cls").alias("a"))
+        two = members.select(F.col("grp").alias("h"), F.col("comp").alias("comp_h"), F.col("cls").alias("b"))
         expanded = pairs.join(one, ["g", "comp_g"]).join(two, ["h", "comp_h"]).select("a", "b")
         # Classes of one group that its head did not link.
         loose = placed.join(placed.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("grp"), "grp")

@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from helpers import linked_components, prose, table
+from helpers import DOCUMENTS, linked_components, prose, table
 from waybill.llm import graphs, ngram_join
 
 
@@ -43,6 +45,33 @@ def test_joins_by_shuffle_give_the_same(spark, monkeypatch):
     assert found == linked_components(rows)
 
 
+def parted(spark, *parts):
+    """One partition, and so one Arrow batch, of each list of rows: a union of single partitions would be one."""
+    rows = [[(i, text, "en", "s", len(text)) for i, text in part] for part in parts]
+    out = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)).flatMap(lambda part: part), DOCUMENTS)
+    assert out.rdd.getNumPartitions() == len(parts)
+    return out
+
+
+def copies(base, count):
+    """Texts with one own word at the end, whose shingle is among the first: all have the same others, and no two are one group."""
+    texts = [base] + [f"{base} own{k}" for k in range(40 * count)]
+    sets = [own for _, own in ngram_join.shingle_sets(pa.array(texts), 5)]
+    low = [text for text, own in zip(texts[1:], sets[1:]) if np.setdiff1d(own, sets[0])[0] < sets[0][20]]
+    return low[:count]
+
+
+def test_held_back_in_one_batch_only(spark):
+    many, few = [], []
+    for others in (1, 10, 30):
+        texts = copies(prose(f"family{others}", 150, 5000), 120 + others)
+        few += [(1000 * others + k, text) for k, text in enumerate(texts[:others])]
+        many += [(1000 * others + 100 + k, text) for k, text in enumerate(texts[others:])]
+    assert len(many) == 360
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(parted(spark, many, few)).collect()}
+    assert found == {i: i // 1000 * 1000 for i, _ in many + few}
+
+
 def test_null_and_repeated_ids(spark):
     text = prose("n", 50)
     rows = [(None, text), (7, text), (7, text), (9, near(text, 1, 1)), (None, prose("m", 50)), (None, near(prose("m", 50), 2, 1))]

@@ -12,7 +12,8 @@ components, and no group of copies is expanded into its pairs.
 
 Frequent shingles: one that more than ``FREQUENT`` groups have in their first shingles goes to the end of the order. A class that then has too few shingles
 left gets its exact prefix from its whole set. Tasks that see a shingle very often report it once instead of sending
-each of its rows, so a shingle of a third of all documents is no hot key.
+each of its rows, so a shingle of a third of all documents is no hot key. A shingle that one task reports is frequent for
+all groups, also for those of tasks that have sent it.
 
 Null and empty texts have no set and link with nothing. Null ids are linked by their texts; the component's id is the
 smallest id that is not null. Rows that repeat are one class. Hashes have 64 bits, which is where exactness ends.
@@ -206,16 +207,19 @@ class Join:
         filled = self.base.where("n > 0")
         rest = F.when(F.col("often").isNull(), F.col("first")).otherwise(F.array_except("first", "often"))
         rows = filled.select("grp", "n", F.explode(rest).alias("tok"))
-        # One exchange: copies fall out, and shingles are counted where they meet. Often seen ones have not been sent.
-        met = rows.repartition("tok").distinct()
+        kept_back = filled.where("often is not null").select("grp", F.explode("often").alias("tok"))
+        # What one task holds back is frequent in all: a row without a group tells the rows that others have sent.
+        held = kept_back.select("tok").distinct().select(F.lit(None).cast("long").alias("grp"), F.lit(None).cast("long").alias("n"), "tok")
+        # One exchange: copies fall out, and shingles are counted where they meet.
+        met = rows.union(held).repartition("tok").distinct()
         here = Window.partitionBy("tok")
-        counted = met.withColumn("c", F.count("*").over(here)).withColumn("alike", F.expr("bit_xor(xxhash64(grp))").over(here)).where("c > 1")
+        counted = met.withColumn("c", F.count("grp").over(here)).withColumn("held", F.count("*").over(here) > F.count("grp").over(here))
+        counted = counted.withColumn("alike", F.expr("bit_xor(xxhash64(grp))").over(here)).where("grp is not null and (held or c > 1)")
         # The groups of a bucket decide its number; frequent shingles stay by themselves.
-        frequent_here = F.col("c") > FREQUENT
+        frequent_here = F.col("held") | (F.col("c") > FREQUENT)
         shared = counted.select(F.when(frequent_here, F.col("tok")).alias("often"), F.when(~frequent_here, F.col("alike")).alias("tok"), "grp", "n")
         shared = cut_lineage(shared.groupBy("often", "tok", "grp", "n").agg(F.count("*").alias("w")))
         sent = shared.where("often is not null").select("grp", F.col("often").alias("tok"))
-        kept_back = filled.where("often is not null").select("grp", F.explode("often").alias("tok"))
         lost_rows = cut_lineage(sent.union(kept_back).distinct())
         frequent = lost_rows.select("tok").distinct()
         buckets = shared.where("often is null").select("tok", "grp", "n", "w", F.lit(None).cast("int").alias("place"))

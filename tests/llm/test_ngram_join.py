@@ -72,6 +72,25 @@ def test_held_back_in_one_batch_only(spark):
     assert found == {i: i // 1000 * 1000 for i, _ in many + few}
 
 
+def test_bound_counts_what_one_batch_holds_back(spark):
+    passage = prose("passage", 20, 5000)
+    many = [(100 + k, f"{passage} {prose(f'body{k}', 70, 5000)}") for k in range(40)]
+    few = [(k, f"{text} {prose(f'end{k}', 8, 5000)}") for k, (_, text) in enumerate(many[:12])]
+    join = ngram_join.Join(parted(spark, many, few))
+    buckets = {}
+    for r in join.entries().collect():
+        buckets.setdefault(r.grp, {})[r.tok] = r.w
+    facts, base = {r.grp: r for r in join.facts.collect()}, {r.doc_id: r for r in join.base.collect()}
+    tested = 0
+    for k in range(12):
+        x, y = base[100 + k], base[k]
+        if x.often and not facts[x.grp].short and not facts[y.grp].short:
+            tested += 1
+            both = sum(w for tok, w in buckets[x.grp].items() if tok in buckets[y.grp])
+            assert both + min(facts[x.grp].lost, facts[y.grp].lost) >= len(set(x.first) & set(y.first))
+    assert tested
+
+
 def test_null_and_repeated_ids(spark):
     text = prose("n", 50)
     rows = [(None, text), (7, text), (7, text), (9, near(text, 1, 1)), (None, prose("m", 50)), (None, near(prose("m", 50), 2, 1))]

@@ -75,10 +75,11 @@ def mixed(docs: DataFrame, weights: Mapping[str, float], epochs: float = 1.0, se
     """
     rates = source_rates(docs, weights, epochs, default_weight, source_col, text_col).toDF("_mix_source", "_rate")
     # A few sources go to all tasks; many are joined by shuffle, where adaptive execution splits a hot source.
-    rated = docs.join(if_small(rates, BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
+    # The row's input partition spreads rows that repeat; it moves rows between files only. Taken before the join and not
+    # from the row's place, as a task that runs again may meet its rows in another order and must deal them the same.
+    placed = docs.withColumn("_salt", F.spark_partition_id())
+    rated = placed.join(if_small(rates, BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
     counted = rated.withColumn("_key", record_key(seed, id_col, text_col)).withColumn("repeats", poisson_count(F.col("_rate"), F.col("_key")))
     copies = counted.where("repeats > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1)))
     keyed = copies.withColumn("shuffle_key", md5_number(F.concat_ws("|", F.lit("shuffle"), F.col("_key"), F.col("copy").cast("string"))))
-    # The row's place in its input partition spreads rows that repeat; it moves rows between files only.
-    salted = keyed.withColumn("_salt", F.monotonically_increasing_id() % 1024)
-    return salted.repartition("shuffle_key", "_salt").sortWithinPartitions("shuffle_key").drop("_key", "_salt", "_rate")
+    return keyed.repartition("shuffle_key", "_salt").sortWithinPartitions("shuffle_key").drop("_key", "_salt", "_rate")

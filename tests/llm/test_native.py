@@ -13,7 +13,7 @@ from waybill.session import cut_lineage
 EDGES = [(1, "Abc É"), (2, "aBC É"), (3, "abc é"), (4, None), (5, ""), (None, "abc É"), (7, "x" * 70_000), (8, "X" * 70_000), (9, "y"), (9, "y"), (10, "ABC É")]
 
 
-@pytest.mark.parametrize("name", ["op1_source_mixing", "op5_exact_dedup", "op7_rendezvous_shards"])
+@pytest.mark.parametrize("name", ["op1_source_mixing", "op5_exact_dedup", "op7_rendezvous_shards", "op13_risk_rules"])
 def test_query_equals_its_sql(spark, folder, name):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     base = duckdb.connect()

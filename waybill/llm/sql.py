@@ -66,4 +66,60 @@ counted AS (
 SELECT documents.*, repeats, copy::INT AS copy, {number("'shuffle|' || key || '|' || copy")} AS shuffle_key
 FROM documents JOIN counted USING (doc_id), LATERAL (SELECT unnest(range(repeats)) AS copy)"""
 
-ORACLE = {"op1_source_mixing": MIXING, "op5_exact_dedup": EXACT, "op7_rendezvous_shards": SHARDING}
+WORD = r"[^\x20\x09-\x0D]+"
+#: Of op13: rule, value, cutoffs from the one that rejects most.
+CUTOFFS = """(VALUES
+  ('symbols', [500, 1000, 2000, 4000, 8000, 16000]), ('dup_lines', [1000, 2000, 3000, 4000, 6000, 8000]),
+  ('repeats', [500, 1000, 1500, 2000, 3000, 4000]), ('long_words', [700, 800, 900, 1000, 1200, 1500]),
+  ('short_words', [-350, -300, -275, -250, -225, -200])) c(rule, cutoffs)"""
+
+RISK_RULES = f"""
+WITH worded AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(lang, 'und') AS stratum, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS lines
+  FROM documents),
+windows AS (
+  SELECT row, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
+  FROM worded, LATERAL (SELECT unnest(range(1, len(words) - 1)) AS i)),
+repeated AS (
+  SELECT row, count(DISTINCT place) AS n FROM (
+    SELECT row, unnest([i, i + 1, i + 2]) AS place FROM (
+      SELECT row, i, count(*) OVER (PARTITION BY row, a, b, c) AS times FROM windows) WHERE times > 1) GROUP BY row),
+counted AS (
+  SELECT row, doc_id, stratum, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    (length(body) - length(translate(body, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM worded LEFT JOIN repeated USING (row)),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
+levels AS (
+  SELECT row, rule, len(list_filter(cutoffs, lambda c: n_words > 0 AND CASE rule
+      WHEN 'symbols' THEN n_symbols * 10000 // greatest(n_words, 1) WHEN 'dup_lines' THEN n_dup_lines * 10000 // greatest(n_lines, 1)
+      WHEN 'repeats' THEN n_repeat_words * 10000 // greatest(n_words, 1) WHEN 'long_words' THEN word_chars * 100 // greatest(n_words, 1)
+      ELSE -(word_chars * 100 // greatest(n_words, 1)) END >= c)) AS level
+  FROM based, {CUTOFFS}),
+known AS (
+  SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
+held AS (
+  SELECT stratum, rule, level, good FROM based JOIN known USING (doc_id) JOIN levels USING (row) WHERE NOT base_failed),
+counts AS (
+  SELECT stratum, rule, step, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND level >= step) AS k,
+    count(*) FILTER (WHERE NOT good AND level >= step) AS bad
+  FROM held, range(1, 7) s(step) GROUP BY ALL),
+tests AS (SELECT count(DISTINCT stratum) * 5 AS m FROM held),
+valued AS (
+  SELECT *, CASE WHEN k < n * 0.01::DOUBLE THEN (
+      SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01::DOUBLE) + (n - i) * ln(0.99::DOUBLE)))
+      FROM range(k + 1) r(i)) ELSE 1 END AS p_value
+  FROM counts),
+certified AS (
+  SELECT *, bool_and(p_value <= 0.05::DOUBLE / m) OVER (PARTITION BY stratum, rule ORDER BY step DESC) AS certified FROM valued, tests),
+chosen AS (
+  SELECT stratum, rule, max((bad - 20 * k, step)) AS best FROM certified WHERE certified AND bad - 20 * k > 0 GROUP BY stratum, rule),
+refused AS (
+  SELECT DISTINCT row FROM based JOIN levels USING (row) JOIN chosen USING (stratum, rule) WHERE level >= best[2])
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND row NOT IN (SELECT row FROM refused) AS kept
+FROM based"""
+
+ORACLE = {"op1_source_mixing": MIXING, "op5_exact_dedup": EXACT, "op7_rendezvous_shards": SHARDING, "op13_risk_rules": RISK_RULES}

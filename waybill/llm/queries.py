@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import alignment, decontamination, exact_dedup, html, language, language_model, mixing, ngram_join, quality, quality_rules, sharding, toxicity
+from waybill.llm import alignment, collocations, decontamination, exact_dedup, html, language, language_model, mixing, ngram_join, quality, quality_rules, sharding, toxicity
 from waybill.llm.columns import fold
 from waybill.llm.sql import ORACLE  # noqa: F401
 
@@ -83,6 +83,11 @@ def op10_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), *columns)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words of each language."""
+    return collocations.collocations(documents(spark, folder), threshold=10, first=2000, percent=50)
+
+
 def op12_token_links(spark: SparkSession, folder: str) -> DataFrame:
     """Links, cuts and groups of byte-level and sentencepiece tokens of every document."""
     return alignment.alignment_report(documents(spark, folder), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
@@ -93,4 +98,4 @@ def op13_risk_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_benchmark_leaks, op3_compression_quality, op4_ngram_join, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text, op10_ngram_trie, op12_token_links, op13_risk_rules)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_benchmark_leaks, op3_compression_quality, op4_ngram_join, op5_exact_dedup, op6_toxic_grammar, op7_rendezvous_shards, op8_language, op9_main_text, op10_ngram_trie, op11_collocations, op12_token_links, op13_risk_rules)}

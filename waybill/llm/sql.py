@@ -122,4 +122,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND row NOT IN (SELECT row FROM refused) AS kept
 FROM based"""
 
-ORACLE = {"op1_source_mixing": MIXING, "op5_exact_dedup": EXACT, "op7_rendezvous_shards": SHARDING, "op13_risk_rules": RISK_RULES}
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS words
+  FROM documents),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i : i + k - 1], ' '))) AS phrase
+  FROM pieces, range(1, 4) r(k)),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+counts AS (SELECT lang, k, phrase, count(*) AS a, string_split(phrase, ' ') AS words FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, array_to_string(c.words[:cut], ' ') AS head, array_to_string(c.words[cut + 1:], ' ') AS rest
+  FROM counts c, LATERAL (SELECT unnest(range(1, c.k)) AS cut) WHERE c.k > 1),
+valued AS (
+  SELECT cuts.*, x.a AS l, y.a AS r, ((1000000::HUGEINT * cuts.a * cuts.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = head JOIN counts y ON y.lang = cuts.lang AND y.phrase = rest),
+best AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_of AS (
+  SELECT lang, array_to_string(words[s : s + 1], ' ') AS phrase, max(a) AS outer_a FROM counts, range(1, 3) p(s) WHERE k = 3 GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inner_of USING (lang, phrase) WHERE k = 3 OR outer_a IS NULL OR 100 * outer_a < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN totals USING (lang)
+WHERE rank <= 2000"""
+
+ORACLE = {"op1_source_mixing": MIXING, "op5_exact_dedup": EXACT, "op7_rendezvous_shards": SHARDING, "op11_collocations": COLLOCATIONS, "op13_risk_rules": RISK_RULES}

@@ -97,6 +97,16 @@ def test_long_texts_go_in_stretches(spark, both):
         assert (found[i].n_a, found[i].n_b, found[i].n_links) == (len(a), len(b), len(common))
 
 
+def test_kept_units_are_bounded():
+    encoder = alignment.Encoder(alignment.byte_level(A_PATH), alignment.sentence_piece(B_PATH), most=100)
+    for k in range(30):
+        units = [f" unit{k % 7}{j}".encode() for j in range(9)] + [b" a\xe2\x96\x81b"]
+        good, sides = encoder(units)
+        assert good.tolist() == [True] * 9 + [False] and len(encoder.numbers) <= 30
+        for (ids, sizes), vocabulary in zip(sides, encoder.sides):
+            assert b"".join(vocabulary.bytes_of[i] for i in ids[: sizes[:9].sum()]) == b"".join(units[:9])
+
+
 def test_lockstep_equals_a_merge_by_sets():
     rng = np.random.default_rng(2)
     for _ in range(50):

@@ -6,7 +6,7 @@ and the text is cut; the tokens between two cuts form a group.
 
 * Tokens of whole texts: a text is cut at single spaces between two visible characters. Neither tokenizer joins tokens
   across such a space (the pre-tokenizer of A starts a piece there; B has no piece with a space behind another character,
-  which is checked when it is loaded), so units between them are encoded alone, each distinct unit of a piece once.
+  which is checked when it is loaded), so units between them are encoded alone, and a task keeps the tokens of the units it has met.
 * Lockstep: one vector of positions holds the next token of A and of B for every document. Each step compares their ends,
   emits links and cuts where they agree, advances the side that ends first, or both, and drops finished documents from the
   vector. A document of more than ``STRETCH`` bytes enters as several stretches, because ends alone decide, so the number
@@ -28,6 +28,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ from waybill.session import scratch_path
 
 #: Bytes of text that are encoded together, and of one stretch of the lockstep merge.
 PIECE_BYTES, STRETCH = 1 << 20, 4096
+#: Bytes of distinct units whose tokens a task keeps, about 20 times as much memory.
+KEPT_BYTES = 1 << 22
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 BETWEEN = f"doc_id %s, {', '.join(f'{c} long' for c in COUNTS)}, groups_sha256 string, pairs array<int>, times array<int>"
 
@@ -155,29 +158,52 @@ def ragged(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Token ids of many units, each distinct unit encoded once a call."""
+    """Token ids of many units. Each distinct unit is encoded once and kept, until ``most`` bytes of units are kept."""
 
-    def __init__(self, a: Vocabulary, b: Vocabulary) -> None:
-        self.sides = (a, b)
+    def __init__(self, a: Vocabulary, b: Vocabulary, most: int = KEPT_BYTES) -> None:
+        self.sides, self.most = (a, b), most
         self.lengths = [np.array([len(e) for e in v.bytes_of], np.int64) for v in self.sides]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.held = 0
+        self.good = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int32) for _ in self.sides]
+        self.first = [np.zeros(1, np.int64) for _ in self.sides]
 
     def __call__(self, units: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         """Whether each unit's tokens give its bytes on both sides, and for A and B the ids and their number per unit."""
-        numbers: dict[bytes, int] = {}
+        if self.held > self.most:
+            self._forget()
+        numbers, known = self.numbers, len(self.numbers)
         which = np.fromiter((numbers.setdefault(u, len(numbers)) for u in units), np.int64, len(units))
-        distinct = list(numbers)
-        texts = [u.decode() for u in distinct]
-        good = np.ones(len(distinct), bool)
+        if len(numbers) > known:
+            self._learn(list(islice(numbers, known, None)))
         out = []
-        for vocabulary in self.sides:
+        for ids, first in zip(self.ids, self.first):
+            sizes = first[which + 1] - first[which]
+            out.append((ids[ragged(first[which], sizes)], sizes))
+        return self.good[which], out
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        texts, raw = [u.decode() for u in fresh], b"".join(fresh)
+        ends = np.cumsum([len(u) for u in fresh])
+        self.held += len(raw)
+        good = np.ones(len(fresh), bool)
+        for side, vocabulary in enumerate(self.sides):
             found = vocabulary.encode(texts)
-            entries = vocabulary.bytes_of
-            good &= np.fromiter((b"".join([entries[i] for i in ids]) == u for ids, u in zip(found, distinct)), bool, len(distinct))
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
-            first = np.cumsum(sizes) - sizes
-            out.append((flat[ragged(first[which], sizes[which])], sizes[which]))
-        return good[which], out
+            ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+            entries = vocabulary.bytes_of
+            if b"".join([entries[i] for i in ids.tolist()]) != raw:
+                good &= np.fromiter((b"".join([entries[i] for i in mine]) == u for mine, u in zip(found, fresh)), bool, len(fresh))
+            else:  # all bytes agree; then units agree where their lengths do
+                reached = np.append(0, np.cumsum(self.lengths[side][ids]))[np.cumsum(sizes)]
+                good &= reached == ends
+            self.ids[side] = np.concatenate([self.ids[side], ids])
+            self.first[side] = np.concatenate([self.first[side], self.first[side][-1] + np.cumsum(sizes)])
+        self.good = np.concatenate([self.good, good])
 
 
 def decimal_table(size: int) -> np.ndarray:

@@ -8,13 +8,13 @@ from waybill import schemas as S
 from waybill.config import DEFAULTS
 from waybill.operators import logs as L
 from waybill.operators import outbox
-from waybill.queries import admission, delivery
+from waybill.queries import admission, delivery, telemetry
 from waybill.queries.orders import outbox_with_payload
 from waybill.queries.sql import NOW, with_tables
-from waybill.session import scratch_path
+from waybill.session import cut_lineage, scratch_path
 from waybill.sources import driver_tables as D
 from waybill.sources import tables
-from waybill.streaming import batches, run, state
+from waybill.streaming import batches, counters, run, state
 from waybill.streaming import delivery as delivery_streams
 from waybill.streaming import intake as intake_stream
 
@@ -204,6 +204,28 @@ def stream_sliding_rates(spark, folder):
     )
 
 
+COUNTER_SLICES = 8
+
+
+def stream_counter_rates(spark, folder):
+    """Rates of counters over five minutes, every 15 seconds, from samples that arrive as files.
+
+    The files of one eighth of the time come in any order, so the watermark waits for as long as that.
+    """
+    ts = F.timestamp_micros("ts_us").alias("ts")
+    samples = cut_lineage(telemetry.compressed_counters(spark, folder).select(F.col("event_type").alias("series"), ts, "value", "ts_us"))
+    first, last = samples.agg(F.coalesce(F.min("ts_us"), F.lit(0)), F.coalesce(F.max("ts_us"), F.lit(0))).first()
+    width, root = (last - first) // COUNTER_SLICES + 1, scratch_path(spark, "counter-samples")
+    for k in range(COUNTER_SLICES):
+        part = samples.where(F.col("ts_us").between(first + k * width, first + (k + 1) * width - 1))
+        part.select("series", "ts", "value").write.mode("append").parquet(root)
+    stream = spark.readStream.schema("series STRING, ts TIMESTAMP, value DOUBLE").option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(root)
+    delay_ms = width // 1000 + 1
+    rates = counters.counter_rates(stream, 300, 15, f"{delay_ms} milliseconds")
+    rows = run.drain_to_table(spark, rates, "counter-rates").where(F.col("eval_us") <= last - delay_ms * 1000 - 1_000_000)
+    return rows.select("series", "eval_us", F.round("rate", 9).alias("rate"), "n")
+
+
 def stream_event_dedup(spark, folder):
     """Notifications delivered twice within the delay: one row per event id."""
     events = event_stream(spark, folder).select(
@@ -233,7 +255,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stream_intake, stream_intake_by_state, stream_publisher, stream_publisher_failures, recovery_tick, stream_consumer, stream_token_bucket, stream_first_requests,
-        stream_sliding_rates, stream_event_dedup, stream_log_store,
+        stream_sliding_rates, stream_counter_rates, stream_event_dedup, stream_log_store,
     )
 }
 
@@ -270,6 +292,14 @@ ORACLE = {
         SELECT event_type, h * 3600000000 AS window_end_us, count(*) AS n, round(count(*) / 18000.0::DOUBLE, 9) AS events_per_s,
         round(sum(value) / 18000.0::DOUBLE, 6) AS value_per_s FROM copies
         WHERE h * 3600000000 <= (SELECT max(epoch_us(ts)) - 60000000 FROM events) GROUP BY ALL""",
+    "stream_counter_rates": with_tables("counted", f""", samples AS (SELECT event_type AS series, counter AS value,
+          {D.METRICS_START_US} + CAST(floor((epoch_us(ts) - {D.METRICS_START_US}) / {D.COMPRESSION}) AS BIGINT) AS us FROM counted),
+        ordered AS (SELECT *, lag(value) OVER w AS before, lag(us) OVER w AS before_us FROM samples WINDOW w AS (PARTITION BY series ORDER BY us, value)),
+        placed AS (SELECT *, CASE WHEN value < before THEN value ELSE value - before END AS grown,
+          unnest(range((us + 14999999) // 15000000, (us + 14999999) // 15000000 + 20)) * 15000000 AS eval_us FROM ordered),
+        closed AS (SELECT max(us) - (((max(us) - min(us)) // {COUNTER_SLICES} + 1) // 1000 + 1) * 1000 - 1000000 AS until FROM samples)
+        SELECT series, eval_us, round(sum(CASE WHEN before_us > eval_us - 300000000 THEN grown ELSE 0 END) / 300.0::DOUBLE, 9) AS rate, count(*) AS n
+        FROM placed, closed WHERE eval_us <= until GROUP BY series, eval_us HAVING count(*) >= 2"""),
     "stream_event_dedup": "SELECT event_id, event_type FROM events",
     "stream_log_store": with_tables("logs", """SELECT strftime(ts, '%Y-%m-%d') AS day, log_level, 'waybill' AS log_source, count(*) AS lines,
         CAST(sum(order_id) AS BIGINT) AS order_ids, count(customer_id) AS customers FROM logs GROUP BY ALL"""),

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waybill.operators import metrics as M
+from waybill.operators import rollups as R
 from waybill.plans import panels as P
 from waybill.queries.sql import with_tables
+from waybill.session import scratch_path
 from waybill.sources import driver_tables as D
 
 GRID = M.Grid(D.METRICS_START_US, D.METRICS_START_US + D.METRICS_SPAN_US)
@@ -101,10 +103,44 @@ def slo_check(spark, folder):
     return rows.select("stage", "requests", F.round("failed_pct", 6).alias("failed_pct"), "p95_ms", "met")
 
 
+RANKS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+WEEK_US = 7 * 86_400 * 1_000_000
+
+
+def rolled_up(spark, folder):
+    """Summaries of the event values per type and minute, stored by day; their path."""
+    root = scratch_path(spark, "latency")
+    R.save(R.minutes(durations(spark, folder).withColumn("ts", F.col("ts").cast("timestamp")), ["event_type"], "ts", "ms"), root)
+    return root
+
+
+def latency_rollup(spark, folder):
+    """Percentiles per type and day, from the stored minutes only."""
+    kept = R.stored(spark, rolled_up(spark, folder), "event_type STRING")
+    day = F.date_format(F.timestamp_micros("minute_us"), "yyyy-MM-dd").alias("day")
+    return R.with_quantiles(R.merged(kept, ["event_type", day]), RANKS).withColumn("total", F.round("total", 4))
+
+
+def latency_rollup_week(spark, folder):
+    """Percentiles per type over the newest seven days, reading the days of that range only."""
+    newest = durations(spark, folder).agg(F.coalesce(F.max(F.unix_micros(F.col("ts").cast("timestamp"))), F.lit(0))).first()[0]
+    end_us = newest // R.MINUTE * R.MINUTE
+    start, end = F.timestamp_micros(F.lit(end_us - WEEK_US)), F.timestamp_micros(F.lit(end_us))
+    kept = R.stored(spark, rolled_up(spark, folder), "event_type STRING", start, end)
+    return R.with_quantiles(R.merged(kept, ["event_type"]), RANKS).withColumn("total", F.round("total", 4))
+
+
+def span_rollup(spark, folder):
+    """Percentiles of span durations per service, name and hour, merged from minutes."""
+    per_minute = R.minutes(D.spans(spark, folder), ["service", "name"], "start_ts", "duration_ms")
+    hour = F.floor(F.col("minute_us") / F.lit(60 * R.MINUTE)).cast("bigint").alias("hour")
+    return R.with_quantiles(R.merged(per_minute, ["service", "name", hour]), RANKS).withColumn("total", F.round("total", 7))
+
+
 QUERIES = {f"panel_{name}": panel_query(name) for name in P.PANELS}
 QUERIES |= {
     f.__name__: f
-    for f in (rate_5m, rate_1m_in_slices, timer_summary, batch_size_summary, histogram_buckets, threshold_bands, slo_check)
+    for f in (rate_5m, rate_1m_in_slices, timer_summary, batch_size_summary, histogram_buckets, threshold_bands, slo_check, latency_rollup, latency_rollup_week, span_rollup)
 }
 QUERIES["histogram_quantile_p50"] = quantiles(0.5)
 QUERIES["histogram_quantile_p95"] = quantiles(0.95)
@@ -272,3 +308,13 @@ ORACLE |= {
     "histogram_quantile_p95": quantile_oracle(0.95),
     "histogram_quantile_p99": quantile_oracle(0.99),
 }
+
+ROLLED = """count(*) AS n, round(sum({v}), 4) AS total, max({v}) AS most,
+  quantile_disc({v}, 0.5) AS p50, quantile_disc({v}, 0.95) AS p95, quantile_disc({v}, 0.99) AS p99"""
+ORACLE |= {
+    "latency_rollup": f"SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, {ROLLED.format(v='value')} FROM events GROUP BY ALL",
+    "latency_rollup_week": f"""WITH range AS (SELECT max(epoch_us(ts)) // {R.MINUTE} * {R.MINUTE} AS stop FROM events)
+        SELECT event_type, {ROLLED.format(v='value')} FROM events, range
+        WHERE epoch_us(ts) >= stop - {WEEK_US} AND epoch_us(ts) < stop GROUP BY ALL""",
+    "span_rollup": with_tables("spans", f"SELECT service, name, start_us // 3600000000 AS hour, {ROLLED.format(v='duration_ms').replace(', 4)', ', 7)')} FROM spans GROUP BY ALL"),
+}

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -108,3 +109,38 @@ def test_sampling_keeps_whole_traces(spark):
     assert counts == {4}
     share = T.sampled(df, 0.1).count() / 4000
     assert 0.05 < share < 0.15 and T.sampled(df, 1.0).count() == 4000 and T.sampled(df, 0.0).count() == 0
+
+
+SPAN = "trace_id string, span_id string, parent_span_id string, name string, uri string"
+
+
+def spans_of(spark, rows):
+    return spark.createDataFrame(rows, SPAN)
+
+
+def test_a_long_chain_takes_log_depth_rounds(spark, monkeypatch):
+    chain = [("t", str(k), str(k - 1) if k else None, "x", "/actuator/health" if k == 0 else None) for k in range(1000)]
+    side = [("t", "s", "gone", "x", None), ("u", "0", None, "x", None), ("u", "1", "0", "x", None)]
+    saved = []
+    monkeypatch.setattr(T, "cut_lineage", lambda df, real=T.cut_lineage: (saved.append(1), real(df))[1])
+    found = {(r.trace_id, r.span_id) for r in T.actuator_spans(spans_of(spark, chain + side)).collect()}
+    assert found == {("t", str(k)) for k in range(1000)}
+    assert len(saved) <= 1 + 11
+
+
+def test_excluded_descendants_equal_a_plain_walk(spark):
+    rng = random.Random(6)
+    rows = []
+    for trace in range(40):
+        n = rng.randrange(1, 25)
+        for k in range(n):
+            parent = rng.choice([None, "gone", *[str(p) for p in range(n)]])  # parents may come later, or form circles
+            rows.append((str(trace), str(k), parent, rng.choice(["a", "b", None]), rng.choice([None, "/x", "/actuator"]) if rng.random() < 0.15 else None))
+    rows += rows[:10] + [("z", None, None, "x", "/actuator"), (None, "1", None, "x", "/actuator"), ("0", "0", "1", "second parent", None)]
+    marked = {(t, s) for t, s, _, name, uri in rows if uri == "/actuator" and t and s}
+    while True:
+        more = {(t, s) for t, s, p, _, _ in rows if t and s and (t, p) in marked} - marked
+        if not more:
+            break
+        marked |= more
+    assert {(r.trace_id, r.span_id) for r in T.actuator_spans(spans_of(spark, rows)).collect()} == marked

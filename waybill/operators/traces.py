@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import scalars
 from waybill.operators import metrics
+from waybill.plans import sizes
 from waybill.session import cut_lineage
 
 # What marks spans of the management endpoints and of the recovery task.
@@ -14,29 +15,49 @@ ACTUATOR = "/actuator"
 RECOVERY_TASK = "task recoveryWorker."
 
 
-def _actuator_roots(spans: DataFrame) -> DataFrame:
+def _is_actuator() -> Column:
     uri = F.col("uri")
     own = (uri == ACTUATOR) | uri.startswith(f"{ACTUATOR}/") | F.col("name").contains(ACTUATOR)
-    return spans.filter(F.coalesce(own, F.lit(False))).select("trace_id", "span_id")
+    return F.coalesce(own, F.lit(False))
 
 
 def actuator_spans(spans: DataFrame) -> DataFrame:
-    """``trace_id, span_id`` of actuator spans and everything below them, level by level until no child is left."""
-    found = frontier = cut_lineage(_actuator_roots(spans))
-    links = spans.filter(F.col("parent_span_id").isNotNull()).select("trace_id", "span_id", "parent_span_id")
-    while True:
-        above = frontier.withColumnRenamed("span_id", "parent_span_id")
-        children = links.join(above, ["trace_id", "parent_span_id"]).select("trace_id", "span_id")
-        frontier = cut_lineage(children.join(found, ["trace_id", "span_id"], "left_anti"))
-        if frontier.isEmpty():
-            return found
-        found = found.union(frontier)
+    """``trace_id, span_id`` of actuator spans and everything below them.
+
+    Only traces that hold an actuator span are looked at. Each span points to its parent; in every round it learns what
+    the span it points to knows, and then points where that one pointed, so a chain of n spans takes log2(n) rounds. Rows
+    are joined by trace and span, so a trace of any size is spread over tasks. Spans whose parent is missing end a chain;
+    spans whose parents form a circle end with the last round. A span that occurs with several
+    parents is below all of them.
+    """
+    node = ["trace_id", "span_id"]
+    traces = spans.filter(_is_actuator()).select("trace_id").distinct()
+    inside = spans.join(sizes.counted(traces), "trace_id", "left_semi").filter(F.col("span_id").isNotNull())
+    known = inside.groupBy(*node, F.col("parent_span_id").alias("up")).agg(F.max(_is_actuator()).alias("below"))
+    known = cut_lineage(_settled(known))
+    # A chain is no longer than all rows together, so a circle of parents ends too.
+    rows, waiting = known.agg(F.count(F.lit(1)), F.count("up")).first()
+    for _ in range(rows.bit_length()):
+        if not waiting:
+            break
+        above = known.select("trace_id", F.col("span_id").alias("up"), F.col("up").alias("further"), F.col("below").alias("learned"))
+        # Spans without a pointer learn nothing more and stay out of the join.
+        moved = known.filter(F.col("up").isNotNull()).join(above, ["trace_id", "up"], "left")
+        moved = moved.groupBy(*node, F.col("further").alias("up")).agg(F.max(F.col("below") | F.coalesce("learned", F.lit(False))).alias("below"))
+        known = cut_lineage(_settled(known.filter(F.col("up").isNull()).unionByName(moved)))
+        waiting = known.agg(F.count("up")).first()[0]
+    return known.filter("below").select(*node).distinct()
+
+
+def _settled(known: DataFrame) -> DataFrame:
+    """Spans that are known to be below an actuator span need no pointer."""
+    return known.withColumn("up", F.when(~F.col("below"), F.col("up")))
 
 
 def exported(spans: DataFrame) -> DataFrame:
     """Spans that are kept: no actuator calls or their descendants, no recovery task."""
     own_task = F.coalesce(F.col("name").startswith(RECOVERY_TASK), F.lit(False))
-    return spans.filter(~own_task).join(actuator_spans(spans), ["trace_id", "span_id"], "left_anti")
+    return spans.filter(~own_task).join(sizes.counted(actuator_spans(spans)), ["trace_id", "span_id"], "left_anti")
 
 
 def sampled(spans: DataFrame, probability: float) -> DataFrame:

@@ -156,3 +156,32 @@ def test_live_counts_and_lookups(spark):
     assert outbox.live_counts(df, seen).count() == 3
     assert seen.get == {"rows": 3, "published": 1, "failed": 1, "pending": 2}
     assert [r.id for r in outbox.by_id(df, 2).collect()] == [2]
+
+
+def test_queue_sizes_equal_a_running_sum(spark):
+    import random
+
+    rng = random.Random(8)
+    # A hot instance over many slices, one with gaps, one that only shrinks, moves of one instant, and no time.
+    rows = [("hot", rng.randrange(200_000) * 10_000, rng.choice([1, -1])) for _ in range(6000)]
+    rows += [("gaps", 5_000_000, 1), ("gaps", 5_000_000, 1), ("gaps", 5_000_000, -1), ("gaps", 95_000_000, -1), ("down", 1, -1), (None, 7, 1), ("hot", None, 1)]
+    moves = spark.createDataFrame(rows, "instance_id string, us long, delta int").select("instance_id", F.timestamp_micros("us").alias("ts"), "delta")
+    found = {(r.instance_id, r.window_us): (r.size, r.peak, r.came, r.went) for r in queueing.queue_sizes(moves, 30, 2).collect()}
+    expected = {}
+    for instance in {r[0] for r in rows}:
+        mine = [(us, d) for i, us, d in rows if i == instance and us is not None]
+        windows = range(min(us for us, _ in mine) // 30_000_000, max(us for us, _ in mine) // 30_000_000 + 1)
+        for w in windows:
+            instants = sorted({us for us, _ in mine if us // 30_000_000 == w})
+            sizes = [sum(d for us, d in mine if us <= t) for t in instants]
+            start = sum(d for us, d in mine if us < w * 30_000_000)
+            here = [d for us, d in mine if us // 30_000_000 == w]
+            expected[instance, w * 30_000_000] = (sizes[-1] if sizes else start, max([start, *sizes]), sum(d > 0 for d in here), sum(d < 0 for d in here))
+    assert found == expected
+
+
+def test_moves_follow_the_transition_log(spark):
+    rows = [(1, 1, 10, 0), (1, 2, 20, 2), (1, 3, 30, 1), (1, 4, 30, 2), (1, 5, 7300, 110), (2, 6, 5, 1), (3, 7, None, 0), (3, 8, 9, None)]
+    log = spark.createDataFrame(rows, "id long, seq long, s long, status int").withColumn("ts", F.timestamp_seconds("s"))
+    found = sorted((r.id, r.s, r.delta) for r in queueing.queue_moves(log, [0, 2], 10).select("id", F.unix_seconds("ts").alias("s"), "delta").collect())
+    assert found == [(1, 10, 1), (1, 30, -1), (1, 30, 1), (1, 7300, -1)]

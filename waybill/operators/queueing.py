@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions import scalars
@@ -58,3 +58,58 @@ def queue_health(size: Column, capacity: Column, critical: float) -> Column:
 
 def outbox_health(pending: Column, critical: int) -> Column:
     return F.when(pending >= critical, "DOWN").otherwise("UP")
+
+
+def queue_moves(transitions: DataFrame, waiting: list[int], slice_s: int = 3600) -> DataFrame:
+    """``id, ts, delta``: +1 where an id begins to wait for the publisher, -1 where it is claimed or ends.
+
+    ``transitions`` has ``id, seq, ts, status``; the order is time, then ``seq``. An id waits for the first time with its
+    first transition into a waiting status. Transitions between two waiting statuses move nothing. Rows without a time or
+    a status are left out.
+    """
+    known = transitions.filter(F.col("ts").isNotNull() & F.col("status").isNotNull())
+    flags = known.select("id", "ts", F.struct("ts", "seq").alias("at"), F.col("status").isin(waiting).cast("int").alias("waits"))
+    before = slices.previous(flags, ["id"], "at", slices.time_slice(F.col("ts"), slice_s), "waits", "waited")
+    delta = F.col("waits") - F.coalesce("waited", F.lit(0))
+    return before.select("id", "ts", delta.alias("delta")).filter("delta <> 0")
+
+
+def queue_sizes(moves: DataFrame, window_s: int, slice_s: int | None = None) -> DataFrame:
+    """Size of each instance's queue over time, from ``instance_id, ts, delta``.
+
+    One row per instance and window from its first to its last move: ``window_us``, ``size`` at the window's end, ``peak``
+    (the largest size from its begin to its end), ``came`` and ``went``. Moves of one instant count together.
+
+    Time is cut into slices, each summarised as its sum and the largest sum of its first moves; the slices' sums give the
+    size each one starts with. So one task orders the moves of one slice, and one window function the slices of an instance.
+    ``slice_s`` must divide ``window_s``.
+    """
+    slice_s = slice_s or window_s
+    if window_s % slice_s:
+        raise ValueError("slices must divide the window")
+    cell = ["instance_id", "slice"]
+    placed = moves.filter(F.col("ts").isNotNull()).withColumn("slice", slices.time_slice(F.col("ts"), slice_s))
+    instants = placed.groupBy(*cell, "ts").agg(
+        F.sum("delta").alias("net"), F.sum(F.greatest("delta", F.lit(0))).alias("came"), F.sum(F.greatest(-F.col("delta"), F.lit(0))).alias("went")
+    )
+    along = Window.partitionBy(*cell).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    running = instants.withColumn("so_far", F.sum("net").over(along))
+    cells = running.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in ("net", "came", "went")], F.max("so_far").alias("most"))
+    ordered = Window.partitionBy("instance_id").orderBy("slice")
+    start = F.coalesce(F.sum("net").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    window = F.floor(F.col("slice") / F.lit(window_s // slice_s)).cast("bigint")
+    known = cells.withColumn("start", start).withColumn("window", window)
+    windows = known.groupBy("instance_id", "window").agg(
+        F.max_by(F.col("start") + F.col("net"), "slice").alias("size"),
+        F.max(F.col("start") + F.greatest(F.col("most"), F.lit(0))).alias("peak"),
+        F.sum("came").alias("came"), F.sum("went").alias("went"),
+    )
+    # Windows without moves keep the size that the one before them ended with.
+    until = F.coalesce(F.lead("window").over(Window.partitionBy("instance_id").orderBy("window")) - 1, F.col("window"))
+    spans = windows.withColumns({"own": F.col("window"), "until": until})
+    filled = spans.withColumn("window", F.explode(F.sequence("own", "until")))
+    moved = F.col("window") == F.col("own")
+    return filled.select(
+        "instance_id", (F.col("window") * F.lit(window_s * 1_000_000)).alias("window_us"), "size", F.when(moved, F.col("peak")).otherwise(F.col("size")).alias("peak"),
+        *[F.when(moved, F.col(c)).otherwise(F.lit(0)).cast("bigint").alias(c) for c in ("came", "went")],
+    )

@@ -267,6 +267,21 @@ def queue_pressure(spark, folder):
     )
 
 
+QUEUE_WINDOW_S, QUEUE_CAPACITY = 6 * 3600, 60
+
+
+def queue_size_over_time(spark, folder):
+    """Size, peak, pressure and health of each instance's queue every six hours, from the transition log."""
+    moves = queueing.queue_moves(D.transitions(spark, folder), [S.NEW, S.FAILED], 86_400)
+    instance = F.concat(F.lit("pod-"), (F.col("id") % 4).cast("string")).alias("instance_id")
+    sizes = queueing.queue_sizes(moves.select(instance, "ts", "delta"), QUEUE_WINDOW_S, QUEUE_WINDOW_S // 6)
+    capacity = F.lit(QUEUE_CAPACITY)
+    return sizes.withColumns({
+        "pressure": F.round(scalars.pressure(F.col("peak"), capacity), 6),
+        "health": queueing.queue_health(F.col("peak"), capacity, DEFAULTS.health.queue_pressure_critical),
+    })
+
+
 def health_status(spark, folder):
     limit = DEFAULTS.health.outbox_pending_critical
     return outbox.active_pending(D.outbox(spark, folder)).select(
@@ -368,7 +383,7 @@ QUERIES = {
         idempotency_insert_if_absent, idempotency_completed_keys, active_pending, recovery_candidates, recovery_envelopes,
         recovery_lease, claim_by_ids, reenqueueable_ids, retry_transition, sent_transition, attempt_replay, latest_state,
         state_after_log, active_archive_routing, batch_outcome, delivery_counters, point_lookups, first_trace_parent, queue_admission,
-        not_in_flight, publish_batches, fast_and_recovery_union, queue_pressure, health_status, kafka_records,
+        not_in_flight, publish_batches, fast_and_recovery_union, queue_pressure, queue_size_over_time, health_status, kafka_records,
         publish_order_check, consumer_notifications, unreadable_records, consumer_batch_metrics, consumer_totals,
         consumer_dedup, trace_continuity,
     )
@@ -485,6 +500,19 @@ ORACLE = {
         (SELECT id FROM outbox WHERE {FREE} ORDER BY id LIMIT 500)"""),
     "queue_pressure": OFFERS + """SELECT instance_id, count(*) AS size, round(count(*) / 3400.0::DOUBLE, 6) AS pressure,
         CASE WHEN count(*) / 3400.0::DOUBLE >= 0.95 THEN 'DOWN' ELSE 'UP' END AS health FROM offers GROUP BY instance_id""",
+    "queue_size_over_time": with_tables("transitions", f""", flags AS (SELECT id, ts, CAST(status IN (0, 2) AS INT) AS waits,
+          lag(CAST(status IN (0, 2) AS INT), 1, 0) OVER (PARTITION BY id ORDER BY ts, seq) AS waited FROM transitions),
+        instants AS (SELECT 'pod-' || (id % 4) AS instance_id, epoch_us(ts) AS us, sum(waits - waited) AS net,
+          count(*) FILTER (WHERE waits > waited) AS came, count(*) FILTER (WHERE waits < waited) AS went FROM flags WHERE waits <> waited GROUP BY ALL),
+        running AS (SELECT *, us // {QUEUE_WINDOW_S * 1_000_000} AS w, sum(net) OVER (PARTITION BY instance_id ORDER BY us) AS size FROM instants),
+        grid AS (SELECT instance_id, unnest(range(min(w), max(w) + 1)) AS w FROM running GROUP BY instance_id),
+        joined AS (SELECT g.instance_id, g.w, arg_max(r.size, r.us) AS ended, max(r.size) FILTER (WHERE r.w = g.w) AS most,
+          arg_max(r.size, r.us) FILTER (WHERE r.w < g.w) AS started, sum(r.came) FILTER (WHERE r.w = g.w) AS came, sum(r.went) FILTER (WHERE r.w = g.w) AS went
+          FROM grid g JOIN running r ON r.instance_id = g.instance_id AND r.w <= g.w GROUP BY ALL)
+        SELECT instance_id, w * {QUEUE_WINDOW_S * 1_000_000} AS window_us, CAST(ended AS BIGINT) AS size,
+          CAST(greatest(coalesce(most, 0), coalesce(started, 0)) AS BIGINT) AS peak, CAST(coalesce(came, 0) AS BIGINT) AS came, CAST(coalesce(went, 0) AS BIGINT) AS went,
+          round(greatest(coalesce(most, 0), coalesce(started, 0)) / {QUEUE_CAPACITY}.0::DOUBLE, 6) AS pressure,
+          CASE WHEN greatest(coalesce(most, 0), coalesce(started, 0)) / {QUEUE_CAPACITY}.0::DOUBLE >= 0.95 THEN 'DOWN' ELSE 'UP' END AS health FROM joined"""),
     "health_status": with_tables("outbox", """SELECT count(*) AS pending, CAST(10000 AS BIGINT) AS critical,
         CASE WHEN count(*) >= 10000 THEN 'DOWN' ELSE 'UP' END AS health FROM outbox WHERE status < 100"""),
     "kafka_records": with_tables("records", f"""SELECT id AS event_id, CAST(customer_id AS VARCHAR) AS key, part, off,

@@ -8,13 +8,13 @@ from waybill import schemas as S
 from waybill.config import DEFAULTS
 from waybill.operators import logs as L
 from waybill.operators import outbox
-from waybill.queries import admission, delivery, telemetry
+from waybill.queries import admission, delivery, observability, telemetry
 from waybill.queries.orders import outbox_with_payload
 from waybill.queries.sql import NOW, with_tables
 from waybill.session import cut_lineage, scratch_path
 from waybill.sources import driver_tables as D
 from waybill.sources import tables
-from waybill.streaming import batches, counters, run, state
+from waybill.streaming import batches, counters, graph, run, state
 from waybill.streaming import delivery as delivery_streams
 from waybill.streaming import intake as intake_stream
 
@@ -205,6 +205,25 @@ def stream_sliding_rates(spark, folder):
 
 
 COUNTER_SLICES = 8
+GRAPH_SLICES = 4
+
+
+def stream_service_graph(spark, folder):
+    """Edges of the service graph from spans that arrive as files, those of one quarter of the time in any order.
+
+    Children are put ahead of their parents: the spans without a parent are written last in each quarter.
+    """
+    spans = D.spans(spark, folder)
+    us = F.unix_micros("start_ts")
+    first, last = spans.agg(F.coalesce(F.min(us), F.lit(0)), F.coalesce(F.max(us), F.lit(0))).first()
+    width, root = (last - first) // GRAPH_SLICES + 1, scratch_path(spark, "spans")
+    for k in range(GRAPH_SLICES):
+        part = spans.where(us.between(first + k * width, first + (k + 1) * width - 1))
+        for side in (F.col("parent_span_id").isNotNull(), F.col("parent_span_id").isNull()):
+            part.where(side).write.mode("append").parquet(root)
+    found = graph.calls(tables.read_spans(spark, root, streaming=True), f"{width // 1000 + 1} milliseconds", "1 minute")
+    rows = graph.edges(run.drain_to_table(spark, found, "calls"))
+    return rows.select("client", "server", "calls", "failures", F.round("total_ms", 4).alias("total_ms"), "max_ms")
 
 
 def stream_counter_rates(spark, folder):
@@ -255,7 +274,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stream_intake, stream_intake_by_state, stream_publisher, stream_publisher_failures, recovery_tick, stream_consumer, stream_token_bucket, stream_first_requests,
-        stream_sliding_rates, stream_counter_rates, stream_event_dedup, stream_log_store,
+        stream_sliding_rates, stream_counter_rates, stream_service_graph, stream_event_dedup, stream_log_store,
     )
 }
 
@@ -300,6 +319,7 @@ ORACLE = {
         closed AS (SELECT max(us) - (((max(us) - min(us)) // {COUNTER_SLICES} + 1) // 1000 + 1) * 1000 - 1000000 AS until FROM samples)
         SELECT series, eval_us, round(sum(CASE WHEN before_us > eval_us - 300000000 THEN grown ELSE 0 END) / 300.0::DOUBLE, 9) AS rate, count(*) AS n
         FROM placed, closed WHERE eval_us <= until GROUP BY series, eval_us HAVING count(*) >= 2"""),
+    "stream_service_graph": observability.ORACLE["service_graph"],
     "stream_event_dedup": "SELECT event_id, event_type FROM events",
     "stream_log_store": with_tables("logs", """SELECT strftime(ts, '%Y-%m-%d') AS day, log_level, 'waybill' AS log_source, count(*) AS lines,
         CAST(sum(order_id) AS BIGINT) AS order_ids, count(customer_id) AS customers FROM logs GROUP BY ALL"""),

@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+import json
 
 import pytest
 from pyspark.errors import SparkRuntimeException
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from waybill import schemas as S
 from waybill.functions import scalars
+from waybill.operators import intake
 
 
 def one(spark, **columns):
@@ -127,3 +129,24 @@ def test_small_ones(spark):
     )
     assert (row.ms, row.part, bytes(row.raw), row.blank, row.given, row.least, row.route) == (1, 2, b"42", True, "x", 1e-9, True)
     assert row.made == row.again and len(row.made) == 36
+
+
+def test_prices_keep_their_places(spark):
+    from decimal import Decimal
+
+    item = lambda price, q=3: [("sku", q, Decimal(price))]
+    bodies = [(1, item("0.335")), (1, item("0.34")), (1, item("12.3")), (1, item("0.0000000001", 1)), (1, item("9999999999999999.9999999999", 1))]
+    df = spark.createDataFrame(bodies, f"customer_id long, items {S.ITEMS}")
+    none = F.lit(None).cast("string")
+    rows = df.select(
+        scalars.items_total(F.col("items")).alias("total"), scalars.request_hash(F.col("customer_id"), F.col("items"), none).alias("digest"),
+        intake.order_payload(F.lit(7), F.col("customer_id"), F.col("items"), none).alias("payload"),
+    ).collect()
+    # 3 x 0.335 = 1.005; cents come from the total, rounded half up.
+    assert [str(r.total) for r in rows[:4]] == ["1.01", "1.02", "36.90", "0.00"]
+    assert len({r.digest for r in rows}) == len(rows)
+    prices = [r.payload.split('"price":')[1].split("}")[0] for r in rows]
+    assert prices == ["0.335", "0.34", "12.30", "0.0000000001", "9999999999999999.9999999999"]
+    odd = spark.createDataFrame([(1, [('a"price":"1"', 1, Decimal("1"))])], f"customer_id long, items {S.ITEMS}")
+    text = odd.select(intake.order_payload(F.lit(7), F.col("customer_id"), F.col("items"), none)).first()[0]
+    assert json.loads(text)["items"] == [{"productId": 'a"price":"1"', "quantity": 1, "price": 1.0}]

@@ -29,19 +29,30 @@ def utf8(text: Column) -> Column:
     return F.encode(text, "UTF-8")
 
 
+def price_text(price: Column) -> Column:
+    """A price as decimal text with all its places, two at least."""
+    return F.regexp_replace(price.cast("string"), r"(\.\d\d\d*?)0+$", "$1")
+
+
+def json_with_prices(document: Column, fields: str = "price") -> Column:
+    """JSON of a struct whose prices are text (``price_text``), with the prices as numbers. Quotes inside values are escaped
+    in JSON, so nothing but a field matches."""
+    return F.regexp_replace(F.to_json(document), f'"{fields}":"(-?[0-9.]+)"', f'"{fields}":$1')
+
+
 def request_hash(customer_id: Column, items: Column, correlation_id: Column) -> Column:
     """Lower-case hex SHA-256 of the request as JSON: fields in alphabetical order, items in theirs, nulls left out."""
-    one = lambda i: F.struct(i["price"].alias("price"), i["productId"].alias("productId"), i["quantity"].alias("quantity"))
+    one = lambda i: F.struct(price_text(i["price"]).alias("price"), i["productId"].alias("productId"), i["quantity"].alias("quantity"))
     whole = F.struct(
         correlation_id.alias("correlationId"), customer_id.alias("customerId"), F.transform(items, one).alias("items")
     )
-    return F.sha2(F.to_json(whole), 256)
+    return F.sha2(json_with_prices(whole), 256)
 
 
 def items_total(items: Column) -> Column:
     """Sum of price times quantity on unrounded prices; rounding to cents happens on the final cast."""
-    zero = F.lit(0).cast("decimal(38,4)")
-    add = lambda total, i: (total + i["price"] * i["quantity"]).cast("decimal(38,4)")
+    zero = F.lit(0).cast("decimal(38,10)")
+    add = lambda total, i: (total + i["price"] * i["quantity"]).cast("decimal(38,10)")
     return F.aggregate(items, zero, add).cast("decimal(19,2)")
 
 

@@ -64,10 +64,11 @@ def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def order_payload(order_id: Column, customer_id: Column, items: Column, correlation_id: Column) -> Column:
-    """Event payload as JSON. A missing correlation id is left out."""
-    return F.to_json(
+    """Event payload as JSON, with prices as posted. A missing correlation id is left out."""
+    one = lambda i: F.struct(i["productId"].alias("productId"), i["quantity"].alias("quantity"), scalars.price_text(i["price"]).alias("price"))
+    return scalars.json_with_prices(
         F.struct(
-            order_id.alias("orderId"), customer_id.alias("customerId"), items.alias("items"),
+            order_id.alias("orderId"), customer_id.alias("customerId"), F.transform(items, one).alias("items"),
             correlation_id.alias("correlationId"),
         )
     )
@@ -99,10 +100,11 @@ def order_rows(created: DataFrame) -> DataFrame:
 
 
 def created_item_rows(created: DataFrame) -> DataFrame:
-    """Item rows; ``id`` numbers the items of an order, so (order_id, id) is unique."""
+    """Item rows with prices in cents; ``id`` numbers the items of an order, so (order_id, id) is unique."""
     rows = item_rows(created.withColumn("request_id", F.col("order_id")))
     number = F.col("item_no").cast("bigint").alias("id")
-    return rows.select(number, "order_id", "customer_id", "product_id", "quantity", "price", "created_at")
+    cents = F.col("price").cast("decimal(19,2)").alias("price")
+    return rows.select(number, "order_id", "customer_id", "product_id", "quantity", cents, "created_at")
 
 
 def key_rows(created: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from waybill import schemas as S
 from waybill.functions import scalars
 from waybill.operators import intake, outbox, publish
 from waybill.queries.sql import NOW, with_tables
+from waybill.session import scratch_path
 from waybill.sources import driver_tables as D
+from waybill.sources import tables
 
 
 def validate_requests(spark, folder):
@@ -53,6 +55,28 @@ def order_totals_nested(spark, folder):
     )
 
 
+def order_totals_unrounded(spark, folder):
+    """Totals of prices with five places: cents come from the sum, not from the prices."""
+    cents = D.order_items(spark, folder)
+    items = D.nested_items(cents.withColumn("price", (F.col("price") * F.lit("0.001").cast("decimal(4,3)")).cast(S.PRICE)))
+    return items.select("order_id", scalars.items_total(F.col("items")).cast("double").alias("total_amount"), F.size("items").cast("bigint").alias("item_count"))
+
+
+def request_quarantine(spark, folder):
+    """Requests as lines, some cut short, some with a customer that is no number: what is read and what is put aside."""
+    path = scratch_path(spark, "lines")
+    order, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    body = F.concat(F.lit('{"request_id":'), order, F.lit(',"customer_id":'), F.when(F.col("o_orderkey") % 9 == 0, F.lit('"none"')).otherwise(customer))
+    line = F.when(F.col("o_orderkey") % 7 == 0, body).otherwise(F.concat(body, F.lit(',"items":[{"productId":"sku-1","quantity":3,"price":0.335}]}')))
+    D.table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    read = tables.read_requests(spark, path)
+    lost = F.col(S.UNREADABLE).isNotNull()
+    return read.select(
+        F.when(~lost, F.col("request_id")).alias("request_id"), F.when(~lost, F.col("customer_id")).alias("customer_id"),
+        F.when(~lost, scalars.items_total(F.col("items")).cast("double")).alias("total_amount"), S.UNREADABLE,
+    )
+
+
 def order_items_exploded(spark, folder):
     rows = intake.item_rows(D.requests(spark, folder))
     return rows.select(
@@ -205,7 +229,7 @@ def small_scalars(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        validate_requests, quarantine_reasons, order_totals, order_totals_nested, order_items_exploded, orphan_items,
+        validate_requests, quarantine_reasons, order_totals, order_totals_nested, order_totals_unrounded, request_quarantine, order_items_exploded, orphan_items,
         request_hash, outbox_payload, envelope_fields, envelope_quarantine, outbox_projection, new_outbox_rows,
         status_names, traceparent_parts, client_ip, route_filter, lenient_json, default_correlation,
         customer_partitions, small_scalars,
@@ -224,6 +248,13 @@ ORACLE = {
     "quarantine_reasons": with_tables("items", DAMAGED + """SELECT reason, count(*) AS requests FROM (
         SELECT e1 AS reason FROM checked UNION ALL SELECT e2 FROM checked UNION ALL SELECT e3 FROM checked
         UNION ALL SELECT e4 FROM checked UNION ALL SELECT e5 FROM checked) WHERE reason IS NOT NULL GROUP BY reason"""),
+    "order_totals_unrounded": with_tables("items", """SELECT order_id, CAST(CAST(sum(price * 0.001::DECIMAL(4,3) * quantity) AS DECIMAL(19,2)) AS DOUBLE) AS total_amount,
+        count(*) AS item_count FROM items GROUP BY order_id"""),
+    "request_quarantine": """WITH lines AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderkey % 7 = 0 OR o_orderkey % 9 = 0 AS lost,
+          '{"request_id":' || o_orderkey || ',"customer_id":' || CASE WHEN o_orderkey % 9 = 0 THEN '"none"' ELSE CAST(o_custkey AS VARCHAR) END
+          || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE ',"items":[{"productId":"sku-1","quantity":3,"price":0.335}]}' END AS line FROM orders)
+        SELECT CASE WHEN NOT lost THEN k END AS request_id, CASE WHEN NOT lost THEN c END AS customer_id,
+        CASE WHEN NOT lost THEN 1.01::DOUBLE END AS total_amount, CASE WHEN lost THEN line END AS unreadable FROM lines""",
     "order_totals": with_tables("items", """SELECT order_id, CAST(CAST(sum(price * quantity) AS DECIMAL(19,2)) AS DOUBLE) AS total_amount,
         count(*) AS item_count FROM items GROUP BY order_id"""),
     "order_totals_nested": with_tables("items", """SELECT o_orderkey AS request_id,

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-ITEMS = "ARRAY<STRUCT<productId: STRING, quantity: INT, price: DECIMAL(19,2)>>"
+# Prices as posted: ten places, and as many digits before them as the stored cents have. Times a quantity they still fit.
+PRICE = "DECIMAL(27,10)"
+ITEMS = f"ARRAY<STRUCT<productId: STRING, quantity: INT, price: {PRICE}>>"
+# The text of a line that is no request.
+UNREADABLE = "unreadable"
 
 REQUEST = (
     "request_id LONG, arrival_ts TIMESTAMP, idempotency_key STRING, method STRING, uri STRING, "

@@ -157,6 +157,30 @@ def stream_consumer(spark, folder):
     )
 
 
+def stream_end_to_end(spark, folder):
+    """Posted requests through intake, outbox, publisher and consumer; each step reads what the one before it committed.
+
+    Per topic partition: notifications, different offsets, the next offset, and sums over what the notifications carry.
+    """
+    posted, accepted, published, topic, consumed = (scratch_path(spark, n) for n in ("requests", "intake", "publisher", "topic", "consumer"))
+    posted_requests(spark, folder).write.json(posted)
+    requests = tables.read_requests(spark, posted, streaming=True, max_files=FILES_PER_TRIGGER)
+    run.drain(requests, intake_stream.handle_requests(accepted), f"{accepted}/_checkpoint")
+    steps = (
+        (accepted, "outbox_events", S.OUTBOX_EVENTS, delivery_streams.publish_batch(published, DEFAULTS, "pod-9", D.now(), topic), published),
+        (topic, "records", delivery_streams.PUBLISHED, delivery_streams.consume_batch(consumed), consumed),
+    )
+    for source, table, schema, handler, root in steps:
+        markers = delivery_streams.committed_batches(spark, source)
+        run.drain(markers, delivery_streams.each_committed(source, table, schema, handler), f"{root}/_checkpoint")
+    kept = delivery_streams.notifications(spark, consumed)
+    return kept.groupBy(F.col("partition").cast("bigint").alias("part")).agg(
+        F.count(F.lit(1)).alias("notifications"), F.countDistinct("offset").alias("offsets"), (F.max("offset") + 1).alias("next_offset"),
+        F.sum("event_id").alias("event_ids"), F.sum("customer_id").alias("customer_ids"),
+        F.count_if(F.col("correlation_id") == F.concat(F.lit("corr-"), F.col("order_id").cast("string"))).alias("own_correlation"),
+    )
+
+
 def stream_token_bucket(spark, folder):
     """Buckets per customer with their levels as stream state."""
     shifted = F.floor((F.unix_micros("ts") - admission.START_US) / F.lit(admission.COMPRESSION))
@@ -273,7 +297,7 @@ def stream_log_store(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_intake, stream_intake_by_state, stream_publisher, stream_publisher_failures, recovery_tick, stream_consumer, stream_token_bucket, stream_first_requests,
+        stream_intake, stream_intake_by_state, stream_publisher, stream_publisher_failures, recovery_tick, stream_consumer, stream_end_to_end, stream_token_bucket, stream_first_requests,
         stream_sliding_rates, stream_counter_rates, stream_service_graph, stream_event_dedup, stream_log_store,
     )
 }
@@ -305,6 +329,9 @@ ORACLE = {
           FROM outbox o LEFT JOIN newest n USING (id) WHERE o.status < 100)
         SELECT id FROM outbox WHERE status = 0 UNION (SELECT id FROM current WHERE {FREE} ORDER BY id LIMIT 500)"""),
     "stream_consumer": delivery.ORACLE["consumer_notifications"],
+    "stream_end_to_end": """SELECT o_custkey % 10 AS part, count(*) AS notifications, count(*) AS offsets, count(*) AS next_offset,
+        CAST(sum(o_orderkey) AS BIGINT) AS event_ids, CAST(sum(o_custkey) AS BIGINT) AS customer_ids, count(*) FILTER (WHERE o_orderkey % 5 <> 0) AS own_correlation
+        FROM orders WHERE o_custkey > 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY ALL""",
     "stream_token_bucket": admission.ORACLE["token_bucket_customer"],
     "stream_first_requests": with_tables("arrivals", "SELECT customer_id, count(DISTINCT idempotency_key) AS keys FROM arrivals GROUP BY ALL"),
     "stream_sliding_rates": """WITH copies AS (SELECT event_type, value, unnest(generate_series(0, 4)) + epoch_us(ts) // 3600000000 + 1 AS h FROM events)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from waybill.operators import heavy
 from waybill.operators import logs as L
 from waybill.operators import metrics as M
 from waybill.operators import traces as T
@@ -187,6 +188,18 @@ def service_graph(spark, folder):
     return rows.select("client", "server", "calls", "failures", F.round("total_ms", 4).alias("total_ms"), "max_ms")
 
 
+def top_customers(spark, folder):
+    """The twenty customers with the most log lines, from a summary of fixed size and an exact second pass."""
+    return heavy.top(D.logs(spark, folder), [], "customer_id", 20)
+
+
+def top_customers_by_level(spark, folder):
+    """The five customers with the most lines of each level, from summaries per level and day."""
+    logs = D.logs(spark, folder).withColumn("day", F.to_date("ts"))
+    daily = heavy.summaries(logs, ["log_level", "day"], "customer_id")
+    return heavy.top(logs, ["log_level"], "customer_id", 5, parts=daily)
+
+
 def span_calls(spark, folder):
     """All parent-child pairs, also inside one service."""
     rows = T.calls(D.spans(spark, folder))
@@ -201,7 +214,7 @@ QUERIES |= {
         log_overview, log_volume_by_customer, log_search, action_funnel, log_invariants, log_enrichment, log_retention,
         log_redaction, log_index_days, log_typing, both_services, log_trace_correlation, log_outbox_correlation,
         trace_summary, trace_variables, span_exclusion, trace_sampling, trace_retention, span_metrics, span_histogram,
-        service_graph, span_calls,
+        service_graph, span_calls, top_customers, top_customers_by_level,
     )
 }
 
@@ -294,6 +307,11 @@ ORACLE |= {
         f"SELECT service, name, {b}::DOUBLE AS le, count(*) FILTER (WHERE duration_ms <= {b} OR {b} < 0) AS count FROM spans GROUP BY ALL"
         for b in (1.0, 10.0, 100.0, -1.0)
     )),
+    "top_customers": with_tables("logs", """SELECT customer_id, count, row_number() OVER (ORDER BY count DESC, customer_id) AS place FROM (
+        SELECT customer_id, count(*) AS count FROM logs WHERE customer_id IS NOT NULL GROUP BY customer_id) ORDER BY place LIMIT 20"""),
+    "top_customers_by_level": with_tables("logs", """SELECT * FROM (SELECT log_level, customer_id, count(*) AS count,
+        row_number() OVER (PARTITION BY log_level ORDER BY count(*) DESC, customer_id) AS place FROM logs WHERE customer_id IS NOT NULL
+        GROUP BY log_level, customer_id) WHERE place <= 5"""),
     "service_graph": with_tables("spans", """SELECT p.service AS client, c.service AS server, count(*) AS calls,
         count(*) FILTER (WHERE c.status = 'error') AS failures, round(sum(c.duration_ms), 4) AS total_ms, max(c.duration_ms) AS max_ms
         FROM spans c JOIN spans p ON p.trace_id = c.trace_id AND p.span_id = c.parent_span_id

@@ -17,7 +17,8 @@ EDGES = [(1, "Abc É"), (2, "aBC É"), (3, "abc é"), (4, None), (5, ""), (None,
 def test_query_equals_its_sql(spark, folder, name):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     base = duckdb.connect()
-    base.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
+    for name_ in ("documents", "labels"):
+        base.execute(f"CREATE VIEW {name_} AS SELECT * FROM read_parquet('{folder}/{name_}.parquet')")
     found = base.execute(queries.ORACLE[name])
     columns = [d[0] for d in found.description]
     rows = queries.QUERIES[name](spark, folder).select(*columns).collect()

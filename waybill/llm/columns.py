@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of the table has, whatever its letters' case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. A text of ASCII only takes the faster ``lower``, which then does the same."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

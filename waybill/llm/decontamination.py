@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waybill.llm.columns import free_names
 from waybill.llm.sizes import if_small
 from waybill.llm.tokens import pieces, splitmix, word_hashes
 from waybill.session import cut_lineage
@@ -196,7 +197,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFram
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, contaminated, n_items, item_ids, equal_words (of the longest run) for every document with a leak."""
+    """doc_id, item_ids, n_items, equal_words (of the longest run) of every document with a leak."""
     return (
         leaks(docs, items).groupBy("doc_id")
         .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("equal_words").alias("equal_words"))
@@ -205,6 +206,7 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a leak; all columns. If one without an id leaks, all without an id go."""
-    found = cut_lineage(leaks(docs, items).select(F.col("doc_id").alias("_leak")).distinct())
-    return docs.join(if_small(found, BROADCAST_IDS), F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """The documents without a leak; all columns, whatever their names. If one without an id leaks, all without an id go."""
+    (leak,) = free_names(docs, "_leak")
+    found = cut_lineage(leaks(docs, items).select(F.col("doc_id").alias(leak)).distinct())
+    return docs.join(if_small(found, BROADCAST_IDS), F.col("doc_id").eqNullSafe(F.col(leak)), "left_anti")

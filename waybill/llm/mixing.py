@@ -10,7 +10,7 @@ the resolution of the 52-bit number.
 
 A source without a weight gets ``default_weight``; null is a source like others. A null text has size 1. Rows with equal
 id and text get equal counts. An empty table gives an empty table.
-Columns named repeats, copy or shuffle_key are replaced.
+Columns named repeats, copy or shuffle_key are replaced; all others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.columns import md5_number, unit
+from waybill.llm.columns import free_names, md5_number, unit
 from waybill.llm.sizes import if_small
 
 PART, STEPS = 4.0, 48
@@ -73,13 +73,14 @@ def mixed(docs: DataFrame, weights: Mapping[str, float], epochs: float = 1.0, se
 
     Rows are dealt over all partitions by ``shuffle_key`` and lie in its order, so any run of a file is a random sample.
     """
-    rates = source_rates(docs, weights, epochs, default_weight, source_col, text_col).toDF("_mix_source", "_rate")
+    mix_source, rate, salt, key = free_names(docs, "_mix_source", "_rate", "_salt", "_key")
+    rates = source_rates(docs, weights, epochs, default_weight, source_col, text_col).toDF(mix_source, rate)
     # A few sources go to all tasks; many are joined by shuffle, where adaptive execution splits a hot source.
     # The row's input partition spreads rows that repeat; it moves rows between files only. Taken before the join and not
     # from the row's place, as a task that runs again may meet its rows in another order and must deal them the same.
-    placed = docs.withColumn("_salt", F.spark_partition_id())
-    rated = placed.join(if_small(rates, BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
-    counted = rated.withColumn("_key", record_key(seed, id_col, text_col)).withColumn("repeats", poisson_count(F.col("_rate"), F.col("_key")))
+    placed = docs.withColumn(salt, F.spark_partition_id())
+    rated = placed.join(if_small(rates, BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col(mix_source))).drop(mix_source)
+    counted = rated.withColumn(key, record_key(seed, id_col, text_col)).withColumn("repeats", poisson_count(F.col(rate), F.col(key)))
     copies = counted.where("repeats > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1)))
-    keyed = copies.withColumn("shuffle_key", md5_number(F.concat_ws("|", F.lit("shuffle"), F.col("_key"), F.col("copy").cast("string"))))
-    return keyed.repartition("shuffle_key", "_salt").sortWithinPartitions("shuffle_key").drop("_key", "_salt", "_rate")
+    keyed = copies.withColumn("shuffle_key", md5_number(F.concat_ws("|", F.lit("shuffle"), F.col(key), F.col("copy").cast("string"))))
+    return keyed.repartition("shuffle_key", salt).sortWithinPartitions("shuffle_key").drop(key, salt, rate)

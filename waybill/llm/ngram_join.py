@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.llm.columns import free_names
 from waybill.llm.graphs import components
 from waybill.llm.sizes import batch_rows, if_light, if_small
 from waybill.llm.tokens import WHITE, pieces, splitmix, word_hashes
@@ -360,7 +361,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """The documents without those that link to one with a smaller id; all columns.
+    """The documents without those that link to one with a smaller id; all columns, whatever their names.
 
     Documents without words stay. Texts under one id share its fate; rows with no id, or that repeat one, stay once for each text.
     """
@@ -368,9 +369,10 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame
     found = cut_lineage(found)
     dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
     out = docs.join(if_small(dropped, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
-    again = cut_lineage(found.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_again")))
+    (repeated,) = free_names(out, "_again")
+    again = cut_lineage(found.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias(repeated)))
     if again.isEmpty():
         return out
-    same = F.col("doc_id").eqNullSafe(F.col("_again"))
+    same = F.col("doc_id").eqNullSafe(F.col(repeated))
     again = if_small(again, BROADCAST_IDS)
     return out.join(again, same, "left_anti").union(out.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -258,7 +258,7 @@ def fast_and_recovery_union(spark, folder):
 
 
 def queue_pressure(spark, folder):
-    """Pressure and health per instance, from the number of offers in a queue of 4,000."""
+    """Pressure and health per instance, from the number of all offers over a capacity of 3,400."""
     sizes = offers(spark, folder).groupBy("instance_id").agg(F.count(F.lit(1)).alias("size"))
     capacity = F.lit(3400)
     return sizes.select(

@@ -72,23 +72,81 @@ def test_held_back_in_one_batch_only(spark):
     assert found == {i: i // 1000 * 1000 for i, _ in many + few}
 
 
-def test_bound_counts_what_one_batch_holds_back(spark):
+def test_passage_held_back_in_one_batch(spark):
     passage = prose("passage", 20, 5000)
     many = [(100 + k, f"{passage} {prose(f'body{k}', 70, 5000)}") for k in range(40)]
     few = [(k, f"{text} {prose(f'end{k}', 8, 5000)}") for k, (_, text) in enumerate(many[:12])]
-    join = ngram_join.Join(parted(spark, many, few))
-    buckets = {}
-    for r in join.entries().collect():
-        buckets.setdefault(r.grp, {})[r.tok] = r.w
-    facts, base = {r.grp: r for r in join.facts.collect()}, {r.doc_id: r for r in join.base.collect()}
-    tested = 0
-    for k in range(12):
-        x, y = base[100 + k], base[k]
-        if x.often and not facts[x.grp].short and not facts[y.grp].short:
-            tested += 1
-            both = sum(w for tok, w in buckets[x.grp].items() if tok in buckets[y.grp])
-            assert both + min(facts[x.grp].lost, facts[y.grp].lost) >= len(set(x.first) & set(y.first))
-    assert tested
+    found = ngram_join.near_duplicates(parted(spark, many, few)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == linked_components(many + few)
+
+
+def random_sets(rng, count):
+    base = rng.integers(-(2**63), 2**63, 6000)
+    out = []
+    for _ in range(count):
+        own = base[: rng.choice([1, 40, 90, 100, 300, 700, 5900])].copy()
+        at = rng.random(len(own)) < rng.choice([0, 0.05, 0.14, 0.4])
+        own[at] = rng.integers(-(2**63), 2**63, int(at.sum()))
+        out.append(np.unique(own))
+    return out
+
+
+def test_sketches_rule_out_no_link():
+    rng = np.random.default_rng(3)
+    sets = random_sets(rng, 60)
+    sketches = ngram_join.Sketches(pa.array([ngram_join.parity(s) for s in sets] + [None], pa.binary()))
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
+    apart = ngram_join.differing(sketches, sketches, i, j)
+    truth = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    assert (apart <= truth).all() and ((truth - apart) % 2 == 0).all() and apart.max() > 100
+    sizes = np.array([len(s) for s in sets])
+    may = ngram_join.may_link(sizes[i], sizes[j], apart, 75)
+    both = (sizes[i] + sizes[j] - truth) // 2
+    linked = 100 * both >= 75 * (sizes[i] + sizes[j] - both)
+    assert not (linked & ~may).any() and may.sum() < 2 * linked.sum()
+    assert (ngram_join.differing(sketches, sketches, np.array([60, 3]), np.array([2, 60])) == 0).all()
+
+
+@pytest.mark.parametrize("cross", [False, True])
+def test_cells_give_each_pair_once(monkeypatch, cross):
+    monkeypatch.setattr(ngram_join, "TILE", 50)
+    rng = np.random.default_rng(5)
+    n = 40
+    sets = [s for s in random_sets(rng, n)]
+    cell = pa.table({
+        "item": np.arange(n) // 2, "comp": rng.integers(0, 4, n), "n": [len(s) for s in sets], "place": rng.integers(0, 90, n) * (rng.random(n) < 0.5),
+        "part": rng.integers(0, 2, n), "low": np.zeros(n, int), "high": np.full(n, int(cross)), "sketch": [ngram_join.parity(s) if k % 7 else None for k, s in enumerate(sets)],
+    })
+    rows = cell.to_pylist()
+    expected = set()
+    for a in range(n):
+        for b in range(a):
+            x, y = rows[a], rows[b]
+            most = (x["n"] + y["n"]) // 2
+            if x["sketch"] and y["sketch"]:
+                small, large = sorted((x["sketch"], y["sketch"]), key=len)
+                bits = [int.from_bytes(large[k : k + len(small)], "little") for k in range(0, len(large), len(small))]
+                for other in bits[1:]:
+                    bits[0] ^= other
+                most = (x["n"] + y["n"] - (bits[0] ^ int.from_bytes(small, "little")).bit_count()) // 2
+            most = min(most, x["n"], y["n"])
+            overlap = -(-75 * (x["n"] + y["n"]) // 175)
+            near = not (x["place"] and y["place"]) or (x["place"] <= x["n"] + 1 - overlap and y["place"] <= y["n"] + 1 - overlap)
+            apart = x["comp"] != y["comp"] and x["item"] != y["item"] and (not cross or x["part"] != y["part"])
+            if near and apart and 100 * min(x["n"], y["n"]) >= 75 * max(x["n"], y["n"]) and 100 * most >= 75 * (x["n"] + y["n"] - most):
+                expected.add((b, a))
+    found = [tuple(sorted(pair)) for pair in zip(*(x.tolist() for x in ngram_join.block_pairs(cell, 75)))]
+    assert len(found) == len(set(found)) and set(found) == expected and expected
+
+
+def test_blocks_of_large_buckets(spark, monkeypatch):
+    """A family whose members nearly link, in blocks of five rows."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    monkeypatch.setattr(ngram_join, "HUBS", 1)
+    rows = [(k, near(prose("family", 160, 5000), k, 4 + k % 9)) for k in range(90)] + corpus()[:80]
+    rows = [(k, text) for k, (_, text) in enumerate(rows)]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table(spark, rows)).collect()}
+    assert found == linked_components(rows)
 
 
 def test_null_and_repeated_ids(spark):

@@ -3,8 +3,13 @@
 A document's set are the hashes of its distinct five-word shingles. Documents with one set are one class. In a global
 order of shingles, two sets that link must share one of the first ``prefix_size`` shingles of either. The order is by
 hash, with frequent shingles last. Classes with identical prefixes and size are one group; groups meet by prefix
-shingles, pairs are filtered by size and by how their prefixes overlap, then expanded to member classes and verified on
-the whole sets.
+shingles, pairs are filtered by size, by their places in the order and by parity sketches, then expanded to member classes
+and verified on the whole sets.
+
+A parity sketch tells of each of some thousand bits whether an odd number of a set's shingles fall on it. Two sets differ
+in at least as many shingles as their sketches differ in bits, so the sketch rules out pairs and never a link. Large
+buckets are cut into blocks; rows of two blocks meet in a task, which compares sketches and writes only the pairs that are
+left. So a family of thousands that all nearly link is compared, but its pairs are never written.
 
 Only components are asked for, so pairs that already hang together need no check. First each class meets one pivot of each of
 its buckets; after that only pairs across components are made, and none is left out. The result has all links'
@@ -47,6 +52,12 @@ BROADCAST_MEMBERS = 100_000
 BROADCAST_BYTES = 8 << 20
 #: Rows of an Arrow batch: texts, or pairs of sets.
 BATCH_ROWS = 1000
+#: Rows of a block of a bucket; two blocks meet in one task.
+BLOCK = 2048
+#: Bits of a sketch per shingle at least, and the least and most bits (as powers of two) of one; of those most in buckets.
+BITS_PER_SHINGLE, LEAST_BITS, MOST_BITS, BUCKET_BITS = 3, 8, 13, 11
+#: Pairs of a block whose sketches are compared at once.
+TILE = 1 << 15
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -79,22 +90,73 @@ def class_of(own: np.ndarray) -> int:
     return int(splitmix(mixed.sum(dtype=np.uint64)[None] + np.uint64(len(own))).view(np.int64)[0])
 
 
+def parity(own: np.ndarray) -> bytes:
+    """The sketch of a set. Its two halves, one upon the other, are the sketch of half the size."""
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (BITS_PER_SHINGLE * len(own) - 1).bit_length()))
+    times = np.bincount((own & (bits - 1)), minlength=bits) & 1
+    return np.packbits(times.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) of at most so many words."""
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+class Sketches:
+    """Sketches of several sizes, null ones included, compared by row numbers."""
+
+    def __init__(self, column: pa.Array):
+        self.column = column
+        self.words = np.array([len(x) // 8 if x is not None else 0 for x in column.to_pylist()], np.int64)
+        self.levels: dict[int, np.ndarray] = {}
+
+    def level(self, words: int) -> np.ndarray:
+        """The sketches of that size and, folded, of larger ones."""
+        if words not in self.levels:
+            out = np.zeros((len(self.words), words), np.uint64)
+            for size in np.unique(self.words[self.words >= words]):
+                rows = np.flatnonzero(self.words == size)
+                raw = b"".join(self.column.take(pa.array(rows)).to_pylist())
+                out[rows] = folded(np.frombuffer(raw, np.uint64).reshape(len(rows), size), words)
+            self.levels[words] = out
+        return self.levels[words]
+
+
+def differing(a: Sketches, b: Sketches, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many shingles row ``i`` of one and row ``j`` of the other differ at least; 0 where a sketch is null."""
+    out = np.zeros(len(i), np.int64)
+    words = np.minimum(a.words[i], b.words[j])
+    for size in np.unique(words[words > 0]):
+        at = np.flatnonzero(words == size)
+        out[at] = np.bitwise_count(a.level(size)[i[at]] ^ b.level(size)[j[at]]).sum(axis=1)
+    return out
+
+
+def may_link(na: np.ndarray, nb: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can link that differ in at least so many shingles."""
+    most = np.minimum((na + nb - apart) // 2, np.minimum(na, nb))
+    return 100 * most >= percent * (na + nb - most)
+
+
 def signatures(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFrame:
     """doc_id, n, cls, grp, first (the first shingles by hash), often (those of them that this task has seen very often),
-    brief (the upper halves of enough of the first hashes to rule out most pairs)."""
+    sketch (which rules out most pairs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.num_rows
             n, cls, grp = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
             first: list = [None] * rows
-            brief: list = [None] * rows
+            sketch: list = [None] * rows
             for row, own in shingle_sets(batch.column("text"), width):
                 p = prefix_size(len(own), percent)
                 n[row], cls[row], grp[row] = len(own), class_of(own), class_of(own[:p]) ^ len(own)
                 # A quarter more than the prefix, to make up for frequent ones.
                 first[row] = own[: p + p // 4 + 4].copy()
-                brief[row] = (own[: p * 4 // 5 + 8] >> 32).astype(np.int32).tobytes()
+                sketch[row] = parity(own)
             filled = [k for k in range(rows) if first[k] is not None]
             often: list = [None] * rows
             if filled:
@@ -109,12 +171,12 @@ def signatures(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFr
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(n), pa.array(cls, mask=n == 0), pa.array(grp, mask=n == 0),
-                    pa.array(first, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64())), pa.array(brief, pa.binary()),
+                    pa.array(first, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64())), pa.array(sketch, pa.binary()),
                 ],
-                names=["doc_id", "n", "cls", "grp", "first", "often", "brief"],
+                names=["doc_id", "n", "cls", "grp", "first", "often", "sketch"],
             )
 
-    schema = f"doc_id {dict(docs.dtypes)[id_col]}, n long, cls long, grp long, first array<long>, often array<long>, brief binary"
+    schema = f"doc_id {dict(docs.dtypes)[id_col]}, n long, cls long, grp long, first array<long>, often array<long>, sketch binary"
     return docs.select(F.col(id_col).alias("doc_id"), "text").mapInArrow(run, schema)
 
 
@@ -147,28 +209,90 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _bounded(percent: int):
-    """Keeps pairs that their first shingles don't rule out: what both have up to the same hash is compared.
+    """Keeps pairs that their sketches don't rule out."""
 
-    Half hashes that agree by chance let a pair through to the exact check; they rule none out.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            rows = np.arange(batch.num_rows)
+            apart = differing(Sketches(batch.column("sketch_a")), Sketches(batch.column("sketch_b")), rows, rows)
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(na, nb, apart, percent)))
+
+    return run
+
+
+def block_pairs(cell: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a cell that may link, from different components and, where two blocks meet, from both of them."""
+    item, comp, n, place, part, low, high = (cell.column(c).to_numpy() for c in ("item", "comp", "n", "place", "part", "low", "high"))
+    rows = np.arange(len(n))
+    # Each pair has a member outside the largest component.
+    names, where, times = np.unique(comp, return_inverse=True, return_counts=True)
+    mover = where != times.argmax()
+    movers = np.flatnonzero(mover)
+    sketches = Sketches(cell.column("sketch").combine_chunks())
+    found: tuple[list, list] = ([], [])
+    step = max(1, TILE // len(n))
+    for first in range(0, len(movers), step):
+        own = movers[first : first + step]
+        fits = (where[own][:, None] != where[None, :]) & (~mover[None, :] | (rows[None, :] > own[:, None])) & (item[own][:, None] != item[None, :])
+        if low[0] != high[0]:
+            fits &= part[own][:, None] != part[None, :]
+        na, nb = n[own][:, None], n[None, :]
+        fits &= 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+        # Two linked sets share this many shingles, so one of the first n + 1 - overlap of either: where both places in
+        # exact prefixes are known, the rest of the prefixes is for partners of other sizes.
+        overlap = -(-percent * (na + nb) // (100 + percent))
+        known = (place[own][:, None] > 0) & (place[None, :] > 0)
+        fits &= ~known | ((place[own][:, None] <= na + 1 - overlap) & (place[None, :] <= nb + 1 - overlap))
+        i, j = np.nonzero(fits)
+        i = own[i]
+        keep = may_link(n[i], n[j], differing(sketches, sketches, i, j), percent)
+        found[0].append(i[keep]), found[1].append(j[keep])
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+
+
+def _met(percent: int):
+    """Pairs of each cell; rows come cell by cell, and a cell has two blocks at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+
+        def cells(last: bool) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            keys = [table.column(c).to_numpy() for c in ("bucket", "low", "high")]
+            starts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            bounds = [0, *starts.tolist(), table.num_rows] if last else [0, *starts.tolist()]
+            sides: tuple[list, list] = ([], [])
+            for start, end in zip(bounds, bounds[1:]):
+                if end - start > 1:
+                    for side, rows in zip(sides, block_pairs(table.slice(start, end - start), percent)):
+                        side.append(rows + start)
+            held[:] = [] if last else table.slice(bounds[-1]).combine_chunks().to_batches()
+            i, j = (np.concatenate(side) if side else np.zeros(0, np.int64) for side in sides)
+            item, comp = table.column("item").to_numpy(), table.column("comp").to_numpy()
+            swap = (comp[i] > comp[j]) | ((comp[i] == comp[j]) & (item[i] > item[j]))
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            columns = [pa.array(x) for x in (item[i], comp[i], item[j], comp[j])]
+            yield pa.RecordBatch.from_arrays(columns, names=["g", "comp_g", "h", "comp_h"])
+
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            columns = [batch.column(f"{c}_{x}").to_pylist() for c in ("n", "brief") for x in "ab"]
-            for k, (na, nb, brief_a, brief_b) in enumerate(zip(*columns)):
-                a, b = np.frombuffer(brief_a, np.int32), np.frombuffer(brief_b, np.int32)
-                # A complete list says all there is to know; an incomplete one is known below its last half hash.
-                limit = min(int(a[-1]) if len(a) < na else 2**31, int(b[-1]) if len(b) < nb else 2**31)
-                ka, kb = np.searchsorted(a, limit), np.searchsorted(b, limit)
-                both = common(a[:ka], b[:kb])
-                most = min(both + min(na - ka, nb - kb), na, nb)
-                keep[k] = 100 * most >= percent * (na + nb - most)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            if batch.num_rows:
+                held.append(batch)
+                yield from cells(False)
+        if held:
+            yield from cells(True)
 
     return run
 
 
+def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketches of the size that buckets hold."""
+    for batch in batches:
+        words = (1 << BUCKET_BITS) // 64
+        raw = [folded(np.frombuffer(x, np.uint64)[None], words).tobytes() for x in batch.column("sketch").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(raw, pa.binary())], names=["item", "sketch"])
+
+
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,15 +319,14 @@ class Join:
         filled = self.base.where("n > 0")
         #: cls, n, grp, doc_id (a document that has this set; its text can be read again).
         self.classes = cut_lineage(filled.groupBy("cls", "n", "grp").agg(F.min("doc_id").alias("doc_id")))
-        self.lists = filled.select("cls", "n", "brief")
+        self.lists = filled.select("cls", "n", "sketch")
 
     def entries(self) -> DataFrame:
-        """tok, grp, n, w, place: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
+        """tok, grp, n, place: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
 
-        Shingles with the same groups are one bucket, which stands for all ``w`` of them: a family of near copies shares
-        hundreds of shingles and has a few buckets. ``room``, ``lost`` and ``short`` tell of a group how many shingles
-        its list leaves out, how many of the list are frequent, and whether it has been given its exact prefix, in which
-        ``place`` is the shingle's number.
+        Shingles with the same groups are one bucket: a family of near copies shares hundreds of shingles and has a few
+        buckets. A group whose first shingles are too often frequent is given its exact prefix, in which ``place`` is the
+        shingle's number.
         """
         filled = self.base.where("n > 0")
         rest = F.when(F.col("often").isNull(), F.col("first")).otherwise(F.array_except("first", "often"))
@@ -219,19 +342,17 @@ class Join:
         # The groups of a bucket decide its number; frequent shingles stay by themselves.
         frequent_here = F.col("held") | (F.col("c") > FREQUENT)
         shared = counted.select(F.when(frequent_here, F.col("tok")).alias("often"), F.when(~frequent_here, F.col("alike")).alias("tok"), "grp", "n")
-        shared = cut_lineage(shared.groupBy("often", "tok", "grp", "n").agg(F.count("*").alias("w")))
+        shared = cut_lineage(shared.distinct())
         sent = shared.where("often is not null").select("grp", F.col("often").alias("tok"))
         lost_rows = cut_lineage(sent.union(kept_back).distinct())
         frequent = lost_rows.select("tok").distinct()
-        buckets = shared.where("often is null").select("tok", "grp", "n", "w", F.lit(None).cast("int").alias("place"))
+        buckets = shared.where("often is null").select("tok", "grp", "n", F.lit(None).cast("int").alias("place"))
         # Groups whose first shingles don't hold a whole prefix without the frequent ones.
         lost = lost_rows.groupBy("grp").agg(F.count("*").alias("lost"))
         need = F.col("n") - F.ceil(F.lit(self.percent) * F.col("n") / 100) + 1
         sizes = filled.select("grp", "n", F.size("first").alias("size")).distinct()
         lost_too_many = F.col("size") - F.col("lost") < need
-        facts = sizes.join(lost, "grp", "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
-        facts = cut_lineage(facts.select("grp", "n", (F.col("n") - F.col("size")).alias("room"), "lost", lost_too_many.alias("short")))
-        self.facts, short = facts, facts.where("short").select("grp", "n")
+        short = cut_lineage(sizes.join(lost, "grp").where(lost_too_many).select("grp", "n"))
         if short.isEmpty():
             return buckets
         # Their exact prefixes, from whole sets: shingles that are not frequent first, by hash.
@@ -247,16 +368,36 @@ class Join:
         again = rows.join(if_small(exact.select("tok").distinct(), BROADCAST_IDS), "tok", "left_semi")
         again = again.join(if_small(frequent, BROADCAST_IDS), "tok", "left_anti").join(short.select("grp"), "grp", "left_anti")
         more = exact.union(again.select("tok", "grp", "n", F.lit(None).cast("int")).distinct())
-        return buckets.union(more.select("tok", "grp", "n", F.lit(0).cast("long"), "place"))
+        return buckets.union(more)
+
+    def sketches(self, asked: DataFrame) -> DataFrame:
+        """cls, n, sketch of some classes."""
+        return self.lists.join(if_small(asked, BROADCAST_IDS), "cls", "left_semi").dropDuplicates(["cls"])
+
+    def meetings(self, rows: DataFrame, sketched: DataFrame) -> DataFrame:
+        """g, comp_g, h, comp_h: items of a bucket that may link across components.
+
+        ``rows`` are bucket, item, comp, n, place (in an exact prefix, or null), ``sketched`` are item, sketch; an item
+        without a sketch may link whatever it holds.
+        """
+        large = rows.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK)
+        blocks = large.select("bucket", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
+        cut = rows.join(if_small(blocks, BROADCAST_IDS), "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        cut = cut.withColumn("part", F.pmod(F.xxhash64("item", "comp"), "blocks").cast("int")).withColumn("place", F.coalesce("place", F.lit(0)))
+        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        cut = cut.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "blocks")
+        narrow = sketched.mapInArrow(_narrow, "item long, sketch binary")
+        full = cut.join(if_light(narrow, "sketch", BROADCAST_BYTES), "item", "left")
+        cells = full.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+        found = cells.select("bucket", "low", "high", "item", "comp", "n", "place", "part", "sketch")
+        return found.mapInArrow(_met(self.percent), "g long, comp_g long, h long, comp_h long").distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links among pairs of classes: bounded by their first shingles, then on whole sets."""
         pairs = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-        lists = self.lists.join(if_small(asked, BROADCAST_IDS), "cls", "left_semi").dropDuplicates(["cls"])
-        lists = if_light(lists, "brief", BROADCAST_BYTES)
-        a = lists.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("brief").alias("brief_a"))
-        b = lists.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("brief").alias("brief_b"))
+        lists = if_light(self.sketches(asked), "sketch", BROADCAST_BYTES)
+        a, b = (lists.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
         listed = pairs.join(a, "a").join(b, "b").where(size_fits(F.col("n_a"), F.col("n_b"), self.percent))
         left = cut_lineage(listed.mapInArrow(_bounded(self.percent), "a long, b long"))
         needed = left.select(F.col("a").alias("cls")).union(left.select(F.col("b").alias("cls"))).distinct()
@@ -292,43 +433,23 @@ class Join:
         if not to_hub.isEmpty():
             first = cut_lineage(first.union(self.verified(to_hub)))
             placed, open_rows = self.between(first, entries)
-        # Of each bucket the largest component is met by the others; its own pairs are never made.
-        weights = open_rows.groupBy("tok", "comp").agg(F.count("*").alias("w"))
-        largest = weights.groupBy("tok").agg(F.max(F.struct("w", "comp")).alias("top")).select("tok", F.col("top.comp").alias("main"))
-        split = open_rows.join(largest, "tok")
-        side = F.struct("comp", "grp", "n", "place")
-        others = split.where("comp <> main").select("tok", "w", side.alias("x"))
-        mains = split.where("comp = main").select("tok", side.alias("y"))
-        rest = others.select("tok", F.col("x").alias("y"))
-        fits = size_fits(F.col("x.n"), F.col("y.n"), self.percent)
-        # Two linked sets share this many shingles, so one of the first n + 1 - overlap of either: where both places in
-        # exact prefixes are known, the rest of the prefixes is for partners of other sizes.
-        overlap = F.ceil(F.lit(self.percent) * (F.col("x.n") + F.col("y.n")) / (100 + self.percent))
-        near = (F.col("x.place") <= F.col("x.n") + 1 - overlap) & (F.col("y.place") <= F.col("y.n") + 1 - overlap)
-        fits &= F.coalesce(near, F.lit(True))
-        across = others.join(mains, "tok").where(fits)
-        among = others.join(rest, "tok").where(fits & (F.col("x.comp") < F.col("y.comp")))
-        ordered = F.struct("x.comp", "x.grp") < F.struct("y.comp", "y.grp")
-        one_way = [F.when(ordered, F.col(f"{a}.{c}")).otherwise(F.col(f"{b}.{c}")) for a, b in ("xy", "yx") for c in ("comp", "grp")]
-        met = across.union(among).select("w", *[c.alias(n) for c, n in zip(one_way, ("comp_g", "g", "comp_h", "h"))])
-        # All shared shingles of two lists are counted, but frequent ones. What both can have beyond is what the lists
-        # leave out of the set whose list ends first.
-        met = met.groupBy("g", "comp_g", "h", "comp_h").agg(F.sum("w").alias("both"))
-        known = if_small(self.facts, BROADCAST_IDS)
-        met = met.join(known.select(F.col("grp").alias("g"), F.struct("n", "room", "lost", "short").alias("x")), "g")
-        met = met.join(known.select(F.col("grp").alias("h"), F.struct("n", "room", "lost", "short").alias("y")), "h")
-        most = F.col("both") + F.least("x.lost", "y.lost") + F.greatest("x.room", "y.room")
-        most = F.least(most, F.col("x.n"), F.col("y.n"))
-        enough = (100 * most) >= (self.percent * (F.col("x.n") + F.col("y.n") - most))
-        pairs = met.where(enough | F.col("x.short") | F.col("y.short")).select("g", "comp_g", "h", "comp_h")
+        # Pairs across components, of groups first; a group of one class has its sketch.
+        alone = self.classes.groupBy("grp").agg(F.count("*").alias("c"), F.min("cls").alias("cls")).where("c = 1").select("grp", "cls")
+        alone = cut_lineage(alone.join(if_small(open_rows.select("grp").distinct(), BROADCAST_IDS), "grp", "left_semi"))
+        known = self.sketches(alone.select("cls")).join(alone, "cls").select(F.col("grp").alias("item"), "sketch")
+        rows = open_rows.select(F.col("tok").alias("bucket"), F.col("grp").alias("item"), "comp", "n", "place")
+        pairs = self.meetings(rows, known)
         members = if_small(placed.select("grp", "comp", "cls"), BROADCAST_MEMBERS)
         one = members.select(F.col("grp").alias("g"), F.col("comp").alias("comp_g"), F.col("cls").alias("a"))
         two = members.select(F.col("grp").alias("h"), F.col("comp").alias("comp_h"), F.col("cls").alias("b"))
         expanded = pairs.join(one, ["g", "comp_g"]).join(two, ["h", "comp_h"]).select("a", "b")
-        # Classes of one group that its head did not link.
-        loose = placed.join(placed.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("grp"), "grp")
-        within = loose.select("grp", F.col("cls").alias("a"), F.col("comp").alias("comp_a")).join(loose.select("grp", F.col("cls").alias("b"), F.col("comp").alias("comp_b")), "grp")
-        second = self.verified(expanded.union(within.where("comp_a < comp_b").select("a", "b")))
+        # Classes of one group that its head did not link meet in it.
+        parted = placed.groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("grp")
+        loose = cut_lineage(placed.join(parted, "grp"))
+        known = self.sketches(loose.select("cls")).select(F.col("cls").alias("item"), "sketch")
+        rows = loose.select(F.col("grp").alias("bucket"), F.col("cls").alias("item"), "comp", "n", F.lit(None).cast("int").alias("place"))
+        within = self.meetings(rows, known).select(F.col("g").alias("a"), F.col("h").alias("b"))
+        second = self.verified(expanded.union(within))
         return first.union(second)
 
     def between(self, links: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -49,7 +49,7 @@ BROADCAST_IDS = 500_000
 #: Rows of the table of classes and their groups that may be broadcast.
 BROADCAST_MEMBERS = 100_000
 #: Bytes of lists or sets that may be broadcast to the pairs that need them.
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 2 << 20
 #: Rows of an Arrow batch: texts, or pairs of sets.
 BATCH_ROWS = 1000
 #: Rows of a block of a bucket; two blocks meet in one task.
@@ -372,7 +372,7 @@ class Join:
 
     def sketches(self, asked: DataFrame) -> DataFrame:
         """cls, n, sketch of some classes."""
-        return self.lists.join(if_small(asked, BROADCAST_IDS), "cls", "left_semi").dropDuplicates(["cls"])
+        return self.lists.join(if_small(asked, BROADCAST_MEMBERS), "cls", "left_semi").dropDuplicates(["cls"])
 
     def meetings(self, rows: DataFrame, sketched: DataFrame) -> DataFrame:
         """g, comp_g, h, comp_h: items of a bucket that may link across components.
@@ -382,7 +382,11 @@ class Join:
         """
         large = rows.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK)
         blocks = large.select("bucket", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
-        cut = rows.join(if_small(blocks, BROADCAST_IDS), "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        blocks = cut_lineage(blocks)
+        if blocks.isEmpty():
+            cut = rows.withColumn("blocks", F.lit(1))
+        else:
+            cut = rows.join(if_small(blocks, BROADCAST_IDS), "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         cut = cut.withColumn("part", F.pmod(F.xxhash64("item", "comp"), "blocks").cast("int")).withColumn("place", F.coalesce("place", F.lit(0)))
         cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         cut = cut.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "blocks")
@@ -446,10 +450,11 @@ class Join:
         # Classes of one group that its head did not link meet in it.
         parted = placed.groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("grp")
         loose = cut_lineage(placed.join(parted, "grp"))
-        known = self.sketches(loose.select("cls")).select(F.col("cls").alias("item"), "sketch")
-        rows = loose.select(F.col("grp").alias("bucket"), F.col("cls").alias("item"), "comp", "n", F.lit(None).cast("int").alias("place"))
-        within = self.meetings(rows, known).select(F.col("g").alias("a"), F.col("h").alias("b"))
-        second = self.verified(expanded.union(within))
+        if not loose.isEmpty():
+            known = self.sketches(loose.select("cls")).select(F.col("cls").alias("item"), "sketch")
+            rows = loose.select(F.col("grp").alias("bucket"), F.col("cls").alias("item"), "comp", "n", F.lit(None).cast("int").alias("place"))
+            expanded = expanded.union(self.meetings(rows, known).select(F.col("g").alias("a"), F.col("h").alias("b")))
+        second = self.verified(expanded)
         return first.union(second)
 
     def between(self, links: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -92,6 +92,19 @@ def test_late_samples_are_left_out_and_counted(spark):
     assert counters.late_rows(query) == 2
 
 
+def test_query_in_a_session_with_another_state_store(spark, folder):
+    """Spark's own default keeps no state with timers."""
+    from waybill.queries import streams
+
+    name, other = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set(name, other)
+    rows = streams.stream_counter_rates(session, folder).collect()
+    assert session.conf.get(name) == other
+    assert rows and sorted(rows) == sorted(streams.stream_counter_rates(spark, folder).collect())
+
+
 def test_slices_must_fit(spark):
     stream = spark.readStream.format("rate").load().select(F.lit("a").alias("series"), F.col("timestamp").alias("ts"), "value")
     with pytest.raises(ValueError):

@@ -129,7 +129,8 @@ def counter_rates(samples: DataFrame, range_s: int, step_s: int, delay: str, sli
 
     ``samples``: a stream with ``series``, ``ts``, ``value``. Rows without a time or a value are no samples; a null series
     is a series. Only pairs of samples inside the range count. A grid point is written once, when the watermark (newest
-    sample less ``delay``) has passed it. ``slice_s`` must divide both the step and the range.
+    sample less ``delay``) has passed it. ``slice_s`` must divide both the step and the range. Start the stream inside
+    ``run.state_on_disk`` where the session's state store is not RocksDB.
     """
     range_us, step_us = range_s * MICRO, step_s * MICRO
     slice_us = round((slice_s or step_s) * MICRO)

@@ -168,3 +168,26 @@ def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(500, 501), (501, 500), (7, 7)]
     found = dict(map(tuple, graphs.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert {found[k] for k in range(100, 161)} == {100} and {found[k] for k in range(1, 40)} == {1} and found[501] == 500
+
+
+def test_components_stay_small_tables(spark):
+    """Neither tasks for hundreds of empty partitions nor an estimated size whose digits triple with each round."""
+    links = spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long").repartition(64)
+    found = graphs.components(links)
+    assert len(str(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 12
+    assert found.rdd.getNumPartitions() <= 8 and {r.component for r in found.collect()} == {0}
+
+
+def test_classes_of_one_group_meet_with_their_sketches(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HUBS", 1)
+    rows = [(3 * k + v, f"{near(prose('family', 160, 5000), k, 4 + k % 9)} end{v}") for k in range(60) for v in range(3)]
+    seen, meetings = [], ngram_join.Join.meetings
+
+    def watched(self, rows, sketched):
+        seen.append((rows.count(), rows.join(sketched, "item", "left_anti").count()))
+        return meetings(self, rows, sketched)
+
+    monkeypatch.setattr(ngram_join.Join, "meetings", watched)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table(spark, rows)).collect()}
+    assert found == linked_components(rows)
+    assert seen[0][0] > 0 and all(bare == 0 for _, bare in seen)

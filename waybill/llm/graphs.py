@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.session import cut_lineage
+from waybill.llm.sizes import few
+from waybill.session import scratch_path
+
+#: Nodes whose labels may be broadcast.
+BROADCAST_LABELS = 250_000
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The table from files. A checkpoint would keep the estimated size of its plan, a product over all joins so far: its
+    digits triple with each round, and soon planning takes minutes."""
+    path = scratch_path(df.sparkSession, "labels")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -15,13 +27,15 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     shrink by more than half. Partial aggregates keep a node with many links from meeting in one task.
     """
     edges = links.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a <> b")
-    both = cut_lineage(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("component")))
+    rows = 2 * edges.count()
+    both = written(few(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), rows))
+    labels = written(few(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("component")), rows))
+    sent = F.broadcast if labels.count() <= BROADCAST_LABELS else lambda side: side
     while True:
-        offers = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("low"))
-        lower = labels.join(offers.withColumnRenamed("a", "node"), "node").select("node", F.least("component", "low").alias("new"), F.col("component").alias("old"))
+        offers = both.join(sent(labels.withColumnRenamed("node", "b")), "b").groupBy("a").agg(F.min("component").alias("low"))
+        lower = offers.withColumnRenamed("a", "node").join(sent(labels), "node").select("node", F.least("component", "low").alias("new"), F.col("component").alias("old"))
         jump = labels.select(F.col("node").alias("new"), F.col("component").alias("beyond"))
-        after = cut_lineage(lower.join(jump, "new").select("node", F.least("new", "beyond").alias("component"), "old"))
+        after = written(few(lower.join(sent(jump), "new").select("node", F.least("new", "beyond").alias("component"), "old"), rows))
         if after.where("component <> old").isEmpty():
             return labels
         labels = after.select("node", "component")

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm.columns import free_names
 from waybill.llm.graphs import components
-from waybill.llm.sizes import batch_rows, if_light, if_small
+from waybill.llm.sizes import batch_rows, few, if_light, if_small
 from waybill.llm.tokens import WHITE, pieces, splitmix, word_hashes
 from waybill.session import cut_lineage
 
@@ -52,6 +52,8 @@ BROADCAST_MEMBERS = 100_000
 BROADCAST_BYTES = 2 << 20
 #: Rows of an Arrow batch: texts, or pairs of sets.
 BATCH_ROWS = 1000
+#: Rows of a partition of prefixes and of pairs; rows of buckets for each document, to choose partitions.
+PART_PREFIXES, PART_PAIRS, ENTRIES = 2_000, 20_000, 8
 #: Rows of a block of a bucket; two blocks meet in one task.
 BLOCK = 2048
 #: Bits of a sketch per shingle at least, and the least and most bits (as powers of two) of one; of those most in buckets.
@@ -180,8 +182,8 @@ def signatures(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFr
     return docs.select(F.col(id_col).alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str) -> DataFrame:
-    """cls, shingles of the documents whose id is in ``ids`` (doc_id) or null: texts are read again, only those are hashed."""
+def whole_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, about: int) -> DataFrame:
+    """cls, shingles of the documents whose id is in ``ids`` (doc_id, about so many) or null: texts are read again, only those are hashed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +194,8 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str) -> Data
             )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), "text")
-    wanted = rows.join(if_small(ids.select("doc_id").distinct(), BROADCAST_IDS), "doc_id", "left_semi").union(rows.where("doc_id is null"))
+    asked = if_small(ids.select("doc_id").distinct().withColumn("asked", F.lit(1)), BROADCAST_IDS, about)
+    wanted = rows.join(asked, "doc_id", "left").where("asked = 1 or doc_id is null")
     return wanted.select("text").mapInArrow(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
 
 
@@ -316,11 +319,17 @@ class Join:
     def __init__(self, docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id"):
         self.docs, self.width, self.percent, self.id_col = docs, width, percent, id_col
         self.base = cut_lineage(signatures(docs, width, percent, id_col))
+        self.rows = self.base.count()
+        self.base = few(self.base, self.rows, PART_PREFIXES)
         filled = self.base.where("n > 0")
         #: cls, n, grp, doc_id (a document that has this set; its text can be read again).
-        self.classes = cut_lineage(filled.groupBy("cls", "n", "grp").agg(F.min("doc_id").alias("doc_id")))
+        self.classes = self.saved(filled.groupBy("cls", "n", "grp").agg(F.min("doc_id").alias("doc_id")))
         self.lists = filled.select("cls", "n", "sketch")
 
+    def saved(self, df: DataFrame, each: int = 1) -> DataFrame:
+        """Saved, in partitions for about ``each`` rows a document."""
+        return cut_lineage(few(df, each * self.rows))
+
     def entries(self) -> DataFrame:
         """tok, grp, n, place: buckets of groups that share shingles of their prefixes, frequent shingles last in the order.
 
@@ -342,9 +351,9 @@ class Join:
         # The groups of a bucket decide its number; frequent shingles stay by themselves.
         frequent_here = F.col("held") | (F.col("c") > FREQUENT)
         shared = counted.select(F.when(frequent_here, F.col("tok")).alias("often"), F.when(~frequent_here, F.col("alike")).alias("tok"), "grp", "n")
-        shared = cut_lineage(shared.distinct())
+        shared = self.saved(shared.distinct(), ENTRIES)
         sent = shared.where("often is not null").select("grp", F.col("often").alias("tok"))
-        lost_rows = cut_lineage(sent.union(kept_back).distinct())
+        lost_rows = self.saved(sent.union(kept_back).distinct(), ENTRIES)
         frequent = lost_rows.select("tok").distinct()
         buckets = shared.where("often is null").select("tok", "grp", "n", F.lit(None).cast("int").alias("place"))
         # Groups whose first shingles don't hold a whole prefix without the frequent ones.
@@ -352,27 +361,28 @@ class Join:
         need = F.col("n") - F.ceil(F.lit(self.percent) * F.col("n") / 100) + 1
         sizes = filled.select("grp", "n", F.size("first").alias("size")).distinct()
         lost_too_many = F.col("size") - F.col("lost") < need
-        short = cut_lineage(sizes.join(lost, "grp").where(lost_too_many).select("grp", "n"))
+        short = self.saved(sizes.join(lost, "grp").where(lost_too_many).select("grp", "n"))
         if short.isEmpty():
             return buckets
         # Their exact prefixes, from whole sets: shingles that are not frequent first, by hash.
         members = self.classes.join(short.select("grp"), "grp")
-        sets = whole_sets(self.docs, members, self.width, self.id_col).join(members.select("cls", "grp", "n"), "cls")
+        sets = whole_sets(self.docs, members, self.width, self.id_col, self.rows).join(members.select("cls", "grp", "n"), "cls")
         tokens = sets.select("cls", "grp", "n", F.explode("shingles").alias("tok"))
-        flagged = tokens.join(if_small(frequent.withColumn("late", F.lit(1)), BROADCAST_IDS), "tok", "left")
+        frequent = if_small(frequent.withColumn("late", F.lit(1)), BROADCAST_IDS, self.rows)
+        flagged = tokens.join(frequent, "tok", "left")
         # Of each class, as the new order may part the classes of a group; the group stands for all of them.
         place = F.row_number().over(Window.partitionBy("cls").orderBy(F.coalesce("late", F.lit(0)), "tok"))
         ranked = flagged.withColumn("place", place).where(F.col("place") <= need)
-        exact = cut_lineage(ranked.groupBy("tok", "grp", "n").agg(F.min("place").alias("place")))
+        exact = self.saved(ranked.groupBy("tok", "grp", "n").agg(F.min("place").alias("place")), ENTRIES)
         # The other groups that have one of these shingles, unless it is frequent and so behind their own prefixes.
-        again = rows.join(if_small(exact.select("tok").distinct(), BROADCAST_IDS), "tok", "left_semi")
-        again = again.join(if_small(frequent, BROADCAST_IDS), "tok", "left_anti").join(short.select("grp"), "grp", "left_anti")
+        again = rows.join(if_small(exact.select("tok").distinct(), BROADCAST_IDS, ENTRIES * self.rows), "tok", "left_semi")
+        again = again.join(frequent, "tok", "left_anti").join(short.select("grp"), "grp", "left_anti")
         more = exact.union(again.select("tok", "grp", "n", F.lit(None).cast("int")).distinct())
         return buckets.union(more)
 
     def sketches(self, asked: DataFrame) -> DataFrame:
         """cls, n, sketch of some classes."""
-        return self.lists.join(if_small(asked, BROADCAST_MEMBERS), "cls", "left_semi").dropDuplicates(["cls"])
+        return self.lists.join(if_small(asked, BROADCAST_MEMBERS, self.rows), "cls", "left_semi").dropDuplicates(["cls"])
 
     def meetings(self, rows: DataFrame, sketched: DataFrame) -> DataFrame:
         """g, comp_g, h, comp_h: items of a bucket that may link across components.
@@ -382,7 +392,7 @@ class Join:
         """
         large = rows.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK)
         blocks = large.select("bucket", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
-        blocks = cut_lineage(blocks)
+        blocks = self.saved(blocks)
         if blocks.isEmpty():
             cut = rows.withColumn("blocks", F.lit(1))
         else:
@@ -398,22 +408,25 @@ class Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links among pairs of classes: bounded by their first shingles, then on whole sets."""
-        pairs = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        pairs = self.saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ENTRIES)
+        count = pairs.count()
         asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
         lists = if_light(self.sketches(asked), "sketch", BROADCAST_BYTES)
         a, b = (lists.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
         listed = pairs.join(a, "a").join(b, "b").where(size_fits(F.col("n_a"), F.col("n_b"), self.percent))
-        left = cut_lineage(listed.mapInArrow(_bounded(self.percent), "a long, b long"))
+        left = cut_lineage(few(listed, count, PART_PAIRS).mapInArrow(_bounded(self.percent), "a long, b long"))
         needed = left.select(F.col("a").alias("cls")).union(left.select(F.col("b").alias("cls"))).distinct()
-        sets = whole_sets(self.docs, self.classes.join(needed, "cls"), self.width, self.id_col)
-        sets = if_light(sets.join(if_small(needed, BROADCAST_IDS), "cls", "left_semi"), "shingles", BROADCAST_BYTES)
+        needed = if_small(needed, BROADCAST_IDS, min(2 * count, self.rows))
+        sets = whole_sets(self.docs, self.classes.join(needed, "cls"), self.width, self.id_col, self.rows)
+        sets = if_light(sets.join(needed, "cls", "left_semi"), "shingles", BROADCAST_BYTES)
         one = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a"))
         two = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b"))
-        return cut_lineage(left.join(one, "a").join(two, "b").mapInArrow(_linked(self.percent), "a long, b long"))
+        both = few(left.join(one, "a").join(two, "b"), count, PART_PAIRS)
+        return cut_lineage(both.mapInArrow(_linked(self.percent), "a long, b long"))
 
     def links(self) -> DataFrame:
         """Links (a, b) between classes that connect all that is connected."""
-        entries = cut_lineage(self.entries())
+        entries = self.saved(self.entries(), ENTRIES)
         step = math.log(100 / self.percent)
         banded = entries.withColumn("band", F.floor(F.log("n") / step))
         # Pivots: the first group of each bucket and size band, for its own band and the one below.
@@ -433,23 +446,18 @@ class Join:
         met = open_rows.join(large, "tok").where(size_fits(F.col("n"), F.col("hub.n"), self.percent))
         met = met.select(F.col("grp").alias("g"), F.col("hub.grp").alias("h")).where("g <> h").distinct()
         to_hub = met.join(heads.withColumnRenamed("grp", "h"), "h").join(self.classes.select(F.col("grp").alias("g"), "cls"), "g")
-        to_hub = cut_lineage(to_hub.select(F.col("cls").alias("a"), F.col("head").alias("b")))
+        to_hub = self.saved(to_hub.select(F.col("cls").alias("a"), F.col("head").alias("b")), ENTRIES)
         if not to_hub.isEmpty():
-            first = cut_lineage(first.union(self.verified(to_hub)))
+            first = self.saved(first.union(self.verified(to_hub)))
             placed, open_rows = self.between(first, entries)
-        # Pairs across components, of groups first; a group of one class has its sketch.
-        alone = self.classes.groupBy("grp").agg(F.count("*").alias("c"), F.min("cls").alias("cls")).where("c = 1").select("grp", "cls")
-        alone = cut_lineage(alone.join(if_small(open_rows.select("grp").distinct(), BROADCAST_IDS), "grp", "left_semi"))
-        known = self.sketches(alone.select("cls")).join(alone, "cls").select(F.col("grp").alias("item"), "sketch")
-        rows = open_rows.select(F.col("tok").alias("bucket"), F.col("grp").alias("item"), "comp", "n", "place")
-        pairs = self.meetings(rows, known)
-        members = if_small(placed.select("grp", "comp", "cls"), BROADCAST_MEMBERS)
-        one = members.select(F.col("grp").alias("g"), F.col("comp").alias("comp_g"), F.col("cls").alias("a"))
-        two = members.select(F.col("grp").alias("h"), F.col("comp").alias("comp_h"), F.col("cls").alias("b"))
-        expanded = pairs.join(one, ["g", "comp_g"]).join(two, ["h", "comp_h"]).select("a", "b")
+        # Pairs across components. Classes meet, not groups: each has its sketch, and what sketches rule out is not written.
+        met = open_rows.join(placed.select("grp", "comp", "cls"), ["grp", "comp"])
+        rows = self.saved(met.select(F.col("tok").alias("bucket"), F.col("cls").alias("item"), "comp", "n", "place"), ENTRIES)
+        known = self.sketches(rows.select(F.col("item").alias("cls")).distinct()).select(F.col("cls").alias("item"), "sketch")
+        expanded = self.meetings(rows, known).select(F.col("g").alias("a"), F.col("h").alias("b"))
         # Classes of one group that its head did not link meet in it.
         parted = placed.groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("grp")
-        loose = cut_lineage(placed.join(parted, "grp"))
+        loose = self.saved(placed.join(parted, "grp"))
         if not loose.isEmpty():
             known = self.sketches(loose.select("cls")).select(F.col("cls").alias("item"), "sketch")
             rows = loose.select(F.col("grp").alias("bucket"), F.col("cls").alias("item"), "comp", "n", F.lit(None).cast("int").alias("place"))
@@ -463,10 +471,10 @@ class Join:
         A group with classes in several components counts in each of them.
         """
         found = components(links).select(F.col("node").alias("cls"), "component")
-        placed = cut_lineage(self.classes.join(found, "cls", "left").select("cls", "grp", "n", F.coalesce("component", "cls").alias("comp")))
+        placed = self.saved(self.classes.join(found, "cls", "left").select("cls", "grp", "n", F.coalesce("component", "cls").alias("comp")))
         mixed = entries.join(placed.select("grp", "comp").distinct(), "grp")
         several = mixed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("tok")
-        return placed, cut_lineage(mixed.join(several, "tok"))
+        return placed, self.saved(mixed.join(several, "tok"), ENTRIES)
 
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row, and class_size, the number of documents with the same set."""

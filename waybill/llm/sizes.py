@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 from waybill.session import cut_lineage
 
 
+#: Rows of a partition of short rows; the least number of partitions that a table is drawn together to.
+PART_ROWS, LEAST_PARTS = 50_000, 8
+
+
+def few(df: DataFrame, rows: int, each: int = PART_ROWS) -> DataFrame:
+    """The same rows in no more partitions than about so many of them need.
+
+    A small table in hundreds of partitions costs a task and files for each of them in every step. ``rows`` only sets the
+    number of partitions: more rows make these larger, and none is left out.
+    """
+    return df.coalesce(max(LEAST_PARTS, -(-rows // each)))
+
+
 @contextmanager
 def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of at most so many rows, for jobs that run inside: their rows are large."""
@@ -24,7 +37,7 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
 
 
 def if_light(side: DataFrame, column: str, most_bytes: int) -> DataFrame:
-    """The same for a side of arrays or binary values: their bytes are summed first."""
+    """The same as ``if_small`` for a side of arrays or binary values: their bytes are summed first."""
     side = cut_lineage(side)
     width = 8 if dict(side.dtypes)[column].startswith("array") else 1
     length = F.size(column) * width if width == 8 else F.octet_length(column)
@@ -32,7 +45,10 @@ def if_light(side: DataFrame, column: str, most_bytes: int) -> DataFrame:
     return F.broadcast(side) if total <= most_bytes else side.hint("merge")
 
 
-def if_small(side: DataFrame, rows: int) -> DataFrame:
-    """The side, saved, marked for broadcast if it has at most ``rows`` rows; else for a join by shuffle."""
-    side = cut_lineage(side)
+def if_small(side: DataFrame, rows: int, about: int | None = None) -> DataFrame:
+    """The side, saved, marked for broadcast if it has at most ``rows`` rows; else for a join by shuffle.
+
+    ``about`` how many rows it has, if that is known beforehand, sets its number of partitions.
+    """
+    side = cut_lineage(side if about is None else few(side, about))
     return F.broadcast(side) if side.count() <= rows else side.hint("merge")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import prose, table, words_of
-from waybill.llm import language, language_model, levels, quality, queries, toxicity
+from waybill.llm import elias_fano, language, language_model, levels, quality, queries, toxicity
 from waybill.llm.elias_fano import EliasFano
 from waybill.llm.tokens import WHITE, pieces, word_hashes
 
@@ -41,6 +41,21 @@ def test_elias_fano_finds_what_it_holds(n, universe):
     assert [(x >= 0) for x in held.find(asked)] == [(int(x) in known) for x in asked]
 
 
+@pytest.mark.parametrize("gap", [1, 900, 2**20])
+def test_elias_fano_does_not_walk_long_runs(monkeypatch, gap):
+    """Runs of 100,000 set or unset bits, or as many numbers with one high part, take a few reads."""
+    near, far = np.arange(100_000, dtype=np.uint64), np.uint64(2**38) + np.arange(100_000, dtype=np.uint64) * np.uint64(gap)
+    values = np.concatenate([near, far])
+    header, arrays = EliasFano.arrays(values, 2**40)
+    held = EliasFano(*header, *arrays)
+    reads, read = [], elias_fano._read
+    monkeypatch.setattr(elias_fano, "_read", lambda *x: reads.append(1) or read(*x))
+    assert (held.find(values) == np.arange(len(values))).all() and (held.get(np.arange(len(values))) == values).all()
+    assert (held.find(values + np.uint64(2**39)) == -1).all() and len(reads) < 60
+    numbers, steps = held.step(np.arange(len(values) - 1))
+    assert (numbers == values[:-1]).all() and (steps == np.diff(values)).all()
+
+
 def test_level_files_round_trip(tmp_path):
     values = np.arange(0, 5000, 7, dtype=np.uint64)
     levels.write(f"file://{tmp_path}/a/b", {"s": (values, 5000, "find")}, {"c": np.arange(9, dtype=np.uint8)}, {"k": 2.5})
@@ -88,6 +103,21 @@ def test_trie_scores_equal_counts(spark, monkeypatch):
         assert abs(r.base_score - base) < 1e-6 * n and abs(r.score - full) < 0.02 * n
 
 
+def test_tries_are_even_with_frequent_words(spark):
+    """One word before and behind thousands of others: few numbers share a high part, and scores equal counts."""
+    rows = [(k, " ".join(f"the w{k}x{j} of" for j in range(60))) for k in range(100)]
+    expected = brute_scores(rows, [i for i, _ in rows])
+    model = language_model.train(table(spark, rows))
+    trie = levels.Level(f"{model.folder}/ngrams-0")
+    for level in (trie.next, trie.last):
+        assert level.n > 10_000
+        unset = np.flatnonzero(np.unpackbits(level.high.view(np.uint8), bitorder="little")[: level.n + level.buckets] == 0)
+        assert np.diff(unset).max() < 20
+    for r in language_model.scored(table(spark, rows), model).collect():
+        n, known, _, base, full = expected[r.doc_id]
+        assert (r.n_tokens, r.n_known) == (n, known) and abs(r.base_score - base) < 1e-6 * n and abs(r.score - full) < 0.02 * n
+
+
 def test_language_model_without_training(spark):
     found = language_model.trained_and_scored(table(spark, [(1, "a b"), (None, None)]), F.lit(False)).collect()
     assert [(r.n_known, r.train_tokens, r.score) for r in found] == [(0, 0, 0.0)] * 2

@@ -6,14 +6,15 @@ towards single words, each by a Dirichlet prior: p(c | a b) = (n(abc) + m p(c |
 
 Files. The vocabulary is a sorted sequence of word hashes with counts, cut by the top bits of the hash. N-grams are cut
 by a hash of their last two words (b, c), so a trigram lies with the bigram it falls back to, and a frequent word is
-spread over all files. A file is a trie with four levels:
+spread over all files. A file is a trie with three levels, the forerunner last:
 
     head      the words b                                   Elias-Fano
     next      their followers c here, under each b          Elias-Fano; ``start`` points from b to its first follower
-    context   their forerunners a, under each b             Elias-Fano; ``base`` points from (a, b) to its range
-    last      followers of (a, b): the place of c among the followers of b, not its number      Elias-Fano
+    last      the forerunners a of each pair (b, c)         Elias-Fano; ``range`` points from the pair to its first forerunner
 
-A query finds b, then c among b's followers, and with that place, relative to the context, looks for the successor in the range of (a, b).
+A query finds b, then c in the range of b, then a in the range of (b, c). What lies in a range is stretched over a share of the
+universe in proportion to the range's length: word numbers follow their hashes, so high parts are even however frequent a
+word is, and a look-up compares about one number.
 Probabilities of ``next`` and ``last`` and back-off weights have 8-bit codes with a code book per file.
 
 Building is three jobs: words are counted with partial sums; each batch of documents sends each file its distinct
@@ -120,7 +121,16 @@ def contexts(tokens: np.ndarray, bounds: np.ndarray, begin: int) -> tuple[np.nda
 
 
 def file_of(one: np.ndarray, word: np.ndarray, files: int) -> np.ndarray:
-    return (splitmix(one * U(0x9E3779B97F4A7C15) ^ splitmix(word)) % U(files)).astype(np.int64)
+    """The file of each pair, in the smallest type: short numbers are sorted faster."""
+    return (splitmix(one * U(0x9E3779B97F4A7C15) ^ splitmix(word)) % U(files)).astype(np.min_scalar_type(files))
+
+
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that sorts the keys, where in it each distinct key begins, and how often it comes."""
+    order = np.argsort(keys)
+    held = keys[order]
+    first = np.flatnonzero(np.append(np.ones(min(len(keys), 1), bool), held[1:] != held[:-1]))
+    return order, first, np.diff(np.append(first, len(keys)))
 
 
 def packed_rows(one: np.ndarray, word: np.ndarray, two: np.ndarray, n: np.ndarray) -> bytes:
@@ -151,12 +161,12 @@ def unpacked_rows(blob: bytes) -> tuple[np.ndarray, ...]:
 
 def _merge(one: np.ndarray, word: np.ndarray, two: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted by (one, word, two); equal rows summed."""
-    order = np.lexsort((two, one << U(32) | word))
-    one, word, two, n = one[order], word[order], two[order], n[order]
-    new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (word[1:] != word[:-1]) | (two[1:] != two[:-1])
-    at = np.flatnonzero(new)
-    return one[at], word[at], two[at], np.add.reduceat(n, at) if len(at) else n[:0]
+    by_pair, first, times = runs(one << U(32) | word)
+    pair = np.repeat(np.arange(len(first), dtype=U), times) << U(32) | two[by_pair]
+    order, first, _ = runs(pair)
+    order = by_pair[order]
+    at = order[first]
+    return one[at], word[at], two[at], np.add.reduceat(n[order], first) if len(at) else n[:0]
 
 
 def _trigrams(model: Model):
@@ -170,7 +180,7 @@ def _trigrams(model: Model):
                 one, word, two, n = _merge(one, tokens, two, np.ones(len(tokens), np.int64))
                 file = file_of(one, word, model.files)
                 order = np.argsort(file, kind="stable")
-                edges = np.searchsorted(file[order], np.arange(model.files + 1))
+                edges = np.searchsorted(file[order], np.arange(model.files + 1, dtype=file.dtype))
                 used = np.flatnonzero(np.diff(edges))
                 blobs = [packed_rows(*(c[order[edges[f] : edges[f + 1]]] for c in (one, word, two, n))) for f in used]
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["file", "rows"])
@@ -188,6 +198,11 @@ def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes.astype(np.uint8), np.bincount(codes, values, 256) / np.maximum(sizes, 1)
 
 
+def stretched(first: np.ndarray, length: np.ndarray, word: np.ndarray, width: np.uint64) -> np.ndarray:
+    """The number of a word (below ``width``) in a range of so many words, which begins behind ``first`` others."""
+    return first.astype(U) * width + length.astype(U) * word
+
+
 def build_trie(model: Model, file: int, blobs: list[bytes]) -> int:
     """Write a trie file from what the batches sent for it; the number of its trigrams."""
     vocabulary = VocabularyByNumber(model)
@@ -200,22 +215,13 @@ def build_trie(model: Model, file: int, blobs: list[bytes]) -> int:
     bigram_n = np.add.reduceat(n, pairs)
     b, c = one[pairs], word[pairs]
     heads, start, node = np.unique(b, return_index=True, return_inverse=True)
+    start, pairs = np.append(start, len(pairs)), np.append(pairs, len(one))
     p1 = (vocabulary.counts(c) + 1.0) / (model.tokens + model.words + 1)
     n1 = np.where(b == U(model.words), model.documents, vocabulary.counts(b))
     p2 = (bigram_n + PRIOR_2 * p1) / (n1 + PRIOR_2)
-    # Contexts (a, b) and, in them, places of c among the followers of b.
     which = np.cumsum(pair) - 1
-    trigram_node = node[which]
-    key = trigram_node.astype(U) * width + two
-    order = np.lexsort((which, key))
-    key, place = key[order], (which - start[trigram_node])[order]
-    contexts_here, context = np.unique(key, return_inverse=True)
-    followers = np.diff(np.append(start, len(pairs)))
-    sizes = followers[(contexts_here // width).astype(np.int64)]
-    base = np.zeros(len(sizes), np.int64)
-    np.cumsum(sizes[:-1], out=base[1:])
-    # Without the context's own total, which lies in the file of (a, b) as its back-off weight: n / m + p2.
-    scaled = np.log10(n[order] / PRIOR_3 + p2[which[order]])
+    # Without the total of the context (a, b), which lies in its own file as back-off weight: n / m + p2.
+    scaled = np.log10(n / PRIOR_3 + p2[which])
     next_codes, next_book = coded(np.log10(p2))
     weight_codes, weight_book = coded(np.log10(PRIOR_3 / (bigram_n + PRIOR_3)))
     last_codes, last_book = coded(scaled)
@@ -223,11 +229,10 @@ def build_trie(model: Model, file: int, blobs: list[bytes]) -> int:
         f"{model.folder}/ngrams-{file}",
         {
             "head": (heads, model.words + 2, "find"),
-            "start": (start.astype(U), len(pairs) + 1, "get"),
-            "next": (node.astype(U) * width + c, len(heads) * (model.words + 2) + 1, "find"),
-            "context": (contexts_here, len(heads) * (model.words + 2) + 1, "find"),
-            "base": (base.astype(U), int(sizes.sum()) + 1, "get"),
-            "last": (base[context].astype(U) + place.astype(U), int(sizes.sum()) + 1, "find"),
+            "start": (start.astype(U), len(c) + 1, "get"),
+            "next": (stretched(start[node], np.diff(start)[node], c, width), len(c) * (model.words + 2) + 1, "find"),
+            "range": (pairs.astype(U), len(n) + 1, "get"),
+            "last": (stretched(pairs[which], np.diff(pairs)[which], two, width), len(n) * (model.words + 2) + 1, "find"),
         },
         {"next_codes": next_codes, "next_book": next_book, "weight_codes": weight_codes, "weight_book": weight_book, "last_codes": last_codes, "last_book": last_book},
         {},
@@ -317,45 +322,44 @@ class Tries:
         weight = np.zeros(len(tokens))
         trigram = np.full(len(tokens), np.nan)
         # Distinct pairs (one, token), by file and in order, so that look-ups run through the levels from front to back.
-        pairs, back = np.unique(one << U(32) | tokens, return_inverse=True)
-        b, c = pairs >> U(32), pairs & U(0xFFFFFFFF)
+        order, first, times = runs(one << U(32) | tokens)
+        b, c = one[order[first]], tokens[order[first]]
         file = file_of(b, c, m.files)
         by_file = np.argsort(file, kind="stable")
-        b, c, file = b[by_file], c[by_file], file[by_file]
-        rank = np.empty(len(pairs), np.int64)
-        rank[by_file] = np.arange(len(pairs))
-        rank = rank[back]
-        rows = np.argsort(rank, kind="stable")
-        edges = np.searchsorted(file, np.arange(m.files + 1))
-        row_edges = np.searchsorted(rank[rows], edges)
+        b, c, file, first, times = (x[by_file] for x in (b, c, file, first, times))
+        ends = np.cumsum(times)
+        # Tokens by file and pair, and the pair of each.
+        rows = order[np.repeat(first - ends + times, times) + np.arange(len(tokens))]
+        pair_of = np.repeat(np.arange(len(b)), times)
+        edges = np.searchsorted(file, np.arange(m.files + 1, dtype=file.dtype))
+        row_edges = np.concatenate([[0], ends])[edges]
         width = U(m.words + 2)
         for f in np.flatnonzero(np.diff(edges)):
             level = self.level(int(f))
             low, high = edges[f], edges[f + 1]
             heads, again = np.unique(b[low:high], return_inverse=True)
             node = level.head.find(heads)
-            first = np.zeros(len(heads), np.int64)
-            first[node >= 0] = level.start.get(node[node >= 0]).astype(np.int64)
-            node, first = node[again], first[again]
-            place = np.full(high - low, -1, np.int64)
-            seen = node >= 0
-            place[seen] = level.next.find(node[seen].astype(U) * width + c[low:high][seen])
+            first, length = np.zeros(len(heads), U), np.zeros(len(heads), U)
+            first[node >= 0], length[node >= 0] = level.start.step(node[node >= 0])
+            seen = np.flatnonzero(length[again])
+            again = again[seen]
+            found = level.next.find(stretched(first[again], length[again], c[low:high][seen], width))
+            place, number = np.full(high - low, -1, np.int64), np.zeros(high - low, np.int64)
+            place[seen] = found
+            # Of each pair that is in the file: its codes and its range.
+            there = np.flatnonzero(place >= 0)
+            place = place[there]
+            number[there] = np.arange(len(there)) + 1
+            p2, back_off = level.next_book[level.next_codes[place]], level.weight_book[level.weight_codes[place]]
+            first, length = level.range.step(place)
             # From here on by token: those whose pair is in the file.
             own = rows[row_edges[f] : row_edges[f + 1]]
-            pair = rank[own] - low
-            hit = place[pair] >= 0
-            own, pair = own[hit], pair[hit]
-            at = place[pair]
-            bigram[own] = level.next_book[level.next_codes[at]]
-            weight[own] = level.weight_book[level.weight_codes[at]]
-            context = level.context.find(node[pair].astype(U) * width + two[own])
-            known = context >= 0
-            own, pair, at, context = own[known], pair[known], at[known], context[known]
-            if len(own):
-                # The place of the word among the followers of its forerunner, looked up in the context's range.
-                successor = level.last.find(level.base.get(context) + (at - first[pair]).astype(U))
-                there = successor >= 0
-                trigram[own[there]] = level.last_book[level.last_codes[successor[there]]]
+            pair = number[pair_of[row_edges[f] : row_edges[f + 1]] - low] - 1
+            own, pair = own[pair >= 0], pair[pair >= 0]
+            bigram[own], weight[own] = p2[pair], back_off[pair]
+            found = level.last.find(stretched(first[pair], length[pair], two[own], width))
+            hit = found >= 0
+            trigram[own[hit]] = level.last_book[level.last_codes[found[hit]]]
         before = np.full(len(tokens), np.log10(PRIOR_3 / (m.documents + PRIOR_3)))
         before[1:] = weight[:-1]
         before[bounds[:-1]] = np.log10(PRIOR_3 / (m.documents + PRIOR_3))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import DOCUMENTS, linked_components, prose, table
 from waybill.llm import graphs, ngram_join
@@ -191,3 +192,45 @@ def test_classes_of_one_group_meet_with_their_sketches(spark, monkeypatch):
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table(spark, rows)).collect()}
     assert found == linked_components(rows)
     assert seen[0][0] > 0 and all(bare == 0 for _, bare in seen)
+
+
+def test_components_join_a_link_in_one_round(spark, monkeypatch):
+    """Families that one node holds together, and chains: after the first round few links are left to join."""
+    links = [(1000 * k, 1000 * k + j) for k in range(20) for j in range(1, 60)] + [(90_000 + k, 90_001 + k) for k in range(300)]
+    links += [(70_000 + j, 79_999) for j in range(50)]
+    joined, write = [], graphs.written
+
+    def watched(df):
+        out = write(df)
+        if out.columns == ["a", "b"]:
+            joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(graphs, "written", watched)
+    found = dict(map(tuple, graphs.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert joined[0] == len(links) and sum(joined[1:]) < 60
+    assert all(found[a] == found[b] for a, b in links) and set(found.values()) == {*range(0, 20_000, 1000), 70_000, 90_000}
+
+
+def test_further_links_rename_components(spark):
+    """Links that come later join components by their names, and nothing else is joined anew."""
+    rows = [(k, near(prose("family", 160, 5000), k // 2, 4 + k % 9)) for k in range(40)]
+    join = ngram_join.Join(table(spark, rows))
+    placed = join.classes.withColumn("comp", F.col("cls")).select("cls", "grp", "n", "comp")
+    cls = sorted(r.cls for r in placed.collect())
+    links = [(cls[5], cls[3]), (cls[3], cls[9]), (cls[0], cls[1]), (cls[2], cls[2])]
+    after, renamed = join.merged(placed, spark.createDataFrame(links, "a long, b long"))
+    found = {r.cls: r.comp for r in after.collect()}
+    assert {c: found[c] for c in cls} == {c: {cls[5]: cls[3], cls[9]: cls[3], cls[1]: cls[0]}.get(c, c) for c in cls}
+    assert sorted((r.comp, r.new) for r in renamed.collect()) == [(cls[1], cls[0]), (cls[5], cls[3]), (cls[9], cls[3])]
+    again, _ = join.merged(after, spark.createDataFrame([(cls[9], cls[1])], "a long, b long"))
+    assert {r.comp for r in again.collect() if r.cls in (cls[0], cls[1], cls[3], cls[5], cls[9])} == {cls[0]}
+
+
+def test_heavy_sides_give_the_same(spark, monkeypatch):
+    """Sketches and sets that are too many bytes to broadcast stay dealt out by class."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(ngram_join, "BROADCAST_MEMBERS", 0)
+    rows = corpus()
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table(spark, rows)).collect()}
+    assert found == linked_components(rows)

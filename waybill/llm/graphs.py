@@ -20,22 +20,37 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ends(hooks: DataFrame, rows: int) -> DataFrame:
+    """node, up: hooks, no more than so many, followed to where none leads on, by doubling."""
+    hooks, small = written(few(hooks, rows)), rows <= BROADCAST_LABELS
+    while True:
+        onward = hooks.select(F.col("node").alias("up"), F.col("up").alias("beyond"))
+        after = hooks.join(F.broadcast(onward) if small else onward, "up", "left")
+        after = written(few(after.select("node", F.coalesce("beyond", "up").alias("up"), F.col("beyond").isNotNull().alias("moved")), rows))
+        hooks = after.select("node", "up")
+        if after.where("moved").isEmpty():
+            return hooks
+
+
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """node, component: the smallest node that links reach, for each node of a link between two nodes.
 
-    Each round gives a node the least component among its neighbours and then the component of that one, so chains
-    shrink by more than half. Partial aggregates keep a node with many links from meeting in one task.
+    Each round hooks a node to its least neighbour, if that is smaller, and follows hooks to their ends. Links are then
+    drawn between ends, and those inside one component fall away, so most links are joined in the first round only. Two
+    rounds leave at most half of the nodes. Partial aggregates keep a node with many links from meeting in one task.
     """
-    edges = links.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a <> b")
-    rows = 2 * edges.count()
-    both = written(few(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), rows))
-    labels = written(few(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("component")), rows))
-    sent = F.broadcast if labels.count() <= BROADCAST_LABELS else lambda side: side
-    while True:
-        offers = both.join(sent(labels.withColumnRenamed("node", "b")), "b").groupBy("a").agg(F.min("component").alias("low"))
-        lower = offers.withColumnRenamed("a", "node").join(sent(labels), "node").select("node", F.least("component", "low").alias("new"), F.col("component").alias("old"))
-        jump = labels.select(F.col("node").alias("new"), F.col("component").alias("beyond"))
-        after = written(few(lower.join(sent(jump), "new").select("node", F.least("new", "beyond").alias("component"), "old"), rows))
-        if after.where("component <> old").isEmpty():
-            return labels
-        labels = after.select("node", "component")
+    rows = total = links.count()
+    low, high = F.least(left, right).alias("a"), F.greatest(left, right).alias("b")
+    edges = written(few(links.where(F.col(left) != F.col(right)).select(low, high).distinct(), rows))
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
+    labels = few(nodes.withColumn("component", F.col("node")), 2 * total)
+    while rows := edges.count():
+        hooks = ends(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")), rows)
+        named = [hooks.select(F.col("node").alias(name), F.col("up").alias(f"{name}_up")) for name in ("a", "b", "component")]
+        a, b, component = [F.broadcast(x) if rows <= BROADCAST_LABELS else x for x in named]
+        labels = labels.join(component, "component", "left").select("node", F.coalesce("component_up", "component").alias("component"))
+        labels = written(few(labels, 2 * total))
+        drawn = edges.join(a, "a", "left").join(b, "b").select(F.coalesce("a_up", "a").alias("a"), F.col("b_up").alias("b"))
+        drawn = drawn.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        edges = written(few(drawn, rows))
+    return labels

@@ -384,6 +384,12 @@ class Join:
         """cls, n, sketch of some classes."""
         return self.lists.join(if_small(asked, BROADCAST_MEMBERS, self.rows), "cls", "left_semi").dropDuplicates(["cls"])
 
+    def beside(self, side: DataFrame, asked: DataFrame, each: Column) -> DataFrame:
+        """What some classes hold, one row of at most ``each`` bytes for a class: broadcast if all are small. Else it stays
+        dealt out by class as it is, so that joins need not deal it again."""
+        total = self.classes.join(asked, "cls", "left_semi").agg(F.coalesce(F.sum(each + 32), F.lit(0))).first()[0]
+        return F.broadcast(cut_lineage(side)) if total <= BROADCAST_BYTES else side.hint("merge")
+
     def meetings(self, rows: DataFrame, sketched: DataFrame) -> DataFrame:
         """g, comp_g, h, comp_h: items of a bucket that may link across components.
 
@@ -410,22 +416,22 @@ class Join:
         """The links among pairs of classes: bounded by their first shingles, then on whole sets."""
         pairs = self.saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ENTRIES)
         count = pairs.count()
-        asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-        lists = if_light(self.sketches(asked), "sketch", BROADCAST_BYTES)
+        asked = cut_lineage(few(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(), self.rows))
+        lists = self.beside(self.sketches(asked), asked, F.least("n", F.lit(1 << MOST_BITS - 3)))
         a, b = (lists.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
         listed = pairs.join(a, "a").join(b, "b").where(size_fits(F.col("n_a"), F.col("n_b"), self.percent))
         left = cut_lineage(few(listed, count, PART_PAIRS).mapInArrow(_bounded(self.percent), "a long, b long"))
         needed = left.select(F.col("a").alias("cls")).union(left.select(F.col("b").alias("cls"))).distinct()
         needed = if_small(needed, BROADCAST_IDS, min(2 * count, self.rows))
         sets = whole_sets(self.docs, self.classes.join(needed, "cls"), self.width, self.id_col, self.rows)
-        sets = if_light(sets.join(needed, "cls", "left_semi"), "shingles", BROADCAST_BYTES)
+        sets = self.beside(sets.join(needed, "cls", "left_semi"), needed, 8 * F.col("n"))
         one = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a"))
         two = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b"))
         both = few(left.join(one, "a").join(two, "b"), count, PART_PAIRS)
         return cut_lineage(both.mapInArrow(_linked(self.percent), "a long, b long"))
 
-    def links(self) -> DataFrame:
-        """Links (a, b) between classes that connect all that is connected."""
+    def linked(self) -> DataFrame:
+        """cls, grp, n, comp of every class: the components of all links."""
         entries = self.saved(self.entries(), ENTRIES)
         step = math.log(100 / self.percent)
         banded = entries.withColumn("band", F.floor(F.log("n") / step))
@@ -448,8 +454,9 @@ class Join:
         to_hub = met.join(heads.withColumnRenamed("grp", "h"), "h").join(self.classes.select(F.col("grp").alias("g"), "cls"), "g")
         to_hub = self.saved(to_hub.select(F.col("cls").alias("a"), F.col("head").alias("b")), ENTRIES)
         if not to_hub.isEmpty():
-            first = self.saved(first.union(self.verified(to_hub)))
-            placed, open_rows = self.between(first, entries)
+            placed, renamed = self.merged(placed, self.verified(to_hub))
+            now = open_rows.join(renamed, "comp", "left").select("tok", "grp", "n", "place", F.coalesce("new", "comp").alias("comp"))
+            open_rows = self.saved(self.several(now.distinct()), ENTRIES)
         # Pairs across components. Classes meet, not groups: each has its sketch, and what sketches rule out is not written.
         met = open_rows.join(placed.select("grp", "comp", "cls"), ["grp", "comp"])
         rows = self.saved(met.select(F.col("tok").alias("bucket"), F.col("cls").alias("item"), "comp", "n", "place"), ENTRIES)
@@ -462,8 +469,22 @@ class Join:
             known = self.sketches(loose.select("cls")).select(F.col("cls").alias("item"), "sketch")
             rows = loose.select(F.col("grp").alias("bucket"), F.col("cls").alias("item"), "comp", "n", F.lit(None).cast("int").alias("place"))
             expanded = expanded.union(self.meetings(rows, known).select(F.col("g").alias("a"), F.col("h").alias("b")))
-        second = self.verified(expanded)
-        return first.union(second)
+        return self.merged(placed, self.verified(expanded))[0]
+
+    def merged(self, placed: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The classes with their components after more links, and comp, new of the components that are part of others now."""
+        of = [placed.select(F.col("cls").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "ab"]
+        few_links = F.broadcast(links) if links.count() <= BROADCAST_IDS else links
+        across = few_links.join(of[0], "a").join(of[1], "b").where("comp_a <> comp_b").select("comp_a", "comp_b").distinct()
+        found = components(self.saved(across), "comp_a", "comp_b").where("node <> component")
+        renamed = if_small(found.select(F.col("node").alias("comp"), F.col("component").alias("new")), BROADCAST_IDS, self.rows)
+        after = placed.join(renamed, "comp", "left").select("cls", "grp", "n", F.coalesce("new", "comp").alias("comp"))
+        return self.saved(after), renamed
+
+    def several(self, rows: DataFrame) -> DataFrame:
+        """The rows of the buckets in which components meet."""
+        found = rows.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        return rows.join(found.where("low <> high").select("tok"), "tok")
 
     def between(self, links: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The component of each class, and the rows of the buckets in which components meet.
@@ -473,14 +494,13 @@ class Join:
         found = components(links).select(F.col("node").alias("cls"), "component")
         placed = self.saved(self.classes.join(found, "cls", "left").select("cls", "grp", "n", F.coalesce("component", "cls").alias("comp")))
         mixed = entries.join(placed.select("grp", "comp").distinct(), "grp")
-        several = mixed.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("tok")
-        return placed, self.saved(mixed.join(several, "tok"), ENTRIES)
+        return placed, self.saved(self.several(mixed), ENTRIES)
 
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row, and class_size, the number of documents with the same set."""
-        found = components(self.links()).select(F.col("node").alias("cls"), "component")
+        found = self.linked().select("cls", F.col("comp").alias("component"))
         sizes = self.base.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("class_size"))
-        named = sizes.join(found, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        named = sizes.join(found, "cls")
         least = named.groupBy("component").agg(F.min("least").alias("component_id"))
         by_class = named.join(least, "component").select("cls", "component_id", "class_size")
         rows = self.base.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(by_class, "cls", "left")

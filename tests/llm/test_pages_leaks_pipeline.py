@@ -118,3 +118,20 @@ def test_pipeline_stage_by_stage(spark):
             assert toxic and kept == {r.doc_id for r in before} - toxic
         if name == "sharding":
             assert len(after) == len(before) and docs.columns == sharding.shard_sheet(spark.createDataFrame(before, spark.createDataFrame(before).schema), [1.0]).columns
+
+
+def test_texts_are_searched_in_small_batches(spark, monkeypatch):
+    """Batches of 10,000 texts, Spark's default, held far more memory than the search needs."""
+    name, sizes, save = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, decontamination.cut_lineage
+    before = spark.conf.get(name)
+
+    def watched(df):
+        if "hits" in df.columns:
+            sizes["hits"] = int(spark.conf.get(name))
+        return save(df)
+
+    monkeypatch.setattr(decontamination, "cut_lineage", watched)
+    items = spark.createDataFrame([(1, prose("item", 30, 5000))], "item_id long, text string")
+    rows = [(k, prose(k, 40, 5000)) for k in range(30)] + [(99, prose(99, 20, 5000) + " " + prose("item", 30, 5000))]
+    assert [r.doc_id for r in decontamination.leaks(table(spark, rows), items).collect()] == [99]
+    assert sizes["hits"] <= 1000 and spark.conf.get(name) == before

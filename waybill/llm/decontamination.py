@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm.columns import free_names
-from waybill.llm.sizes import if_small
+from waybill.llm.sizes import batch_rows, if_small
 from waybill.llm.tokens import pieces, splitmix, word_hashes
 from waybill.session import cut_lineage
 
@@ -41,6 +41,8 @@ SHARE, WORDS = 0.6, 24
 
 #: Rows of id tables that may be broadcast.
 BROADCAST_IDS = 2_000_000
+#: Texts of an Arrow batch.
+BATCH_ROWS = 1000
 
 NO_WORD = np.ones(256, dtype=bool)
 NO_WORD[48:58] = NO_WORD[65:91] = NO_WORD[97:123] = NO_WORD[128:] = False
@@ -181,7 +183,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFram
     """doc_id, text_key, item_id, and the best run of the item in the document: doc_at, run_words, equal_words."""
     spark = docs.sparkSession
     windows = cut_lineage(test_windows(items))
-    hits = cut_lineage(document_hits(spark, docs, bit_table(windows), id_col))
+    with batch_rows(spark, BATCH_ROWS):
+        hits = cut_lineage(document_hits(spark, docs, bit_table(windows), id_col))
     single = hits.select("doc_id", "text_key", F.explode("hits").alias("hit")).select("doc_id", "text_key", "hit.*")
     joined = single.join(windows.drop("body"), ["mask", "seed"])
     along = joined.groupBy("doc_id", "text_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(F.count("*").alias("n"))

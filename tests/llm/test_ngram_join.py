@@ -234,3 +234,57 @@ def test_heavy_sides_give_the_same(spark, monkeypatch):
     rows = corpus()
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table(spark, rows)).collect()}
     assert found == linked_components(rows)
+
+
+def test_sketches_are_dealt_out_once(spark, monkeypatch):
+    """Lists that meet the classes asked for by shuffle are not dealt out by class again."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_MEMBERS", 0)
+    join = ngram_join.Join(table(spark, corpus()[:60]))
+    found = join.sketches(join.classes.select("cls"))
+    plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == join.classes.count()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning(cls") == 2
+
+
+def test_buckets_of_one_checked_pair_are_settled(spark, monkeypatch):
+    """Documents that share half their text with one other: the pivots have met them, and no bucket is made again."""
+    seen, meetings = [], ngram_join.Join.meetings
+
+    def watched(self, rows, sketched):
+        seen.append(rows.count())
+        return meetings(self, rows, sketched)
+
+    monkeypatch.setattr(ngram_join.Join, "meetings", watched)
+    rows = [(2 * k + v, f"{prose(f'half{k}', 60, 5000)} {prose(f'own{k}{v}', 60 + 9 * v, 5000)}") for k in range(30) for v in range(2)]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table(spark, rows)).collect()}
+    assert found == linked_components(rows) and seen == [0]
+
+
+def test_unsettled_buckets(spark):
+    join = ngram_join.Join(table(spark, corpus()[:4]), percent=10)
+    rows = [
+        (1, 10, 50, 1, 1), (1, 11, 60, 2, 1),  # a checked pair
+        (2, 10, 50, 1, 1), (2, 11, 60, 2, 2),  # a group of two classes
+        (3, 10, 50, 1, 1), (3, 11, 60, 2, 1), (3, 12, 60, 2, 1),  # three groups
+        (4, 10, 50, 1, 1), (4, 11, 60, 1, 1), (4, 12, 60, 1, 1),  # one component
+        (5, 13, 1000, 3, 1), (5, 14, 10_000, 4, 1),  # they fit, but by rounding they are two bands apart
+        (6, 13, 1000, 3, 1), (6, 15, 10_001, 4, 1),  # they don't fit
+    ]
+    given = spark.createDataFrame(rows, "tok long, grp long, n long, comp long, members long")
+    bands = {r.n: r.band for r in given.withColumn("band", join.band("n")).collect()}
+    assert bands[10_000] - bands[1000] == 2
+    left = join.unsettled(given)
+    assert "members" not in left.columns and {r.tok for r in left.collect()} == {2, 3, 5}
+
+
+def test_slim_sketches_rule_out_no_link(spark):
+    rng = np.random.default_rng(3)
+    sets = random_sets(rng, 40)
+    raw = pa.RecordBatch.from_pydict({"cls": list(range(40)), "n": [len(s) for s in sets], "sketch": pa.array([ngram_join.parity(s) for s in sets], pa.binary())})
+    (slim,) = ngram_join._slim(iter([raw]))
+    sizes = [(len(x), len(y)) for x, y in zip(raw.column("sketch").to_pylist(), slim.column("sketch").to_pylist())]
+    assert all(y == max(8, x // 4) for x, y in sizes)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(40)))
+    sketches = ngram_join.Sketches(slim.column("sketch"))
+    truth = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    assert (ngram_join.differing(sketches, sketches, i, j) <= truth).all()

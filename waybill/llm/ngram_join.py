@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm.columns import free_names
 from waybill.llm.graphs import components
-from waybill.llm.sizes import batch_rows, few, if_light, if_small
+from waybill.llm.sizes import LEAST_PARTS, batch_rows, few, if_small
 from waybill.llm.tokens import WHITE, pieces, splitmix, word_hashes
 from waybill.session import cut_lineage
 
@@ -54,6 +54,8 @@ BROADCAST_BYTES = 2 << 20
 BATCH_ROWS = 1000
 #: Rows of a partition of prefixes and of pairs; rows of buckets for each document, to choose partitions.
 PART_PREFIXES, PART_PAIRS, ENTRIES = 2_000, 20_000, 8
+#: Shingles of prefixes in a partition: the more of a group's shingles go to one, the better its number compresses there.
+PART_SHINGLES = 2_000_000
 #: Rows of a block of a bucket; two blocks meet in one task.
 BLOCK = 2048
 #: Bits of a sketch per shingle at least, and the least and most bits (as powers of two) of one; of those most in buckets.
@@ -156,8 +158,8 @@ def signatures(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFr
             for row, own in shingle_sets(batch.column("text"), width):
                 p = prefix_size(len(own), percent)
                 n[row], cls[row], grp[row] = len(own), class_of(own), class_of(own[:p]) ^ len(own)
-                # A quarter more than the prefix, to make up for frequent ones.
-                first[row] = own[: p + p // 4 + 4].copy()
+                # An eighth more than the prefix, to make up for frequent ones.
+                first[row] = own[: p + p // 8 + 4].copy()
                 sketch[row] = parity(own)
             filled = [k for k in range(rows) if first[k] is not None]
             often: list = [None] * rows
@@ -293,7 +295,15 @@ def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = (1 << BUCKET_BITS) // 64
         raw = [folded(np.frombuffer(x, np.uint64)[None], words).tobytes() for x in batch.column("sketch").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(raw, pa.binary())], names=["item", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(raw, pa.binary())], names=["cls", "sketch"])
+
+
+def _slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketches of a quarter of their size, which still rule out sets that have little in common."""
+    for batch in batches:
+        own = [np.frombuffer(x, np.uint64)[None] for x in batch.column("sketch").to_pylist()]
+        raw = [folded(x, max(1, x.shape[1] // 4)).tobytes() for x in own]
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), pa.array(raw, pa.binary())], names=["cls", "n", "sketch"])
 
 
 def _linked(percent: int):
@@ -319,7 +329,8 @@ class Join:
     def __init__(self, docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id"):
         self.docs, self.width, self.percent, self.id_col = docs, width, percent, id_col
         self.base = cut_lineage(signatures(docs, width, percent, id_col))
-        self.rows = self.base.count()
+        self.rows, prefixes = self.base.agg(F.count("*"), F.coalesce(F.sum(F.size("first")), F.lit(0))).first()
+        self.shingle_parts = max(LEAST_PARTS, -(-prefixes // PART_SHINGLES))
         self.base = few(self.base, self.rows, PART_PREFIXES)
         filled = self.base.where("n > 0")
         #: cls, n, grp, doc_id (a document that has this set; its text can be read again).
@@ -344,7 +355,7 @@ class Join:
         # What one task holds back is frequent in all: a row without a group tells the rows that others have sent.
         held = kept_back.select("tok").distinct().select(F.lit(None).cast("long").alias("grp"), F.lit(None).cast("long").alias("n"), "tok")
         # One exchange: copies fall out, and shingles are counted where they meet.
-        met = rows.union(held).repartition("tok").distinct()
+        met = rows.union(held).repartition(self.shingle_parts, "tok").distinct()
         here = Window.partitionBy("tok")
         counted = met.withColumn("c", F.count("grp").over(here)).withColumn("held", F.count("*").over(here) > F.count("grp").over(here))
         counted = counted.withColumn("alike", F.expr("bit_xor(xxhash64(grp))").over(here)).where("grp is not null and (held or c > 1)")
@@ -380,9 +391,20 @@ class Join:
         more = exact.union(again.select("tok", "grp", "n", F.lit(None).cast("int")).distinct())
         return buckets.union(more)
 
-    def sketches(self, asked: DataFrame) -> DataFrame:
-        """cls, n, sketch of some classes."""
-        return self.lists.join(if_small(asked, BROADCAST_MEMBERS, self.rows), "cls", "left_semi").dropDuplicates(["cls"])
+    def sketches(self, asked: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+        """cls, n, sketch of some classes, each asked for once, or these columns of ``lists``.
+
+        No semi-join: Spark moves it below the coalescing of the lists, whose rows would then be dealt out by class twice.
+        """
+        asked = if_small(asked.select("cls"), BROADCAST_MEMBERS, self.rows)
+        return (self.lists if lists is None else lists).join(asked, "cls").dropDuplicates(["cls"])
+
+    def narrow(self, items: DataFrame) -> DataFrame:
+        """item, sketch as buckets hold it, of some classes (item), for a join on item."""
+        asked = cut_lineage(few(items.select(F.col("item").alias("cls")).distinct(), self.rows))
+        lists = self.lists.select("cls", "sketch").mapInArrow(_narrow, "cls long, sketch binary")
+        found = self.sketches(asked, lists).select(F.col("cls").alias("item"), "sketch")
+        return self.beside(found, asked, F.least("n", F.lit(1 << BUCKET_BITS - 3)))
 
     def beside(self, side: DataFrame, asked: DataFrame, each: Column) -> DataFrame:
         """What some classes hold, one row of at most ``each`` bytes for a class: broadcast if all are small. Else it stays
@@ -393,8 +415,8 @@ class Join:
     def meetings(self, rows: DataFrame, sketched: DataFrame) -> DataFrame:
         """g, comp_g, h, comp_h: items of a bucket that may link across components.
 
-        ``rows`` are bucket, item, comp, n, place (in an exact prefix, or null), ``sketched`` are item, sketch; an item
-        without a sketch may link whatever it holds.
+        ``rows`` are bucket, item, comp, n, place (in an exact prefix, or null), ``sketched`` are item, sketch, marked for
+        their join; an item without a sketch may link whatever it holds.
         """
         large = rows.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK)
         blocks = large.select("bucket", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
@@ -406,21 +428,30 @@ class Join:
         cut = cut.withColumn("part", F.pmod(F.xxhash64("item", "comp"), "blocks").cast("int")).withColumn("place", F.coalesce("place", F.lit(0)))
         cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         cut = cut.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "blocks")
-        narrow = sketched.mapInArrow(_narrow, "item long, sketch binary")
-        full = cut.join(if_light(narrow, "sketch", BROADCAST_BYTES), "item", "left")
+        full = cut.join(sketched, "item", "left")
         cells = full.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
         found = cells.select("bucket", "low", "high", "item", "comp", "n", "place", "part", "sketch")
         return found.mapInArrow(_met(self.percent), "g long, comp_g long, h long, comp_h long").distinct()
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The links among pairs of classes: bounded by their first shingles, then on whole sets."""
-        pairs = self.saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ENTRIES)
-        count = pairs.count()
+    def bounded(self, pairs: DataFrame, count: int, lists: DataFrame | None = None, most_bits: int = MOST_BITS) -> DataFrame:
+        """The pairs of classes, about so many, that their sketches don't rule out; or those of ``lists``, of so many bits."""
         asked = cut_lineage(few(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(), self.rows))
-        lists = self.beside(self.sketches(asked), asked, F.least("n", F.lit(1 << MOST_BITS - 3)))
+        lists = self.beside(self.sketches(asked, lists), asked, F.least("n", F.lit(1 << most_bits - 3)))
         a, b = (lists.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
         listed = pairs.join(a, "a").join(b, "b").where(size_fits(F.col("n_a"), F.col("n_b"), self.percent))
-        left = cut_lineage(few(listed, count, PART_PAIRS).mapInArrow(_bounded(self.percent), "a long, b long"))
+        return cut_lineage(few(listed, count, PART_PAIRS).mapInArrow(_bounded(self.percent), "a long, b long"))
+
+    def verified(self, pairs: DataFrame, fresh: bool = False) -> DataFrame:
+        """The links among pairs of classes: bounded by their sketches, then on whole sets.
+
+        Most ``fresh`` pairs have little in common, so slim sketches go with them first.
+        """
+        pairs = self.saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ENTRIES)
+        count = pairs.count()
+        if fresh:
+            pairs = self.bounded(pairs, count, self.lists.mapInArrow(_slim, "cls long, n long, sketch binary"), MOST_BITS - 2)
+            count = pairs.count()
+        left = self.bounded(pairs, count)
         needed = left.select(F.col("a").alias("cls")).union(left.select(F.col("b").alias("cls"))).distinct()
         needed = if_small(needed, BROADCAST_IDS, min(2 * count, self.rows))
         sets = whole_sets(self.docs, self.classes.join(needed, "cls"), self.width, self.id_col, self.rows)
@@ -433,8 +464,7 @@ class Join:
     def linked(self) -> DataFrame:
         """cls, grp, n, comp of every class: the components of all links."""
         entries = self.saved(self.entries(), ENTRIES)
-        step = math.log(100 / self.percent)
-        banded = entries.withColumn("band", F.floor(F.log("n") / step))
+        banded = entries.withColumn("band", self.band("n"))
         # Pivots: the first group of each bucket and size band, for its own band and the one below.
         pivots = banded.groupBy("tok", "band").agg(F.min(F.struct("grp", "n")).alias("pivot"))
         near = banded.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
@@ -443,7 +473,7 @@ class Join:
         heads = self.classes.groupBy("grp").agg(F.min("cls").alias("head"))
         inside = self.classes.join(heads, "grp").select(F.col("cls").alias("a"), F.col("head").alias("b")).where("a <> b")
         to_head = met.join(heads.withColumnRenamed("grp", "h"), "h").join(self.classes.select(F.col("grp").alias("g"), "cls"), "g")
-        first = self.verified(inside.union(to_head.select(F.col("cls").alias("a"), F.col("head").alias("b"))))
+        first = self.verified(inside.union(to_head.select(F.col("cls").alias("a"), F.col("head").alias("b"))), fresh=True)
         placed, open_rows = self.between(first, entries)
         # Large families that one pivot did not hold together meet a few more members, the same in all their buckets.
         hubs = [F.min(F.struct(F.xxhash64(F.lit(k), "grp").alias("order"), "grp", "n")).alias(f"hub{k}") for k in range(HUBS)]
@@ -460,15 +490,13 @@ class Join:
         # Pairs across components. Classes meet, not groups: each has its sketch, and what sketches rule out is not written.
         met = open_rows.join(placed.select("grp", "comp", "cls"), ["grp", "comp"])
         rows = self.saved(met.select(F.col("tok").alias("bucket"), F.col("cls").alias("item"), "comp", "n", "place"), ENTRIES)
-        known = self.sketches(rows.select(F.col("item").alias("cls")).distinct()).select(F.col("cls").alias("item"), "sketch")
-        expanded = self.meetings(rows, known).select(F.col("g").alias("a"), F.col("h").alias("b"))
+        expanded = self.meetings(rows, self.narrow(rows)).select(F.col("g").alias("a"), F.col("h").alias("b"))
         # Classes of one group that its head did not link meet in it.
         parted = placed.groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("grp")
         loose = self.saved(placed.join(parted, "grp"))
         if not loose.isEmpty():
-            known = self.sketches(loose.select("cls")).select(F.col("cls").alias("item"), "sketch")
             rows = loose.select(F.col("grp").alias("bucket"), F.col("cls").alias("item"), "comp", "n", F.lit(None).cast("int").alias("place"))
-            expanded = expanded.union(self.meetings(rows, known).select(F.col("g").alias("a"), F.col("h").alias("b")))
+            expanded = expanded.union(self.meetings(rows, self.narrow(rows)).select(F.col("g").alias("a"), F.col("h").alias("b")))
         return self.merged(placed, self.verified(expanded))[0]
 
     def merged(self, placed: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -481,20 +509,39 @@ class Join:
         after = placed.join(renamed, "comp", "left").select("cls", "grp", "n", F.coalesce("new", "comp").alias("comp"))
         return self.saved(after), renamed
 
+    def band(self, n: str) -> Column:
+        """The size band of a set; sets that link are of one band or of two adjacent ones."""
+        return F.floor(F.log(n) / math.log(100 / self.percent))
+
     def several(self, rows: DataFrame) -> DataFrame:
         """The rows of the buckets in which components meet."""
         found = rows.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         return rows.join(found.where("low <> high").select("tok"), "tok")
 
+    def unsettled(self, rows: DataFrame) -> DataFrame:
+        """The rows (with ``members``, the classes of a group in the component) of the buckets in which components meet and
+        pairs are left to check.
+
+        A bucket of two groups of one class each holds one pair. If their sizes fit, one of them was the other's pivot,
+        so the pair is checked: it links, or it is none. Bands are compared too, in case rounding puts two sizes that fit
+        two bands apart.
+        """
+        sides = [F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")]
+        found = rows.groupBy("tok").agg(*sides, F.count("*").alias("c"), F.max("members").alias("members"))
+        paired = (F.col("c") == 2) & (F.col("members") == 1)
+        checked = (self.band("most") - self.band("least") <= 1) | ~size_fits(F.col("least"), F.col("most"), self.percent)
+        left = found.where((F.col("low") != F.col("high")) & ~(paired & checked))
+        return rows.drop("members").join(left.select("tok"), "tok")
+
     def between(self, links: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The component of each class, and the rows of the buckets in which components meet.
+        """The component of each class, and the rows of the buckets in which components meet and pairs are left to check.
 
         A group with classes in several components counts in each of them.
         """
         found = components(links).select(F.col("node").alias("cls"), "component")
         placed = self.saved(self.classes.join(found, "cls", "left").select("cls", "grp", "n", F.coalesce("component", "cls").alias("comp")))
-        mixed = entries.join(placed.select("grp", "comp").distinct(), "grp")
-        return placed, self.saved(self.several(mixed), ENTRIES)
+        mixed = entries.join(placed.groupBy("grp", "comp").agg(F.count("*").alias("members")), "grp")
+        return placed, self.saved(self.unsettled(mixed), ENTRIES)
 
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row, and class_size, the number of documents with the same set."""

@@ -36,15 +36,6 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def if_light(side: DataFrame, column: str, most_bytes: int) -> DataFrame:
-    """The same as ``if_small`` for a side of arrays or binary values: their bytes are summed first."""
-    side = cut_lineage(side)
-    width = 8 if dict(side.dtypes)[column].startswith("array") else 1
-    length = F.size(column) * width if width == 8 else F.octet_length(column)
-    total = side.agg(F.coalesce(F.sum(length + 32), F.lit(0))).first()[0]
-    return F.broadcast(side) if total <= most_bytes else side.hint("merge")
-
-
 def if_small(side: DataFrame, rows: int, about: int | None = None) -> DataFrame:
     """The side, saved, marked for broadcast if it has at most ``rows`` rows; else for a join by shuffle.
 

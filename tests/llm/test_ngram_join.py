@@ -288,3 +288,11 @@ def test_slim_sketches_rule_out_no_link(spark):
     sketches = ngram_join.Sketches(slim.column("sketch"))
     truth = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j)])
     assert (ngram_join.differing(sketches, sketches, i, j) <= truth).all()
+
+
+def test_a_task_writes_a_pair_once():
+    sketch = ngram_join.parity(np.arange(100, dtype=np.int64))
+    rows = {"bucket": [1, 1, 2, 2, 3, 3], "low": [0] * 6, "high": [0] * 6, "item": [5, 6, 5, 6, 5, 7], "comp": [5, 6, 5, 6, 5, 7], "n": [100] * 6, "place": [0] * 6, "part": [0] * 6}
+    batch = pa.RecordBatch.from_pydict(rows | {"sketch": pa.array([sketch] * 6, pa.binary())})
+    found = [tuple(r.values()) for b in ngram_join._met(75)(iter([batch.slice(0, 3), batch.slice(3)])) for r in b.to_pylist()]
+    assert found == [(5, 5, 6, 6), (5, 5, 7, 7)]

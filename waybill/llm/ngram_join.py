@@ -60,6 +60,8 @@ PART_SHINGLES = 2_000_000
 BLOCK = 2048
 #: Bits of a sketch per shingle at least, and the least and most bits (as powers of two) of one; of those most in buckets.
 BITS_PER_SHINGLE, LEAST_BITS, MOST_BITS, BUCKET_BITS = 3, 8, 13, 11
+#: Pairs of buckets that a task remembers about.
+SEEN_PAIRS = 100_000
 #: Pairs of a block whose sketches are compared at once.
 TILE = 1 << 15
 
@@ -261,6 +263,8 @@ def _met(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
+        #: Buckets of a family give the same pairs: those that the task still remembers are not written again.
+        seen: set = set()
 
         def cells(last: bool) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
@@ -277,7 +281,12 @@ def _met(percent: int):
             item, comp = table.column("item").to_numpy(), table.column("comp").to_numpy()
             swap = (comp[i] > comp[j]) | ((comp[i] == comp[j]) & (item[i] > item[j]))
             i, j = np.where(swap, j, i), np.where(swap, i, j)
-            columns = [pa.array(x) for x in (item[i], comp[i], item[j], comp[j])]
+            found = dict.fromkeys(zip(*(x.tolist() for x in (item[i], comp[i], item[j], comp[j]))))
+            fresh = [pair for pair in found if pair not in seen]
+            if len(seen) > SEEN_PAIRS:
+                seen.clear()
+            seen.update(fresh)
+            columns = [pa.array([pair[k] for pair in fresh], pa.int64()) for k in range(4)]
             yield pa.RecordBatch.from_arrays(columns, names=["g", "comp_g", "h", "comp_h"])
 
         for batch in batches:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from waybill import schemas as S
 from waybill.operators import traces
+from waybill.queries import streams
 from waybill.session import scratch_path
 from waybill.sources import tables
 from waybill.streaming import graph, run
@@ -55,6 +56,22 @@ def test_children_without_a_parent_are_written_once(spark):
     assert lone and Counter((r.trace_id, r.span_id) for r in found if r.client is None and not r.trace_id.startswith("t4")) == lone
 
 
+def test_the_query_reads_few_files_at_once_and_keeps_state_on_disk(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "FILES_PER_TRIGGER", 3)
+    monkeypatch.setattr(streams, "scratch_path", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(run, "scratch_path", lambda _, name: str(tmp_path / name))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.unset(provider)
+    try:
+        streams.stream_service_graph(spark, folder)
+    finally:
+        spark.conf.set(provider, before)
+    kept = tmp_path / "calls" / "checkpoint"
+    assert len([p for p in (kept / "offsets").iterdir() if p.name.isdigit()]) >= 3
+    assert list(kept.glob("state/*/*/**/*.changelog")) and not list(kept.glob("state/*/*/**/*.delta"))
+
+
 def test_spans_without_ids_are_left_out(spark):
     rows = [(None, "1", "0", "a", "x", 1, 1.0, "ok"), ("t", None, "0", "a", "x", 1, 1.0, "ok"), ("t", "1", "0", "b", "x", None, 1.0, "ok"), ("t", "0", None, "a", "x", 1, 1.0, "ok"), ("t", "2", "0", None, "x", 1, None, None)]
     found = drained(spark, [rows], "1 minute").collect()
